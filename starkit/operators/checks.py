@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,34 +27,39 @@ def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).where(F.col("row_count") > 1)
 
 
-def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    repeated = duplicates(df, keys).take(20)
-    if repeated:
-        raise CheckFailed(f"repeated keys {list(keys)}: {[row.asDict() for row in repeated]}")
-
-
 def mapping_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One-row report on ``duplicates``."""
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(
-            F.count(F.lit(1)).alias("combinations"),
-            F.count_if(F.col("n") > 1).alias("duplicated"),
-        )
-        .withColumn("passed", F.col("duplicated") == 0)
-    )
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    report = per_key.agg(F.count(F.lit(1)).alias("combinations"), F.count_if(F.col("n") > 1).alias("duplicated"))
+    return report.withColumn("passed", F.col("duplicated") == 0)
+
 
+def require_unique(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> None:
+    """Raise if any table ``name -> (table, keys)`` repeats a key; all are checked in one job."""
+    reports = [mapping_unique(df, keys).withColumn("keys_of", F.lit(name)) for name, (df, keys) in tables.items()]
+    require(reduce(DataFrame.unionByName, reports))
 
-def key_collision(dim: DataFrame, key: str, attributes: Sequence[str], name: str | None = None) -> DataFrame:
-    """One-row report: hash keys shared by different members, or equal to the unknown key."""
-    members = dim.select(key, *[normalise(F.col(c)).alias(c) for c in attributes]).distinct()
-    per_key = members.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.agg(
-        F.lit(name or key).alias("dimension"),
-        F.count(F.lit(1)).alias("keys"),
-        F.count_if(F.col("n") > 1).alias("collisions"),
-    ).withColumn("passed", F.col("collisions") == 0)
+
+def key_collision(dims: Mapping[str, tuple[DataFrame, str, Sequence[str]]]) -> DataFrame:
+    """One row per dimension ``name -> (dimension, key, attributes)``: keys that different members share.
+
+    The unknown member counts, so a real member that was given its key is found too.
+    """
+    members = [
+        dim.select(
+            F.lit(name).alias("dimension"),
+            F.col(key).cast("bigint").alias("key"),
+            F.array(*[normalise(F.col(c)) for c in attributes]).alias("member"),
+        )
+        for name, (dim, key, attributes) in dims.items()
+    ]
+    per_key = (
+        reduce(DataFrame.unionByName, members).distinct().groupBy("dimension", "key").agg(F.count(F.lit(1)).alias("n"))
+    )
+    report = per_key.groupBy("dimension").agg(
+        F.count(F.lit(1)).alias("keys"), F.count_if(F.col("n") > 1).alias("collisions")
+    )
+    return report.withColumn("passed", F.col("collisions") == 0)
 
 
 def unmatched(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
@@ -73,17 +79,16 @@ def referential(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) -> D
         .groupBy("key_column", "key_value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    known = None
-    for key, (dim, dim_key) in dims.items():
-        side = dim.select(
-            F.lit(key).alias("key_column"),
-            F.col(dim_key).cast("bigint").alias("key_value"),
-            F.lit(True).alias("known"),
+    members = [
+        dim.select(
+            F.lit(key).alias("key_column"), F.col(dim_key).cast("bigint").alias("key_value"), F.lit(True).alias("known")
         )
-        known = side if known is None else known.unionByName(side)
+        for key, (dim, dim_key) in dims.items()
+    ]
+    known = reduce(DataFrame.unionByName, members).distinct()
     missing = F.when(F.col("known").isNull(), F.col("n")).otherwise(0)
     return (
-        counted.join(known.distinct(), ["key_column", "key_value"], "left")
+        counted.join(known, ["key_column", "key_value"], "left")
         .groupBy("key_column")
         .agg(F.sum("n").alias("fact_rows"), F.sum(missing).alias("unmatched_rows"))
         .withColumn("passed", F.col("unmatched_rows") == 0)

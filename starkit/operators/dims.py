@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,40 +62,54 @@ def without_unknown(df: DataFrame, key: str) -> DataFrame:
     return df.where(F.col(key) != UNKNOWN_KEY)
 
 
-def attribute_values(extract: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distinct non-null values of many columns in one pass: rows ``(attribute, value)``."""
-    return (
-        extract.select(*columns)
-        .unpivot([], list(columns), "attribute", "value")
-        .where(F.col("value").isNotNull())
-        .distinct()
-    )
+def _least_spelling(values: DataFrame, text: Column, trim: bool, *within: str) -> DataFrame:
+    # Spellings that differ in case only are one member, shown by the least spelling. The input
+    # is distinct already: that is a hash aggregate, where a minimum of texts would sort the extract.
+    return values.groupBy(*within, normalise(text, trim).alias("_same")).agg(F.min(text).alias("member")).drop("_same")
 
 
-def _members(values: DataFrame, spec: AttributeDim, value: str) -> DataFrame:
-    # Spellings that differ in case only are one member, shown by the least spelling. The
-    # distinct before it runs as a hash aggregate; a minimum of texts would sort the extract.
-    text = F.col(value)
-    return (
-        values.groupBy(normalise(text, spec.trim).alias("_member"))
-        .agg(F.min(text).alias(spec.target))
-        .select(spec.target, hash_key([F.col(spec.target)], spec.algorithm, spec.trim).alias(spec.key))
+def _dimension(members: DataFrame, spec: AttributeDim) -> DataFrame:
+    member = F.col("member")
+    keyed = members.select(
+        member.alias(spec.target), hash_key([member], spec.algorithm, spec.trim).alias(spec.key)
     )
+    return with_unknown(keyed, spec.key)
 
 
 def attribute_dimension(extract: DataFrame, spec: AttributeDim) -> DataFrame:
     """Hash-keyed dimension of one column, with its unknown member; nulls are not members."""
-    values = extract.select(spec.source).where(F.col(spec.source).isNotNull()).distinct()
-    return with_unknown(_members(values, spec, spec.source), spec.key)
+    text = F.col(spec.source)
+    values = extract.select(text).where(text.isNotNull()).distinct()
+    return _dimension(_least_spelling(values, text, spec.trim), spec)
 
 
-def attribute_dimensions(extract: DataFrame, specs: Sequence[AttributeDim]) -> dict[str, DataFrame]:
-    """All attribute dimensions of an extract from a single pass over it, by key name."""
-    values = stage(attribute_values(extract, [spec.source for spec in specs]), "attribute-values")
-    return {
-        spec.key: with_unknown(_members(values.where(F.col("attribute") == spec.source), spec, "value"), spec.key)
-        for spec in specs
-    }
+def star_dimensions(
+    extract: DataFrame, specs: Sequence[AttributeDim], date_column: str | None = None, date_key_name: str = "DateKey"
+) -> dict[str, DataFrame]:
+    """All attribute dimensions of an extract, and its calendar, from a single pass over it; by key name.
+
+    Every row is turned into one ``(attribute, value)`` pair per column, and the pairs are made
+    distinct within the input tasks before anything is shuffled. Dates take part by year.
+    """
+    trims = {spec.trim for spec in specs}
+    if len(trims) > 1:
+        raise ValueError("specs of one pass must agree on trim")
+    columns = {spec.source: F.col(spec.source) for spec in specs}
+    if date_column:
+        columns[date_column] = F.year(date_column).cast("string")
+    values = (
+        extract.select(*[value.alias(name) for name, value in columns.items()])
+        .unpivot([], list(columns), "attribute", "value")
+        .where(F.col("value").isNotNull())
+        .distinct()
+    )
+    members = stage(_least_spelling(values, F.col("value"), trims.pop(), "attribute"), "members")
+    built = {spec.key: _dimension(members.where(F.col("attribute") == spec.source), spec) for spec in specs}
+    if date_column:
+        year = F.col("member").cast("int")
+        years = members.where(F.col("attribute") == date_column).agg(F.min(year).alias("low"), F.max(year).alias("high"))
+        built[date_key_name] = _calendar(years, date_key_name)
+    return built
 
 
 def composite_members(extract: DataFrame, spec: CompositeDim) -> DataFrame:
@@ -144,10 +158,14 @@ def date_dimension(extract: DataFrame, column: str, key: str = "DateKey") -> Dat
 
     The bounds stay inside the plan: one aggregate row becomes one row per day.
     """
-    bounds = extract.agg(F.min(column).cast("date").alias("low"), F.max(column).cast("date").alias("high"))
-    first_day = F.make_date(F.year("low"), F.lit(1), F.lit(1))
-    last_day = F.make_date(F.year("high"), F.lit(12), F.lit(31))
-    days = bounds.select(F.explode(F.sequence(first_day, last_day, F.expr("interval 1 day"))).alias("Date"))
+    year = F.year(column)
+    return _calendar(extract.agg(F.min(year).alias("low"), F.max(year).alias("high")), key)
+
+
+def _calendar(years: DataFrame, key: str) -> DataFrame:
+    first_day = F.make_date("low", F.lit(1), F.lit(1))
+    last_day = F.make_date("high", F.lit(12), F.lit(31))
+    days = years.select(F.explode(F.sequence(first_day, last_day, F.expr("interval 1 day"))).alias("Date"))
     day = F.col("Date")
     calendar = days.select(
         date_key(day).alias(key),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from starkit.functions.keys import UNKNOWN_KEY, date_key, hash_key
 from starkit.operators.checks import require_unique
 from starkit.operators.dims import AttributeDim, CompositeDim, without_unknown
-from starkit.operators.joins import to_dimension
+from starkit.operators.joins import Side, to_dimensions
 from starkit.operators.sizes import BROADCAST_BYTES, GROUP_ROWS
 
 
@@ -72,34 +72,39 @@ def key_by_hash(fact: DataFrame, specs: Sequence[AttributeDim], dates: Mapping[s
     return fact.withColumns(keys).drop(*[s.source for s in specs], *(dates or {}))
 
 
-def lookup(
+@dataclass(frozen=True)
+class Lookup:
+    """Find ``key`` in ``dim`` by its natural key (``fact column -> dimension column``)."""
+
+    dim: DataFrame
+    on: Mapping[str, str]
+    key: str
+
+
+def composite_lookup(spec: CompositeDim, dim: DataFrame) -> Lookup:
+    return Lookup(dim, spec.columns, spec.key)
+
+
+def key_by_lookup(
     fact: DataFrame,
-    dim: DataFrame,
-    on: Mapping[str, str],
-    key: str,
+    lookups: Sequence[Lookup],
     check_unique: bool = True,
+    drop_attributes: bool = True,
     broadcast_bytes: int = BROADCAST_BYTES,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """Add the key of the member whose natural key equals the fact's, -1 where there is none.
+    """Replace attributes by the keys of the members that hold them, -1 where there is none.
 
     The unknown member is left out of the search, so a fact that literally says ``N/A`` is not
-    matched twice. A dimension that repeats a natural key is refused, as it would repeat facts.
+    matched twice. A dimension that repeats a natural key is refused, as it would repeat facts;
+    ``check_unique`` may be off for dimensions built by ``composite_dimension``.
     """
-    known = without_unknown(dim, key)
+    known = {found.key: without_unknown(found.dim, found.key) for found in lookups}
     if check_unique:
-        require_unique(known, list(on.values()))
-    found = to_dimension(fact, known, on, [key], "left", broadcast_bytes, group_rows)
-    return found.withColumn(key, F.coalesce(F.col(key), F.lit(UNKNOWN_KEY).cast("bigint")))
-
-
-def lookup_all(
-    fact: DataFrame, dims: Sequence[tuple[CompositeDim, DataFrame]], drop_attributes: bool = True, **limits
-) -> DataFrame:
-    """Look up every composite dimension, then drop the attributes the keys stand for.
-
-    Dimensions built by ``composite_dimension`` hold each combination once, so that is not checked again.
-    """
-    for spec, dim in dims:
-        fact = lookup(fact, dim, spec.columns, spec.key, check_unique=False, **limits)
-    return fact.drop(*[c for spec, _ in dims for c in spec.columns]) if drop_attributes else fact
+        require_unique({found.key: (known[found.key], list(found.on.values())) for found in lookups})
+    sides = [Side(known[found.key], found.on, [found.key]) for found in lookups]
+    joined = to_dimensions(fact, sides, "left", broadcast_bytes, group_rows)
+    unknown = F.lit(UNKNOWN_KEY).cast("bigint")
+    keyed = joined.withColumns({key: F.coalesce(F.col(key), unknown) for key in known})
+    attributes = dict.fromkeys(column for found in lookups for column in found.on)
+    return keyed.drop(*attributes) if drop_attributes else keyed

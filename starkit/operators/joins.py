@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,28 +43,37 @@ def null_fan_out(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> Da
     return counts.withColumn("null_pairs", F.col("left_nulls") * F.col("right_nulls"))
 
 
-def to_dimension(
+@dataclass(frozen=True)
+class Side:
+    """A dimension to join: its unique columns (``fact column -> dimension column``) and what to take."""
+
+    dim: DataFrame
+    on: Mapping[str, str]
+    take: Sequence[str]
+
+
+def to_dimensions(
     fact: DataFrame,
-    dim: DataFrame,
-    on: Mapping[str, str],
-    take: list[str],
+    sides: Sequence[Side],
     how: str = "left",
     broadcast_bytes: int = BROADCAST_BYTES,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """All fact columns plus ``take`` from a dimension whose ``on`` columns are unique.
+    """All fact columns plus what is taken from each dimension.
 
-    A dimension measured to be small is broadcast and the fact does not move. A larger one is
+    Dimensions measured to be small are broadcast and the fact does not move. A larger one is
     joined by shuffle, with null keys and hot keys of the fact spread over many tasks.
     """
-    renamed = {theirs: f"_on_{theirs}" for theirs in on.values()}
-    side = dim.select(*[F.col(old).alias(new) for old, new in renamed.items()], *take)
-    pairs = {ours: renamed[theirs] for ours, theirs in on.items()}
-    if fits_broadcast(side, broadcast_bytes):
-        joined = fact.join(F.broadcast(side), equal_on(fact, side, pairs), how)
-    else:
-        joined = _spread_join(fact, side, pairs, how, group_rows)
-    return joined.select(*[fact[c] for c in fact.columns], *[F.col(c) for c in take])
+    narrowed = [side.dim.select(*dict.fromkeys([*side.on.values(), *side.take])) for side in sides]
+    for side, dim, small in zip(sides, narrowed, fits_broadcast(narrowed, broadcast_bytes)):
+        named = dim.select(*[F.col(c).alias(f"_on_{c}") for c in side.on.values()], *side.take)
+        pairs = {ours: f"_on_{theirs}" for ours, theirs in side.on.items()}
+        if small:
+            joined = fact.join(F.broadcast(named), equal_on(fact, named, pairs), how)
+        else:
+            joined = _spread_join(fact, named, pairs, how, group_rows)
+        fact = joined.select(*[fact[c] for c in fact.columns], *[named[c] for c in side.take])
+    return fact
 
 
 def _spread_join(fact: DataFrame, side: DataFrame, pairs: Mapping[str, str], how: str, group_rows: int) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starkit.functions.keys import money
-from starkit.operators.joins import to_dimension
+from starkit.operators.joins import Side, to_dimensions
 from starkit.operators.sizes import BROADCAST_BYTES, GROUP_ROWS
 
 
@@ -62,8 +62,9 @@ def detail(
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Fact rows with attributes in place of keys: one inner join per dimension."""
-    joined = fact.select(*keep, *dict.fromkeys(a.fact_key for a in by.values()))
-    for out, a in by.items():
-        side = a.dim.select(F.col(a.dim_key or a.fact_key).alias(a.fact_key), F.col(a.column).alias(out))
-        joined = to_dimension(joined, side, {a.fact_key: a.fact_key}, [out], "inner", broadcast_bytes, group_rows)
-    return joined.select(*keep, *by)
+    keyed = fact.select(*keep, *dict.fromkeys(a.fact_key for a in by.values()))
+    sides = [
+        Side(a.dim.select(F.col(a.dim_key or a.fact_key).alias("_key"), F.col(a.column).alias(out)), {a.fact_key: "_key"}, [out])
+        for out, a in by.items()
+    ]
+    return to_dimensions(keyed, sides, "inner", broadcast_bytes, group_rows).select(*keep, *by)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,26 +15,34 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 GROUP_ROWS = 20_000_000
 
 _ROW_OVERHEAD = 32
+_COLUMN_OVERHEAD = 16
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def payload_bytes(df: DataFrame) -> int | None:
-    """Measured size of the rows, in one aggregate over ``df``; None if a column has no known width."""
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    others = [f for f in df.schema.fields if not isinstance(f.dataType, T.StringType)]
-    if not all(isinstance(f.dataType, _FIXED_WIDTH) for f in others):
-        return None
-    measured = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.coalesce(F.sum(F.octet_length(name)), F.lit(0)).alias(name) for name in texts],
-    ).first()
-    per_row = _ROW_OVERHEAD + 16 * len(others) + 16 * len(texts)
-    return measured[0] * per_row + sum(measured[1:])
+def payload_bytes(frames: Sequence[DataFrame]) -> list[int | None]:
+    """Measured size of the rows of each frame, all in one job; None where a column has no known width."""
+    measured = [_size_row(place, df) for place, df in enumerate(frames) if _known_width(df)]
+    sizes: list[int | None] = [None] * len(frames)
+    if measured:
+        for place, size in reduce(DataFrame.unionAll, measured).collect():
+            sizes[place] = size
+    return sizes
+
+
+def _known_width(df: DataFrame) -> bool:
+    return all(isinstance(f.dataType, (T.StringType, *_FIXED_WIDTH)) for f in df.schema.fields)
+
+
+def _size_row(place: int, df: DataFrame) -> DataFrame:
+    per_row = _ROW_OVERHEAD + _COLUMN_OVERHEAD * len(df.columns)
+    texts = [F.octet_length(f.name) for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    length = reduce(add, [F.coalesce(text, F.lit(0)) for text in texts], F.lit(per_row))
+    return df.agg(F.lit(place).alias("place"), F.coalesce(F.sum(length), F.lit(0)).alias("bytes"))
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    size = payload_bytes(df)
-    return size is not None and size <= limit
+def fits_broadcast(frames: Sequence[DataFrame], limit: int = BROADCAST_BYTES) -> list[bool]:
+    """Whether each frame is measured to be small enough to be sent to every executor."""
+    return [size is not None and size <= limit for size in payload_bytes(frames)]
 
 
 def hot_groups(df: DataFrame, keys: list[str], max_rows: int = GROUP_ROWS) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from starkit.operators.joins import null_safe_join, to_dimension
+from starkit.operators.joins import Side, null_safe_join, to_dimensions
 from starkit.operators.rows import split_to_rows
 from starkit.operators.windows import previous_and_running, top_n
 from starkit.plans.flat import sales, table
@@ -232,14 +232,14 @@ def left_lookup(spark, sf):
 def broadcast_lookup(spark, sf):
     """The lookup side is measured and broadcast if it is small."""
     orders, builders = _orders_and_builders(spark, sf)
-    return to_dimension(orders, builders, {"o_custkey": "c_custkey"}, ["c_name"]).select("o_orderkey", "c_name")
+    return to_dimensions(orders, [Side(builders, {"o_custkey": "c_custkey"}, ["c_name"])]).select("o_orderkey", "c_name")
 
 
 @query("join_spread_lookup", _LOOKUP_SQL)
 def spread_lookup(spark, sf):
     """The way for a lookup side too large to broadcast: shuffled, with hot keys spread."""
     orders, builders = _orders_and_builders(spark, sf)
-    joined = to_dimension(orders, builders, {"o_custkey": "c_custkey"}, ["c_name"], broadcast_bytes=0)
+    joined = to_dimensions(orders, [Side(builders, {"o_custkey": "c_custkey"}, ["c_name"])], broadcast_bytes=0)
     return joined.select("o_orderkey", "c_name")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starkit.operators import dims, facts
 from starkit.operators.dims import AttributeDim, CompositeDim
-from starkit.operators.facts import FillNull, RaiseTo
+from starkit.operators.facts import FillNull, Lookup, RaiseTo
 from starkit.operators.reports import Attribute
 from starkit.operators.windows import top_n
 from starkit.plans.flat import sales, sales_values, table
@@ -42,8 +42,10 @@ def attribute_dim(spark: SparkSession, sf: str, spec: AttributeDim) -> DataFrame
     return dims.attribute_dimension(sales_values(spark, sf, [spec.source]), spec)
 
 
-def all_attribute_dims(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return dims.attribute_dimensions(sales(spark, sf, [s.source for s in ATTRIBUTES]), ATTRIBUTES)
+def all_dims(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The seven attribute dimensions and the calendar, by key name, from one pass over the extract."""
+    extract = sales(spark, sf, [*[s.source for s in ATTRIBUTES], *DATES])
+    return dims.star_dimensions(extract, ATTRIBUTES, *DATES)
 
 
 def date_dim(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,7 +77,7 @@ def revenue_fact(spark: SparkSession, sf: str, built: list[tuple[CompositeDim, D
     attributes = [c for spec, _ in built for c in spec.columns]
     extract = clean_sales(spark, sf, ["OrderKey", "LineNumber", "UnitsSold", "UnitPrice", "Discount", *attributes])
     measured = extract.withColumn("NetRevenue", facts.net_revenue("UnitsSold", "UnitPrice", "Discount"))
-    return facts.lookup_all(measured, built)
+    return facts.key_by_lookup(measured, [facts.composite_lookup(*pair) for pair in built], check_unique=False)
 
 
 def focus_mapping(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,13 +99,20 @@ def focus_dim(spark: SparkSession, sf: str) -> DataFrame:
     return dims.custom_mapping_dimension(focus_mapping(spark, sf), list(MAPPED), "CustomMappingKey")
 
 
-def source_dims(spark: SparkSession, sf: str) -> dict[str, tuple[str, DataFrame]]:
-    """Dimensions from source tables: fact column -> (key, dimension), the source id replaced."""
+def source_lookups(spark: SparkSession, sf: str) -> list[Lookup]:
+    """Dimensions from source tables, each with its own id replaced by a dense key."""
     regions = table(spark, sf, "region").withColumnRenamed("r_name", "Region")
     stores = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("StoreName"))
     reps = table(spark, sf, "supplier").select("s_suppkey", F.col("s_name").alias("SalesRep"), "s_acctbal")
-    return {
-        "Region": ("RegionKey", dims.dimension_from_source(regions, ["Region"], ["r_regionkey"], "RegionKey")),
-        "StoreName": ("StoreKey", dims.dimension_from_source(stores, ["StoreName"], ["n_nationkey"], "StoreKey")),
-        "SalesRep": ("SalesRepKey", dims.dimension_from_source(reps, ["SalesRep"], ["s_suppkey"], "SalesRepKey")),
-    }
+    return [
+        Lookup(dims.dimension_from_source(source, [column], [own_id], key), {column: column}, key)
+        for source, column, own_id, key in (
+            (regions, "Region", "r_regionkey", "RegionKey"),
+            (stores, "StoreName", "n_nationkey", "StoreKey"),
+            (reps, "SalesRep", "s_suppkey", "SalesRepKey"),
+        )
+    ]
+
+
+def focus_lookup(spark: SparkSession, sf: str) -> Lookup:
+    return Lookup(focus_dim(spark, sf), {c: c for c in MAPPED}, "CustomMappingKey")

@@ -93,9 +93,9 @@ def from_source(spark, sf):
 )
 def unknown_members(spark, sf):
     """The unknown row of every dimension."""
-    built = star.all_attribute_dims(spark, sf)
+    built = star.all_dims(spark, sf)
     shown = [(spec.key, built[spec.key], spec.target) for spec in star.ATTRIBUTES]
-    shown.append(("DateKey", star.date_dim(spark, sf), "MonthName"))
+    shown.append(("DateKey", built["DateKey"], "MonthName"))
     found = [
         dim.where(F.col(key) == UNKNOWN_KEY).select(F.lit(key).alias("dimension"), F.col(column).alias("member"))
         for key, dim, column in shown
@@ -149,9 +149,9 @@ _NAMES = {
 
 
 def _detail(spark, sf, keep):
-    built = star.all_attribute_dims(spark, sf)
+    built = star.all_dims(spark, sf)
     by = {out: Attribute(built[spec.key], spec.key, spec.target) for out, spec in _NAMES.items()}
-    by["Date"] = Attribute(star.date_dim(spark, sf), "SalesDateKey", "Date", "DateKey")
+    by["Date"] = Attribute(built["DateKey"], "SalesDateKey", "Date", "DateKey")
     fact = star.hash_fact(spark, sf, star.ATTRIBUTES, keep, with_date=True)
     return reports.detail(fact, by, keep)
 
@@ -180,11 +180,8 @@ def hash_keys(spark, sf):
     ),
 )
 def lookup_single(spark, sf):
-    built = star.source_dims(spark, sf)
-    fact = sales(spark, sf, ["OrderKey", "LineNumber", "Revenue", *built])
-    for column, (key, dim) in built.items():
-        fact = facts.lookup(fact, dim, {column: column}, key)
-    return fact.drop(*built)
+    fact = sales(spark, sf, ["OrderKey", "LineNumber", "Revenue", "Region", "StoreName", "SalesRep"])
+    return facts.key_by_lookup(fact, star.source_lookups(spark, sf))
 
 
 def _keyed(spec, name: str) -> str:
@@ -231,8 +228,7 @@ def lookup_keys(spark, sf):
 )
 def apply_mapping(spark, sf):
     fact = sales(spark, sf, ["OrderKey", "LineNumber", "Revenue", *star.MAPPED])
-    on = {c: c for c in star.MAPPED}
-    return facts.lookup(fact, star.focus_dim(spark, sf), on, "CustomMappingKey").drop(*star.MAPPED)
+    return facts.key_by_lookup(fact, [star.focus_lookup(spark, sf)])
 
 
 @query(
@@ -268,9 +264,9 @@ def measures(spark, sf):
 
 
 def _hash_star(spark, sf):
-    built = star.all_attribute_dims(spark, sf)
+    built = star.all_dims(spark, sf)
     sides = {spec.key: (built[spec.key], spec.key) for spec in star.ATTRIBUTES}
-    sides["SalesDateKey"] = (star.date_dim(spark, sf), "DateKey")
+    sides["SalesDateKey"] = (built["DateKey"], "DateKey")
     return star.hash_fact(spark, sf, star.ATTRIBUTES, ["UnitsSold", "Revenue"], with_date=True), sides
 
 
@@ -336,7 +332,7 @@ def row_count(spark, sf):
 def measure_sum(spark, sf):
     extract = sales(spark, sf, ["UnitsSold", "Revenue"])
     fact = sales(spark, sf, ["UnitsSold", "Revenue", *star.MAPPED])
-    mapped = facts.lookup(fact, star.focus_dim(spark, sf), {c: c for c in star.MAPPED}, "CustomMappingKey")
+    mapped = facts.key_by_lookup(fact, [star.focus_lookup(spark, sf)])
     return checks.measure_sum(extract, mapped, {"UnitsSold": "UnitsSold", "Revenue": "Revenue"})
 
 
@@ -448,9 +444,8 @@ def mapping_duplicates(spark, sf):
     ),
 )
 def key_collision(spark, sf):
-    built = star.all_attribute_dims(spark, sf)
-    found = [checks.key_collision(built[spec.key], spec.key, [spec.target]) for spec in star.ATTRIBUTES]
-    return reduce(lambda a, b: a.unionByName(b), found)
+    built = star.all_dims(spark, sf)
+    return checks.key_collision({spec.key: (built[spec.key], spec.key, [spec.target]) for spec in star.ATTRIBUTES})
 
 
 # --- reports -------------------------------------------------------------------------------------

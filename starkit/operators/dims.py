@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from starkit.functions.keys import UNKNOWN_KEY, UNKNOWN_TEXT, date_key, hash_key, normalise, semester
 from starkit.operators.numbering import dense_key, stable_key
+from starkit.operators.windows import top_n
 from starkit.session import stage
 
 
@@ -63,9 +64,11 @@ def without_unknown(df: DataFrame, key: str) -> DataFrame:
 
 
 def _least_spelling(values: DataFrame, text: Column, trim: bool, *within: str) -> DataFrame:
-    # Spellings that differ in case only are one member, shown by the least spelling. The input
-    # is distinct already: that is a hash aggregate, where a minimum of texts would sort the extract.
-    return values.groupBy(*within, normalise(text, trim).alias("_same")).agg(F.min(text).alias("member")).drop("_same")
+    # Spellings that differ in case only are one member, shown by the least spelling. The input is
+    # distinct already, by a hash aggregate; taking the first row keeps it so, where a minimum of
+    # texts would let Spark drop the distinct and sort the whole extract.
+    spelled = values.select(*within, text.alias("member"), normalise(text, trim).alias("_same"))
+    return top_n(spelled, [*within, "_same"], [F.col("member")], 1).drop("_same")
 
 
 def _dimension(members: DataFrame, spec: AttributeDim) -> DataFrame:
@@ -130,12 +133,10 @@ def composite_dimension(
         return stable_key(existing, members, spec.natural, spec.key)
     if strategy in ("dense", "stable"):
         return with_unknown(dense_key(members, spec.natural, spec.key), spec.key)
-    one_spelling = members.groupBy(*[normalise(F.col(c)).alias(f"_{c}") for c in spec.natural]).agg(
-        F.min(F.struct(*spec.natural)).alias("_shown")
-    )
-    shown = one_spelling.select("_shown.*")
-    keyed = shown.withColumn(spec.key, hash_key([F.col(c) for c in spec.natural], strategy))
-    return with_unknown(keyed, spec.key)
+    same = [f"_{c}" for c in spec.natural]
+    spelled = members.withColumns({name: normalise(F.col(c)) for name, c in zip(same, spec.natural)})
+    shown = top_n(spelled, same, [F.col(c) for c in spec.natural], 1).drop(*same)
+    return with_unknown(shown.withColumn(spec.key, hash_key([F.col(c) for c in spec.natural], strategy)), spec.key)
 
 
 def dimension_from_source(source: DataFrame, natural: Sequence[str], drop: Sequence[str], key: str) -> DataFrame:

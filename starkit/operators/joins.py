@@ -89,17 +89,22 @@ def _spread_join(fact: DataFrame, side: DataFrame, pairs: Mapping[str, str], how
     spread = F.xxhash64(*fact.columns)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     salt = F.when(any_null([fact[c] for c in ours]), F.pmod(spread, F.lit(tasks)).cast("int"))
+    # Exploded even where it is always zero: a constant would be folded out of the join keys.
+    salts = F.array(F.lit(0))
     if hot.isEmpty():
         left = fact.withColumn("_salt", salt.otherwise(0))
-        right = side.withColumn("_salt_side", F.lit(0))
+        right = side.withColumn("_salt_side", F.explode(salts))
     else:
-        flagged = fact.join(hot, equal_on(fact, hot, {c: f"_hot_{c}" for c in ours}), "left")
-        left = flagged.withColumn(
-            "_salt",
-            salt.when(F.col("_parts").isNotNull(), F.pmod(spread, F.col("_parts")).cast("int")).otherwise(0),
-        ).drop(*hot.columns)
-        salts = F.coalesce(F.sequence(F.lit(0), F.col("_parts") - 1), F.array(F.lit(0)))
-        flagged_side = side.join(hot, equal_on(side, hot, {pairs[c]: f"_hot_{c}" for c in ours}), "left")
-        right = flagged_side.withColumn("_salt_side", F.explode(salts)).drop(*hot.columns)
+        parts = F.col("_parts")
+        left = (
+            fact.join(hot, equal_on(fact, hot, {c: f"_hot_{c}" for c in ours}), "left")
+            .withColumn("_salt", salt.when(parts.isNotNull(), F.pmod(spread, parts).cast("int")).otherwise(0))
+            .drop(*hot.columns)
+        )
+        right = (
+            side.join(hot, equal_on(side, hot, {pairs[c]: f"_hot_{c}" for c in ours}), "left")
+            .withColumn("_salt_side", F.explode(F.coalesce(F.sequence(F.lit(0), parts - 1), salts)))
+            .drop(*hot.columns)
+        )
     matched = equal_on(left, right, {**pairs, "_salt": "_salt_side"})
     return left.join(right, matched, how)

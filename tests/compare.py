@@ -10,6 +10,10 @@ from collections import Counter
 import duckdb
 
 
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for path in glob.glob(f"{sf_dir}/*.parquet"):

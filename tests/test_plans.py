@@ -1,0 +1,56 @@
+"""Physical plans: what is pushed down, what is broadcast, and what never runs in one task."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from compare import plan_of
+from starkit.operators import dims
+from starkit.operators.joins import Side, to_dimensions
+from starkit.operators.windows import top_n
+from starkit.plans.flat import FIELDS, sales, table
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def no_auto_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_small_dimension_is_broadcast_and_a_large_one_is_not(spark, no_auto_broadcast):
+    lines, parts = table(spark, SF, "lineitem"), table(spark, SF, "part")
+    side = [Side(parts, {"l_partkey": "p_partkey"}, ["p_name"])]
+    assert "BroadcastHashJoin" in plan_of(to_dimensions(lines, side))
+    large = plan_of(to_dimensions(lines, side, broadcast_bytes=0))
+    assert "BroadcastHashJoin" not in large and "SortMergeJoin" in large
+    assert re.search(r"Exchange hashpartitioning\(l_partkey#\d+L, _salt", large)
+
+
+def test_top_n_limits_groups_before_the_shuffle(spark):
+    plan = plan_of(top_n(table(spark, SF, "orders"), ["o_custkey"], [F.col("o_totalprice").desc(), F.col("o_orderkey")], 2))
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
+
+
+def test_extract_joins_only_what_is_asked_for(spark):
+    assert plan_of(sales(spark, SF, ["UnitsSold", "StoreType"])).count("FileScan") == 1
+    assert plan_of(sales(spark, SF, ["ProductName"])).count("FileScan") == 2
+    assert sales(spark, SF).columns == list(FIELDS)
+
+
+def test_extract_reads_only_used_columns(spark):
+    schema = re.search(r"ReadSchema: struct<([^>]*)>", plan_of(sales(spark, SF, ["UnitsSold", "StoreType"]))).group(1)
+    assert set(re.findall(r"(\w+):", schema)) == {"l_linenumber", "l_quantity", "l_returnflag"}
+
+
+def test_filters_reach_the_scan(spark):
+    plan = plan_of(table(spark, SF, "orders").where("o_totalprice < 10").select("o_orderkey"))
+    assert "LessThan(o_totalprice,10.0)" in plan
+
+
+def test_dimension_values_are_reduced_by_hash_before_the_shuffle(spark):
+    plan = plan_of(dims.attribute_dimension(sales(spark, SF, ["SalesRep"]), dims.AttributeDim("SalesRep", "Name", "K")))
+    assert "SortAggregate" not in plan and plan.count("HashAggregate") == 2

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 # Fixed limits; every operator that uses one takes it as a parameter too.
 BROADCAST_BYTES = 64 * 1024 * 1024
-GROUP_ROWS = 20_000_000
+GROUP_ROWS = 5_000_000
 
 _ROW_OVERHEAD = 32
 _COLUMN_OVERHEAD = 16
@@ -21,10 +21,11 @@ _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.Tim
 
 def payload_bytes(frames: Sequence[DataFrame]) -> list[int | None]:
     """Measured size of the rows of each frame, all in one job; None where a column has no known width."""
-    measured = [_size_row(place, df) for place, df in enumerate(frames) if _known_width(df)]
-    sizes: list[int | None] = [None] * len(frames)
-    if measured:
-        for place, size in reduce(DataFrame.unionAll, measured).collect():
+    sizes: list[int | None] = [0 if _known_width(df) else None for df in frames]
+    rows = [_row_sizes(place, df) for place, df in enumerate(frames) if sizes[place] is not None]
+    if rows:
+        summed = reduce(DataFrame.unionAll, rows).groupBy("place").agg(F.sum("bytes"))
+        for place, size in summed.collect():
             sizes[place] = size
     return sizes
 
@@ -33,11 +34,11 @@ def _known_width(df: DataFrame) -> bool:
     return all(isinstance(f.dataType, (T.StringType, *_FIXED_WIDTH)) for f in df.schema.fields)
 
 
-def _size_row(place: int, df: DataFrame) -> DataFrame:
+def _row_sizes(place: int, df: DataFrame) -> DataFrame:
     per_row = _ROW_OVERHEAD + _COLUMN_OVERHEAD * len(df.columns)
     texts = [F.octet_length(f.name) for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     length = reduce(add, [F.coalesce(text, F.lit(0)) for text in texts], F.lit(per_row))
-    return df.agg(F.lit(place).alias("place"), F.coalesce(F.sum(length), F.lit(0)).alias("bytes"))
+    return df.select(F.lit(place).alias("place"), length.alias("bytes"))
 
 
 def fits_broadcast(frames: Sequence[DataFrame], limit: int = BROADCAST_BYTES) -> list[bool]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -168,6 +169,22 @@ def hash_keys(spark, sf):
     return _detail(spark, sf, ["OrderKey", "LineNumber"])
 
 
+@query(
+    "fact_hash_keys_murmur3",
+    over_sales("""SELECT "OrderKey", "LineNumber", coalesce("Region", 'N/A') AS "Region", "ProductCategory" AS "Category" FROM sales_flat"""),
+)
+def hash_keys_murmur3(spark, sf):
+    """Two small dimensions keyed by the 32-bit hash, resolved to names again."""
+    region, category = (replace(spec, algorithm="murmur3") for spec in (star.REGION, star.CATEGORY))
+    extract = sales(spark, sf, ["OrderKey", "LineNumber", region.source, category.source])
+    built = dims.star_dimensions(extract, [region, category])
+    by = {
+        "Region": Attribute(built[region.key], region.key, region.target),
+        "Category": Attribute(built[category.key], category.key, category.target),
+    }
+    return reports.detail(facts.key_by_hash(extract, [region, category]), by, ["OrderKey", "LineNumber"])
+
+
 @query(
     "fact_lookup_single",
     over_sales(

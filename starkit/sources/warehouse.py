@@ -26,7 +26,10 @@ class Warehouse:
     def load(self, name: str) -> DataFrame:
         return read_table(self.spark, self.path(name), self.fmt)
 
-    def save_table(self, df: DataFrame, table: str) -> DataFrame:
-        """Replace a catalog table whose files lie below ``root``."""
-        df.write.format(self.fmt).mode("overwrite").option("path", self.path(table)).saveAsTable(table)
+    def save_table(self, df: DataFrame, table: str, managed: bool = False) -> DataFrame:
+        """Replace a catalog table: files below ``root``, or in the catalog's own folder if ``managed``."""
+        writer = df.write.format(self.fmt).mode("overwrite")
+        if not managed:
+            writer = writer.option("path", self.path(table))
+        writer.saveAsTable(table)
         return self.spark.table(table)

@@ -165,9 +165,15 @@ def test_warehouse_writes_and_reads_one_path(spark):
     warehouse.save(first, "t")
     assert warehouse.save(spark.range(5, 7), "t").count() == 2
     assert warehouse.load("t").count() == 2
-    table = warehouse.path("x").rsplit("-", 1)[1].replace("/", "_")
-    warehouse.save_table(first, f"t_{table}")
-    assert warehouse.save_table(spark.range(1), f"t_{table}").count() == 1
+
+
+@pytest.mark.parametrize("managed", [False, True])
+def test_catalog_tables_are_replaced(spark, managed):
+    warehouse = Warehouse(spark, fresh_path(spark, "tables"))
+    name = "replaced_managed" if managed else "replaced"
+    warehouse.save_table(spark.range(3), name, managed)
+    assert warehouse.save_table(spark.range(1), name, managed).count() == 1
+    assert spark.catalog.getTable(name).tableType == ("MANAGED" if managed else "EXTERNAL")
 
 
 def test_failed_checks_raise(spark):

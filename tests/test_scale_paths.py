@@ -11,7 +11,7 @@ from starkit.operators import checks, dims, facts
 from starkit.operators.dims import AttributeDim, CompositeDim
 from starkit.operators.joins import Side, to_dimensions
 from starkit.operators.numbering import dense_key
-from starkit.operators.sizes import hot_groups, payload_bytes
+from starkit.operators.sizes import GROUP_ROWS, hot_groups, payload_bytes
 from starkit.operators.windows import previous_and_running
 
 
@@ -41,7 +41,7 @@ def _brute_force(df):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("group_rows", [20_000_000, 100, 10])
+@pytest.mark.parametrize("group_rows", [GROUP_ROWS, 100, 10])
 def test_previous_and_running(spark, seed, group_rows):
     df = _history(spark, seed)
     got = previous_and_running(df, ["k"], ["day", "id"], "v", group_rows=group_rows)
@@ -57,7 +57,7 @@ def test_decimal_values_keep_their_type(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("group_rows", [20_000_000, 30])
+@pytest.mark.parametrize("group_rows", [GROUP_ROWS, 30])
 def test_spread_join(spark, how, group_rows):
     fact = _history(spark, 4)
     dim = spark.createDataFrame([("hot", 1, "x"), ("k1", 2, "y"), ("k2", 3, None), ("none", 4, "z")], "name string, K bigint, t string")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starkit.functions.keys import money
-from starkit.operators.joins import Side, to_dimensions
+from starkit.operators.joins import Side, equal_on, to_dimensions
 from starkit.operators.sizes import BROADCAST_BYTES, GROUP_ROWS
 
 
@@ -27,6 +27,19 @@ def _sum(df: DataFrame, column: str) -> Column:
     return F.sum(money(F.col(column), df.schema[column].dataType))
 
 
+def _sides(by: Mapping[str, Attribute]) -> list[Side]:
+    """One side per dimension and fact key, however many attributes are taken from it."""
+    grouped: dict[tuple, dict[str, Attribute]] = {}
+    for out, a in by.items():
+        grouped.setdefault((a.fact_key, id(a.dim), a.dim_key), {})[out] = a
+    sides = []
+    for (fact_key, _, dim_key), wanted in grouped.items():
+        dim = next(iter(wanted.values())).dim
+        named = [F.col(a.column).alias(out) for out, a in wanted.items()]
+        sides.append(Side(dim.select(F.col(dim_key or fact_key).alias(f"_{fact_key}"), *named), {fact_key: f"_{fact_key}"}, list(wanted)))
+    return sides
+
+
 def totals(
     fact: DataFrame,
     by: Mapping[str, Attribute],
@@ -42,13 +55,8 @@ def totals(
     """
     keys = list(dict.fromkeys(a.fact_key for a in by.values()))
     summed = fact.groupBy(*keys).agg(*[_sum(fact, column).alias(out) for out, column in measures.items()])
-    for key in keys:
-        wanted = {out: a for out, a in by.items() if a.fact_key == key}
-        dim = next(iter(wanted.values()))
-        side = dim.dim.select(
-            F.col(dim.dim_key or key).alias(f"_{key}"), *[F.col(a.column).alias(out) for out, a in wanted.items()]
-        )
-        summed = summed.join(side, summed[key] == side[f"_{key}"]).drop(f"_{key}")
+    for side in _sides(by):
+        summed = summed.join(side.dim, equal_on(summed, side.dim, side.on)).drop(*side.on.values())
     if where is not None:
         summed = summed.where(where)
     return summed.groupBy(*by).agg(*[F.sum(out).cast("double").alias(out) for out in measures])
@@ -63,8 +71,4 @@ def detail(
 ) -> DataFrame:
     """Fact rows with attributes in place of keys: one inner join per dimension."""
     keyed = fact.select(*keep, *dict.fromkeys(a.fact_key for a in by.values()))
-    sides = [
-        Side(a.dim.select(F.col(a.dim_key or a.fact_key).alias("_key"), F.col(a.column).alias(out)), {a.fact_key: "_key"}, [out])
-        for out, a in by.items()
-    ]
-    return to_dimensions(keyed, sides, "inner", broadcast_bytes, group_rows).select(*keep, *by)
+    return to_dimensions(keyed, _sides(by), "inner", broadcast_bytes, group_rows).select(*keep, *by)

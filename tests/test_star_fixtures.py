@@ -102,6 +102,16 @@ def test_channel_by_chosen_subcategories(star):
     }
 
 
+def test_two_attributes_of_one_dimension(star):
+    fact, stored = star
+    by = {out: Attribute(stored["DateKey"], "SalesDateKey", out, "DateKey") for out in ("Year", "Semester")}
+    found = reports.totals(fact, by, {"units": "UnitsSold"}, F.col("Year") == 2022)
+    assert as_set(found) == {(2022, "Spring", 22 + 25), (2022, "Summer", 22 + 20), (2022, "Fall", 25)}
+    assert bag(reports.detail(fact, by, ["UnitsSold"]).groupBy("Year").count(), "Year", "count") == bag(
+        reports.detail(fact, {"Year": by["Year"]}, []).groupBy("Year").count()
+    )
+
+
 def test_every_key_is_found_and_no_key_collides(star):
     fact, stored = star
     sides = {spec.key: (stored[spec.key], spec.key) for spec in ATTRIBUTES}

@@ -82,11 +82,16 @@ def _in_ranges(df, keys, order, value, previous, running, default) -> DataFrame:
         F.sum(exact).alias("_sum"), F.max_by(F.struct(value), F.struct(*order)).alias("_last")
     )
     earlier = W.partitionBy(*keys).orderBy("_range")
-    carried = per_range.select(
-        *[F.col(k).alias(f"_c_{k}") for k in keys],
-        F.col("_range").alias("_c_range"),
-        F.sum("_sum").over(earlier.rowsBetween(W.unboundedPreceding, -1)).alias("_sum_before"),
-        F.lag("_last").over(earlier).alias("_last_before"),
+    # Ranges are cut in order of group and rank, so there are at most groups + ranges of these rows;
+    # once they are written Spark sees that and sends them to the ranged rows.
+    carried = stage(
+        per_range.select(
+            *[F.col(k).alias(f"_c_{k}") for k in keys],
+            F.col("_range").alias("_c_range"),
+            F.sum("_sum").over(earlier.rowsBetween(W.unboundedPreceding, -1)).alias("_sum_before"),
+            F.lag("_last").over(earlier).alias("_last_before"),
+        ),
+        "hot-group-carries",
     )
     pairs = {**{k: f"_c_{k}" for k in keys}, "_range": "_c_range"}
     joined = ranged.join(carried, equal_on(ranged, carried, pairs, null_safe=True))

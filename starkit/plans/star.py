@@ -42,12 +42,20 @@ def attribute_dim(spark: SparkSession, sf: str, spec: AttributeDim) -> DataFrame
     return dims.attribute_dimension(sales_values(spark, sf, [spec.source]), spec)
 
 
-def all_dims(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def staged_sales(spark: SparkSession, sf: str, columns) -> DataFrame:
+    """The extract written once, for queries that build several dimensions and a fact from it:
+    its joins run once, and each later step reads only the columns it needs."""
+    return stage(sales(spark, sf, columns), "sales")
+
+
+def all_dims(extract: DataFrame) -> dict[str, DataFrame]:
     """The seven attribute dimensions and the calendar, by key name, from one pass over the extract."""
-    extract = sales(spark, sf, [*[s.source for s in ATTRIBUTES], *DATES])
     return dims.star_dimensions(extract, ATTRIBUTES, *DATES)
 
 
+ALL_ATTRIBUTES = [*[spec.source for spec in ATTRIBUTES], *DATES]
+
+
 def date_dim(spark: SparkSession, sf: str) -> DataFrame:
     return dims.date_dimension(sales(spark, sf, ["SalesDate"]), "SalesDate")
 
@@ -72,12 +80,24 @@ def clean_sales(spark: SparkSession, sf: str, columns) -> DataFrame:
     return facts.clean(sales(spark, sf, columns), [rule for rule in CLEANING if rule.column in columns])
 
 
-def revenue_fact(spark: SparkSession, sf: str, built: list[tuple[CompositeDim, DataFrame]]) -> DataFrame:
-    """Cleaned facts with net revenue, keyed by lookup in ``built``."""
-    attributes = [c for spec, _ in built for c in spec.columns]
-    extract = clean_sales(spark, sf, ["OrderKey", "LineNumber", "UnitsSold", "UnitPrice", "Discount", *attributes])
-    measured = extract.withColumn("NetRevenue", facts.net_revenue("UnitsSold", "UnitPrice", "Discount"))
-    return facts.key_by_lookup(measured, [facts.composite_lookup(*pair) for pair in built], check_unique=False)
+def revenue_star(spark: SparkSession, sf: str, *specs: CompositeDim) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Cleaned facts with net revenue, keyed by lookup in the dimensions of ``specs``; dimensions by key name.
+
+    For one dimension the extract is read twice, once reduced to the members; for more it is written first.
+    """
+    attributes = [c for spec in specs for c in spec.columns]
+    measures = ["UnitsSold", "UnitPrice", "Discount"]
+    columns = ["OrderKey", "LineNumber", *measures, *attributes]
+    if len(specs) == 1:
+        extract = sales(spark, sf, columns)
+        built = {specs[0].key: composite_dim(spark, sf, specs[0])}
+    else:
+        extract = staged_sales(spark, sf, columns)
+        built = {spec.key: dims.composite_dimension(extract, spec) for spec in specs}
+    cleaned = facts.clean(extract, [rule for rule in CLEANING if rule.column in extract.columns])
+    measured = cleaned.withColumn("NetRevenue", facts.net_revenue(*measures))
+    lookups = [facts.composite_lookup(spec, built[spec.key]) for spec in specs]
+    return facts.key_by_lookup(measured, lookups, check_unique=False), built
 
 
 def focus_mapping(spark: SparkSession, sf: str) -> DataFrame:

@@ -93,7 +93,7 @@ def from_source(spark, sf):
 )
 def unknown_members(spark, sf):
     """The unknown row of every dimension."""
-    built = star.all_dims(spark, sf)
+    built = star.all_dims(sales(spark, sf, star.ALL_ATTRIBUTES))
     shown = [(spec.key, built[spec.key], spec.target) for spec in star.ATTRIBUTES]
     shown.append(("DateKey", built["DateKey"], "MonthName"))
     found = [
@@ -149,11 +149,11 @@ _NAMES = {
 
 
 def _detail(spark, sf, keep):
-    built = star.all_dims(spark, sf)
+    extract = star.staged_sales(spark, sf, [*star.ALL_ATTRIBUTES, *keep])
+    built = star.all_dims(extract)
     by = {out: Attribute(built[spec.key], spec.key, spec.target) for out, spec in _NAMES.items()}
     by["Date"] = Attribute(built["DateKey"], "SalesDateKey", "Date", "DateKey")
-    fact = star.hash_fact(spark, sf, star.ATTRIBUTES, keep, with_date=True)
-    return reports.detail(fact, by, keep)
+    return reports.detail(facts.key_by_hash(extract, star.ATTRIBUTES, star.DATES), by, keep)
 
 
 _DETAIL = ", ".join(f"""coalesce("{spec.source}", 'N/A') AS "{out}" """ for out, spec in _NAMES.items())
@@ -175,7 +175,7 @@ def hash_keys(spark, sf):
 def hash_keys_murmur3(spark, sf):
     """Two small dimensions keyed by the 32-bit hash, resolved to names again."""
     region, category = (replace(spec, algorithm="murmur3") for spec in (star.REGION, star.CATEGORY))
-    extract = sales(spark, sf, ["OrderKey", "LineNumber", region.source, category.source])
+    extract = star.staged_sales(spark, sf, ["OrderKey", "LineNumber", region.source, category.source])
     built = dims.star_dimensions(extract, [region, category])
     by = {
         "Region": Attribute(built[region.key], region.key, region.target),
@@ -230,8 +230,8 @@ _NET = """CAST("UnitsSold" AS DECIMAL(12,2)) * CAST("UnitPrice" AS DECIMAL(12,2)
     ),
 )
 def lookup_keys(spark, sf):
-    built = [(spec, star.composite_dim(spark, sf, spec)) for spec in (star.PRODUCT, star.STORE, star.EMPLOYEE)]
-    return star.revenue_fact(spark, sf, built).withColumn("NetRevenue", F.col("NetRevenue").cast("double"))
+    fact, _ = star.revenue_star(spark, sf, star.PRODUCT, star.STORE, star.EMPLOYEE)
+    return fact.withColumn("NetRevenue", F.col("NetRevenue").cast("double"))
 
 
 @query(
@@ -280,10 +280,11 @@ def measures(spark, sf):
 
 
 def _hash_star(spark, sf):
-    built = star.all_dims(spark, sf)
+    extract = star.staged_sales(spark, sf, star.ALL_ATTRIBUTES)
+    built = star.all_dims(extract)
     sides = {spec.key: (built[spec.key], spec.key) for spec in star.ATTRIBUTES}
     sides["SalesDateKey"] = (built["DateKey"], "DateKey")
-    return star.hash_fact(spark, sf, star.ATTRIBUTES, ["UnitsSold", "Revenue"], with_date=True), sides
+    return facts.key_by_hash(extract, star.ATTRIBUTES, star.DATES), sides
 
 
 _KEYS = [spec.key for spec in star.ATTRIBUTES] + ["SalesDateKey"]
@@ -327,8 +328,8 @@ def referential_partial(spark, sf):
 
 
 def _revenue_star(spark, sf):
-    built = [(spec, star.composite_dim(spark, sf, spec)) for spec in (star.STORE, star.EMPLOYEE)]
-    return star.revenue_fact(spark, sf, built)
+    fact, _ = star.revenue_star(spark, sf, star.STORE, star.EMPLOYEE)
+    return fact
 
 
 @query("chk_row_count", "SELECT count(*) AS source_rows, count(*) AS fact_rows, true AS passed FROM lineitem")
@@ -460,7 +461,7 @@ def mapping_duplicates(spark, sf):
     ),
 )
 def key_collision(spark, sf):
-    built = star.all_dims(spark, sf)
+    built = star.all_dims(sales(spark, sf, star.ALL_ATTRIBUTES))
     return checks.key_collision({spec.key: (built[spec.key], spec.key, [spec.target]) for spec in star.ATTRIBUTES})
 
 
@@ -487,10 +488,9 @@ def by_rep(spark, sf):
     over_sales(f"""SELECT coalesce("Region", 'N/A') AS "StoreRegion", {_NET_SUMS} FROM cleaned GROUP BY 1""", _CLEAN),
 )
 def by_region(spark, sf):
-    stores = star.composite_dim(spark, sf, star.STORE)
-    fact = star.revenue_fact(spark, sf, [(star.STORE, stores)])
+    fact, built = star.revenue_star(spark, sf, star.STORE)
     net = {"TotalUnitSold": "UnitsSold", "TotalRevenue": "NetRevenue"}
-    return reports.totals(fact, {"StoreRegion": Attribute(stores, "StoreKey", "Region")}, net)
+    return reports.totals(fact, {"StoreRegion": Attribute(built["StoreKey"], "StoreKey", "Region")}, net)
 
 
 @query(
@@ -498,10 +498,9 @@ def by_region(spark, sf):
     over_sales(f"""SELECT coalesce("SalesRep", 'N/A') AS "SalesRep", {_NET_SUMS} FROM cleaned GROUP BY 1""", _CLEAN),
 )
 def by_employee(spark, sf):
-    reps = star.composite_dim(spark, sf, star.EMPLOYEE)
-    fact = star.revenue_fact(spark, sf, [(star.EMPLOYEE, reps)])
+    fact, built = star.revenue_star(spark, sf, star.EMPLOYEE)
     net = {"TotalUnitSold": "UnitsSold", "TotalRevenue": "NetRevenue"}
-    return reports.totals(fact, {"SalesRep": Attribute(reps, "EmployeeKey", "SalesRep")}, net)
+    return reports.totals(fact, {"SalesRep": Attribute(built["EmployeeKey"], "EmployeeKey", "SalesRep")}, net)
 
 
 @query(

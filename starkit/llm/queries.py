@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starkit.llm import packing, quality, token_counts, token_output
+from starkit.llm import near_duplicates, packing, quality, token_counts, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -51,3 +51,8 @@ def op6_elias_fano_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_two_tier_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE), limit=4096)
+
+
+@query()
+def op10_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.group(table(spark, sf_dir, "documents"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starkit.llm import near_duplicates, packing, quality, token_counts, token_output
+from starkit.llm import decontamination, near_duplicates, packing, quality, token_counts, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,6 +42,45 @@ def op3_isolation_forest_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP4_SQL = rf"""
+WITH doc AS (
+  SELECT row_number() OVER (ORDER BY doc_id, text) AS k, doc_id,
+         regexp_extract_all({ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), item AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id,
+         regexp_extract_all({ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), phrase AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS p
+  FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM item WHERE len(w) > 0)
+), place AS (
+  SELECT k, n, i, array_to_string(w[i : i + n - 1], ' ') AS p
+  FROM (SELECT k, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+        FROM doc, (SELECT DISTINCT n FROM phrase) WHERE len(w) >= n)
+), hit AS (
+  SELECT k, item_id, i, place.n AS n FROM place JOIN phrase ON place.p = phrase.p AND place.n = phrase.n
+), summed AS (
+  SELECT k, count(DISTINCT pos) AS n_hit, count(DISTINCT item_id) AS n_items,
+         string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS items
+  FROM (SELECT k, item_id, unnest(generate_series(i, i + n - 1)) AS pos FROM hit) GROUP BY k
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN summed USING (k)
+"""
+
+
+@query(OP4_SQL)
+def op4_positional_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), "contaminated"
+    )
+
+
 @query()
 def op6_elias_fano_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_output.write(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), end_id=0)

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 WHITE_SPACE = "\t-\r \x85\xa0  -     　"
 
 #: Entries of each of the two generations of a worker's cache, and the longest text that it keeps.
-CACHE_ENTRIES = 350_000
+CACHE_ENTRIES = 450_000
 CACHED_CHARS = 64
 #: Characters of text whose units are looked up, and encoded where missing, at a time.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 6_000_000
 
 
 def strings(batch: pa.RecordBatch, column: str) -> list[str]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starkit.llm import decontamination, near_duplicates, packing, quality, token_counts, token_output
+from starkit.llm import decontamination, near_duplicates, packing, quality, secret_scan, token_counts, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -81,6 +81,63 @@ def op4_positional_index_decontamination(spark: SparkSession, sf_dir: str) -> Da
     )
 
 
+def _cut_sql(kind: str, rank: int, value: str) -> str:
+    pattern = secret_scan.PATTERNS[kind].replace("'", "''")
+    return f"""SELECT k, owner, '{kind}' AS kind, {rank} AS rank, {secret_scan.LEAST[kind]} AS least, i, f[i] AS m, g[i] AS gap,
+       {value.format(pattern=pattern)} AS value
+  FROM (SELECT k, owner, f, g, unnest(generate_series(1, len(f))) AS i
+        FROM (SELECT k, owner, regexp_extract_all(t, '{pattern}') AS f, regexp_split_to_array(t, '{pattern}') AS g FROM doc))"""
+
+
+_CUTS = "\n  UNION ALL ".join(
+    _cut_sql(kind, rank, "regexp_extract(f[i], '{pattern}', 2)" if kind == "assign" else "f[i]")
+    for rank, kind in enumerate(secret_scan.PATTERNS)
+)
+
+OP5_SQL = f"""
+WITH doc AS (
+  SELECT row_number() OVER (ORDER BY doc_id) AS k, doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS t FROM documents
+), cut AS (
+  {_CUTS}
+), placed AS (
+  SELECT *, sum(length(gap)) OVER w + sum(length(m)) OVER w - length(m) AS a FROM cut
+  WINDOW w AS (PARTITION BY k, kind ORDER BY i ROWS UNBOUNDED PRECEDING)
+), held AS (
+  SELECT k, owner, kind, rank, value, CAST(a AS BIGINT) AS a, CAST(a + length(m) AS BIGINT) AS b FROM placed WHERE length(value) >= least
+), found AS (
+  SELECT * FROM held h WHERE kind <> 'key'
+     OR (regexp_matches(value, '[0-9]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]')
+         AND NOT EXISTS (SELECT 1 FROM held o WHERE o.k = h.k AND o.kind <> 'key' AND o.a < h.b AND h.a < o.b))
+), known AS (
+  SELECT value, count(DISTINCT owner) AS owners FROM found GROUP BY value
+), judged AS (
+  SELECT found.*, owners >= {secret_scan.EXAMPLE_OWNERS} AS example,
+         owners < {secret_scan.EXAMPLE_OWNERS} AND regexp_matches(value, '[0-9]')
+           AND len(list_distinct(regexp_extract_all(value, '.'))) >= {secret_scan.LIVE_CHARS} AS live
+  FROM found JOIN known USING (value)
+), summed AS (
+  SELECT k, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank) FILTER (kind <> 'key') AS base,
+         string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank) FILTER (kind <> 'key' OR live) AS spans,
+         count(*) FILTER (live) AS n_live, count(*) FILTER (example) AS n_example
+  FROM judged GROUP BY k
+)
+SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access,
+       CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       CAST(coalesce(n_live, 0) AS BIGINT) AS n_live, CAST(coalesce(n_example, 0) AS BIGINT) AS n_example
+FROM doc LEFT JOIN summed USING (k)
+"""
+
+
+@query(OP5_SQL)
+def op5_ownership_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    counts = [secret_scan.n_of("base", kind).alias(f"n_{kind}") for kind in secret_scan.BASE]
+    digest = F.sha2(secret_scan.listing("base"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, secret_scan.listing("spans").alias("spans"), "n_live", "n_example")
+
+
 @query()
 def op6_elias_fano_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_output.write(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), end_id=0)

@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starkit.llm import decontamination, near_duplicates, packing, quality, secret_scan, token_counts, token_output
+from starkit.llm import (
+    decontamination,
+    html_extraction,
+    language_id,
+    near_duplicates,
+    packing,
+    quality,
+    secret_scan,
+    token_counts,
+    token_output,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,6 +41,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op1_tag_path_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
 @query()
 def op2_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     limits = packing.Limits(tokens=2048, segments=128, loss_tokens=2048)
@@ -149,6 +164,15 @@ def op7_two_tier_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE), limit=4096)
 
 
+@query()
+def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language_id.is_held_out(F.col("doc_id"))
+    model = language_id.learn(docs.where(~held_out).select("text", "lang"))
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "languages", "proportions")
+
+
 @query()
 def op10_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.group(table(spark, sf_dir, "documents"))

@@ -14,6 +14,7 @@ from starkit.llm import (
     language_id,
     near_duplicates,
     packing,
+    personal_data,
     quality,
     secret_scan,
     token_counts,
@@ -173,6 +174,14 @@ def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "languages", "proportions")
 
 
+@query()
+def op9_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find(table(spark, sf_dir, "documents"))
+    counts = [secret_scan.n_of("base", kind).alias(f"n_{kind}") for kind in personal_data.BASE]
+    digest = F.sha2(secret_scan.listing("base"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, secret_scan.listing("spans").alias("spans"))
+
+
 @query()
 def op10_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.group(table(spark, sf_dir, "documents"))

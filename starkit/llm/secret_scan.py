@@ -58,18 +58,18 @@ def _spans(text: Column, kind: str, rank: int) -> Column:
 
 
 def candidates(docs: DataFrame, owner: str, repository: str) -> DataFrame:
-    """row (a number), doc_id, owner, repository, base and further spans of each row; written once, which fixes the numbers."""
+    """row (a number), doc_id, owner, repository, text_hash, base and further spans of each row; written once, which fixes the numbers."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"),
-        F.coalesce(F.col(repository).cast("string"), F.lit("")).alias("repository"),
+        F.coalesce(F.col(repository).cast("string"), F.lit("")).alias("repository"), F.xxhash64("text").alias("text_hash"),
         *(_spans(text, kind, rank).alias(kind) for rank, kind in enumerate(PATTERNS)),
     )
     mixed = lambda value: value.rlike("[0-9]") & value.rlike("[a-z]") & value.rlike("[A-Z]")
     apart = lambda span: ~F.exists("base", lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
-    found = rows.select("doc_id", "owner", "repository", F.array_sort(F.concat(*BASE)).alias("base"), "key")
+    found = rows.select("doc_id", "owner", "repository", "text_hash", F.array_sort(F.concat(*BASE)).alias("base"), "key")
     further = F.filter("key", lambda span: mixed(span["value"]) & apart(span))
-    numbered = found.select(F.monotonically_increasing_id().alias("row"), "doc_id", "owner", "repository", "base", further.alias("further"))
+    numbered = found.select(F.monotonically_increasing_id().alias("row"), "doc_id", "owner", "repository", "text_hash", "base", further.alias("further"))
     return stage(numbered, "secret-candidates")
 
 
@@ -83,7 +83,7 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """For each row of ``docs`` (doc_id, text, owner, repository): row, doc_id, base, spans, n_live, n_example.
+    """For each row of ``docs`` (doc_id, text, owner, repository): row, doc_id, text_hash, base, spans, n_live, n_example.
 
     base: the spans of the base kinds (start, rank, end, kind, value); spans: those and the further ones that look live, in order. n_live and
     n_example count the candidates of the row that are taken for live, or for copied examples. A null text
@@ -103,7 +103,7 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", exa
     )
     spans = F.array_sort(F.when(F.col("added").isNull(), F.col("base")).otherwise(F.concat("base", "added")))
     counts = [F.coalesce(F.col(name), F.lit(0)).cast("long").alias(name) for name in ("n_live", "n_example")]
-    return found.join(by_row, "row", "left").select("row", "doc_id", "base", spans.alias("spans"), *counts)
+    return found.join(by_row, "row", "left").select("row", "doc_id", "text_hash", "base", spans.alias("spans"), *counts)
 
 
 def listing(spans: Column | str) -> Column:

@@ -193,12 +193,12 @@ class Phrases:
 
     def proximity(self, shard: Shard, slop: int) -> tuple[np.ndarray, np.ndarray]:
         """Item and place of each occurrence of its rarest term with its other rare terms at most ``slop`` words off."""
-        here, found = shard.numbers(self.vocabulary), []
-        size = max(map(len, self.rare), default=0)
-        terms = np.array([[*r, *[r[-1]] * (size - len(r))] for r in self.rare if len(r)], np.int64).reshape(-1, size)
+        here = shard.numbers(self.vocabulary)
         items = np.array([i for i, r in enumerate(self.rare) if len(r)], np.int64)
         if not len(items):
             return items, items
+        size = max(map(len, self.rare))
+        terms = np.array([[*r, *[r[-1]] * (size - len(r))] for r in self.rare if len(r)])  # a repeated term changes nothing
         which, places = shard.postings(here[terms[:, 0]])
         for i in range(1, size):
             kept = shard.nearest(here[terms[which, i]], places) <= slop

@@ -173,7 +173,7 @@ class LabelModel:
     def __init__(self, counts: dict[tuple[int, int], int], steps: int = 100):
         self.combinations = sorted(counts)
         self.weights = np.array([counts[c] for c in self.combinations], float)
-        self.votes = np.array([votes_of(code) for _, code in self.combinations]).reshape(-1, len(LABELERS))
+        self.votes = np.array([votes_of(code) for _, code in self.combinations], int).reshape(-1, len(LABELERS))
         self.kinds = np.array([rank for rank, _ in self.combinations], int)
         self.posterior = self._expectation_maximisation(steps)
         self.coefficients = self._classifier()

@@ -1,7 +1,7 @@
 """Quality rules over statistics of whole texts, and isolation forests for what no fixed rule catches.
 
 Statistics are taken in one pass and written. One forest is grown over all statistics and one over each alone, on a bounded
-sample of labelled good rows; the threshold of each is calibrated from all labelled rows, and every row is scored.
+sample of labelled good rows; their thresholds are calibrated from all labelled rows, and every row is scored.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
@@ -25,6 +25,8 @@ WINDOW = 8
 TREES, TREE_ROWS = 64, 256
 #: Scores are counted in so many steps to calibrate the thresholds.
 STEPS = 1000
+#: Share of bad rows that a threshold must have among the labelled rows over it.
+PRECISION = 0.75
 #: Words that a text is taken to have beyond its own when shares are taken, so that short texts are not extreme by chance.
 PRIOR_WORDS = 30
 PRIOR_CHARS = 150
@@ -52,11 +54,11 @@ def repeated_words(words: list, window: int = WINDOW) -> int:
     while done < window:  # codes[i] stands for the ``done`` words from i on
         step = min(done, window - done)
         pairs = codes[: len(codes) - step] * (int(codes.max()) + 1) + codes[step:]
-        found, codes, counts = np.unique(pairs, return_inverse=True, return_counts=True)
+        found, codes = np.unique(pairs, return_inverse=True)
         done += step
         if len(found) == len(pairs):
             return 0
-    hits = np.flatnonzero(counts[codes] > 1)
+    hits = np.flatnonzero(np.bincount(codes)[codes] > 1)
     edges = np.zeros(len(words) + 1, np.int64)
     np.add.at(edges, hits, 1)
     np.add.at(edges, hits + window, -1)
@@ -195,25 +197,39 @@ def score(stats: DataFrame, forests: list[Forest]) -> DataFrame:
     return stats.mapInArrow(scored, StructType([*stats.schema, StructField("scores", ArrayType(DoubleType()))]))
 
 
-def calibrate(scored: DataFrame, forests: int, precision: float = 0.6) -> list[float]:
-    """For each forest the threshold that rejects most bad rows beyond the good ones it costs.
+def calibrate(scored: DataFrame, forests: int, precision: float = PRECISION) -> list[float]:
+    """For each forest the score from which it rejects.
 
-    Counts over all labelled rows that pass the base rules, in STEPS steps of the score. At least
-    ``precision`` of the labelled rows over a threshold must be bad; where no step reaches that, and without
-    labels, the forest rejects nothing.
+    Forests are taken in turn, each time the one and the threshold that reject most bad labelled rows beyond the good
+    ones it costs, counted over all labelled rows that pass the base rules and that no forest has rejected yet. At least ``precision`` of the
+    rows over a threshold must be bad. A forest that gains nothing more rejects nothing, nor does any without labels.
     """
-    steps = scored.where("NOT base_failed").select("_good", F.posexplode("scores").alias("forest", "score"))
-    step = F.least(F.floor(F.col("score") * STEPS), F.lit(STEPS - 1)).cast("int").alias("step")
-    counts = np.zeros((2, forests, STEPS))
-    for row in steps.groupBy("_good", "forest", step).count().collect():
-        counts[int(row["_good"]), row["forest"], row["step"]] = row["count"]
-    bad, good = (np.cumsum(side[:, ::-1], axis=1)[:, ::-1] for side in counts)
-    gain = np.where(bad >= precision * (bad + good), bad - good, 0)
-    best = np.argmax(gain, axis=1)
-    return [float(at / STEPS) if gain[forest, at] > 0 else 2.0 for forest, at in enumerate(best)]
-
-
-def assess(docs: DataFrame, labels: DataFrame, precision: float = 0.6) -> DataFrame:
+    thresholds = [2.0] * forests
+    rows = stage(scored.where("NOT base_failed").select("_good", "scores"), "labelled-scores")
+    for _ in range(forests):
+        counts = np.zeros((2, forests, STEPS))
+        left = rows.where(~rejected(thresholds)).select("_good", F.posexplode("scores").alias("forest", "score"))
+        step = F.least(F.floor(F.col("score") * STEPS), F.lit(STEPS - 1)).cast("int").alias("step")
+        for row in left.groupBy("_good", "forest", step).count().collect():
+            counts[int(row["_good"]), row["forest"], row["step"]] = row["count"]
+        good, bad = np.cumsum(counts[:, :, ::-1], axis=2)[:, :, ::-1][[1, 0]]
+        gain = np.where(bad >= precision * (bad + good), bad - good, 0)
+        forest, at = np.unravel_index(int(np.argmax(gain)), gain.shape)
+        if gain[forest, at] <= 0:
+            break
+        thresholds[forest] = float(at / STEPS)
+    return thresholds
+
+
+def rejected(thresholds: list[float]) -> Column:
+    """Whether a score of a row reaches the threshold of its forest."""
+    found = F.lit(False)
+    for i, limit in enumerate(thresholds):
+        found = found | F.coalesce(F.get("scores", F.lit(i)) >= limit, F.lit(False))
+    return found
+
+
+def assess(docs: DataFrame, labels: DataFrame, precision: float = PRECISION) -> DataFrame:
     """For each row of ``docs`` (doc_id, text): doc_id, the COUNTS, base_failed, scores, kept.
 
     kept is false where a base rule fails, else where a score reaches the calibrated threshold of its forest.
@@ -224,9 +240,6 @@ def assess(docs: DataFrame, labels: DataFrame, precision: float = 0.6) -> DataFr
     known = labelled(stats, labels)
     forests = fit_forests(stats, known)
     scored = score(stats, forests)
-    thresholds = calibrate(score(known, forests), len(forests))
-    over = [F.coalesce(F.get("scores", F.lit(i)) >= limit, F.lit(False)) for i, limit in enumerate(thresholds)]
-    kept = ~F.col("base_failed")
-    for rejected in over:
-        kept = kept & ~rejected
+    thresholds = calibrate(score(known, forests), len(forests), precision) if forests else []
+    kept = ~F.col("base_failed") & ~rejected(thresholds)
     return scored.select("doc_id", *COUNTS, "base_failed", "scores", kept.alias("kept"))

@@ -156,9 +156,8 @@ def pack(docs: DataFrame, tokenizer: str, limits: Limits, end_id: int = 1, loss_
             return batch_of({name: (values, pa.int64()) for name, values in zip(names, columns)})
 
         for batch in batches:
-            texts = [text or "" for text in batch.column("text").to_pylist()]
             losses = batch.column("_loss").to_pylist()
-            for doc_id, ids, loss in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts), losses):
+            for doc_id, ids, loss in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist()), losses):
                 tokens = len(ids) // 4 + 1
                 quiet = 0 if loss is None else max(0, tokens - loss)
                 piece = Piece(doc_id, tokens, quiet, 0, ids + end)

@@ -148,8 +148,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 0, block_ids: int = BLO
             return batch_of({name: ([value], type_) for name, value, type_ in zip(names, values, types)})
 
         for batch in batches:
-            texts = [text or "" for text in batch.column("text").to_pylist()]
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts)):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist())):
                 doc_ids.append(doc_id)
                 lengths.append(len(ids) // 4 + 1)
                 parts += (ids, end)

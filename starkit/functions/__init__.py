@@ -2,9 +2,9 @@ from starkit.functions.keys import (
     UNKNOWN_KEY,
     UNKNOWN_TEXT,
     date_key,
+    exact,
     hash_key,
     is_fractional,
-    money,
     normalise,
     semester,
 )
@@ -13,9 +13,9 @@ __all__ = [
     "UNKNOWN_KEY",
     "UNKNOWN_TEXT",
     "date_key",
+    "exact",
     "hash_key",
     "is_fractional",
-    "money",
     "normalise",
     "semester",
 ]

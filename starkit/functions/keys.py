@@ -54,6 +54,19 @@ def is_fractional(kind: T.DataType) -> bool:
     return isinstance(kind, (T.DoubleType, T.FloatType))
 
 
-def money(column: Column, kind: T.DataType, precision: int = 18, scale: int = 2) -> Column:
-    """Binary fractions as decimals, so that sums do not depend on the order of rows."""
-    return column.cast(T.DecimalType(precision, scale)) if is_fractional(kind) else column
+#: Decimal places that a binary fraction may have where a measure states none.
+SCALE = 18
+
+
+def exact(column: Column, kind: T.DataType, scale: int | None = None, precision: int | None = None) -> Column:
+    """A binary fraction as the decimal that it is written as, so that sums do not depend on the order of rows.
+
+    ``scale`` is how many decimal places values have. Nothing is rounded: a value with more places, or too large, fails the query, as
+    does NaN. Other types are left as they are.
+    """
+    if not is_fractional(kind):
+        return column
+    scale = SCALE if scale is None else scale
+    decimal = column.try_cast(T.DecimalType(precision or (18 if scale <= 6 else 38), scale))
+    refused = F.raise_error(F.concat(F.lit(f"not exact with {scale} decimal places: "), column.cast("string")))
+    return F.when(column.isNull() | (decimal.cast(kind) == column), decimal).otherwise(refused)

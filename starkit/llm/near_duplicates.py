@@ -4,7 +4,8 @@
    sets are one class, so copies are never compared.
 2. Inverted lists of the retained values generate overlaps. Two sets that are similar enough share so many
    retained values that they also share one among the rarest few of each, so only those are listed: passages that many
-   documents share are left out by their frequency, not by a cap.
+   documents share are left out by their frequency, not by a cap. Sets with a partner there are listed again by
+   longer sketches, which for most are the whole sets and leave few lists.
 3. In each list all members are held against the most central one; only members that are in different
    components after that are held against each other.
 4. The union of two sketches estimates the similarity and filters; the full sets confirm.
@@ -27,10 +28,10 @@ from starkit.session import stage
 WORDS = 5
 #: Linked from this similarity on, in hundredths.
 PERCENT = 85
-#: Values of a sketch. A pair at the threshold shares fewer than SHARED of them with a probability of one in 10**8.
+#: Values of a sketch, and how many of them a pair at the threshold shares but with a probability of one in 10**8.
 SKETCH, SHARED = 32, 14
-#: Sets up to this size have only partners whose sketches are whole, so bounds on them are exact.
-WHOLE = SKETCH * PERCENT // 100
+#: The same for the longer sketches of sets that have a partner by the first ones.
+WIDE, WIDE_SHARED = 256, 182
 #: Rounds of comparison with one member of each list before the rest is compared member by member.
 STAR_ROUNDS = 3
 
@@ -103,24 +104,33 @@ def classes_of(rows: DataFrame) -> DataFrame:
     return stage(each.withColumn("node", F.monotonically_increasing_id()), "classes")
 
 
-def _listed(n, size):
-    """How many of the rarest values of a sketch are listed, for a set of n shingles."""
-    small = n - F.ceil(n * PERCENT / 100) + 1
-    return F.when(n <= WHOLE, small).otherwise(size - SHARED + 1)
+def _listed(size: int, shared: int):
+    """How many of its rarest values a set of n shingles must list, if sketches have ``size`` values.
 
+    A partner of a set this small has its whole set for a sketch, so the bound is exact: similar sets share
+    that part of the larger one. Otherwise it is ``shared`` that holds.
+    """
+    n = F.col("n")
+    whole = n - F.ceil(n * PERCENT / 100) + 1
+    return F.when(n <= size * PERCENT // 100, whole).otherwise(F.least(n, F.lit(size)) - shared + 1)
+
+
+def inverted_lists(sketched: DataFrame, size: int, shared: int) -> DataFrame:
+    """value, node, n, centre (how common the values of the node are) and place (of the value among those of the node, the rarest
+    being 0), in lists of two nodes at least; written once.
 
-def postings_of(classes: DataFrame) -> DataFrame:
-    """Inverted lists: value, node, centre (how common the values of the node are), in lists of two nodes at least."""
-    values = classes.select("node", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
+    ``sketched``: node, n, sketch. Counting needs all values; a list holds only nodes that have its value among their rarest.
+    """
+    values = sketched.select("node", "n", F.explode("sketch").alias("value"))
     common = values.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    held = values.join(common, "value").groupBy("node").agg(
-        F.first("n").alias("n"), F.first("size").alias("size"), F.sum("df").alias("centre"),
-        F.array_sort(F.collect_list(F.struct("df", "value"))).alias("found"),
-    )
-    alone = F.col("size") - F.size("found")  # values that no other node has, which come first in the order
-    room = F.greatest(_listed(F.col("n"), F.col("size")) - alone, F.lit(0)).cast("int")
-    listed = held.select("node", "centre", F.explode(F.slice("found", F.lit(1), room)).alias("v"))
-    listed = stage(listed.select("v.value", "node", "centre"), "postings")
+    held = values.join(common, "value").groupBy("node", "n").agg(
+        F.sum("df").alias("centre"), F.array_sort(F.collect_list(F.struct("df", "value"))).alias("found")
+    )
+    alone = F.least("n", F.lit(size)) - F.size("found")  # values that no other node has come first in the order
+    room = F.greatest(_listed(size, shared) - alone, F.lit(0)).cast("int")
+    centre = (F.col("centre") / F.least("n", F.lit(size))).alias("centre")
+    listed = held.select("node", "n", centre, alone.alias("alone"), F.posexplode(F.slice("found", F.lit(1), room)).alias("i", "v"))
+    listed = stage(listed.select("v.value", "node", "n", "centre", (F.col("alone") + F.col("i")).alias("place")), "postings")
     several = listed.groupBy("value").agg(F.count("*").alias("_k")).where("_k > 1").select("value")
     return stage(listed.join(several, "value"), "lists")
 
@@ -153,13 +163,13 @@ def full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFram
 
 def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets are similar: first by the union of their sketches, then by the full sets."""
-    brief = sets.select("node", "n", F.slice("full", 1, SKETCH).alias("sketch"))
+    brief = sets.select("node", "n", F.slice("full", 1, WIDE).alias("sketch"))
     side = lambda df, name: df.select([F.col(c).alias(name if c == "node" else f"{c}_{name}") for c in df.columns])
     estimated = pairs.select("a", "b").distinct().join(side(brief, "a"), "a").join(side(brief, "b"), "b")
-    union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, SKETCH)
-    both = F.size(F.array_intersect(union, F.array_intersect("sketch_a", "sketch_b")))
+    union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, WIDE)
+    both = F.size(F.array_intersect(F.array_intersect("sketch_a", "sketch_b"), union))
     least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    needed = F.when(most <= SKETCH, F.ceil(least * PERCENT / 100)).otherwise(F.lit(SHARED))
+    needed = F.when(most <= WIDE, F.ceil(most * PERCENT / 100)).otherwise(F.lit(WIDE_SHARED))
     passed = estimated.where((100 * least >= PERCENT * most) & (both >= needed)).select("a", "b")
     full = sets.select("node", "n", "full")
     held = passed.join(side(full, "a"), "a").join(side(full, "b"), "b")
@@ -167,9 +177,18 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return held.where(100 * shared >= PERCENT * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b")
 
 
-def _with_roots(lists: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return lists.withColumn("root", F.col("node"))
+def _possible(n_a, place_a, n_b, place_b):
+    """Whether two sets whose first shared value has these places can be similar: by their sizes, and by what is left after the value.
+
+    A pair is met in the list of its first shared value too, so the bound may be wrong for later ones.
+    """
+    least, most = F.least(n_a, n_b), F.greatest(n_a, n_b)
+    needed = F.when(most <= WIDE, F.ceil((n_a + n_b) * PERCENT / (100 + PERCENT))).otherwise(F.lit(WIDE_SHARED))
+    left = F.least(F.least(n_a, F.lit(WIDE)) - place_a, F.least(n_b, F.lit(WIDE)) - place_b)
+    return (100 * least >= PERCENT * most) & (left >= needed)
+
+
+def _with_roots(lists: DataFrame, roots: DataFrame) -> DataFrame:
     return lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
@@ -184,13 +203,15 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
     Every pair that shares a listed value is compared, or is in one component by other links.
     """
-    open_lists = postings_of(classes)
-    sets = full_sets(docs, classes, open_lists.select("node").distinct())
-    edges, roots = None, None
+    near = inverted_lists(classes.select("node", "n", "sketch"), SKETCH, SHARED).select("node").distinct()
+    sets = full_sets(docs, classes, near)
+    open_lists = inverted_lists(sets.select("node", "n", F.slice("full", 1, WIDE).alias("sketch")), WIDE, WIDE_SHARED)
+    edges = None
     open_lists = open_lists.withColumn("root", F.col("node"))
     for _ in range(STAR_ROUNDS):
-        heads = open_lists.groupBy("value").agg(F.max(F.struct("centre", "node", "root")).alias("head"))
-        pairs = open_lists.join(heads, "value").where("root <> head.root").select(
+        heads = open_lists.groupBy("value").agg(F.max(F.struct("centre", "node", "root", "n", "place")).alias("head"))
+        fits = _possible(F.col("n"), F.col("place"), F.col("head.n"), F.col("head.place"))
+        pairs = open_lists.join(heads, "value").where((F.col("root") != F.col("head.root")) & fits).select(
             F.least("node", "head.node").alias("a"), F.greatest("node", "head.node").alias("b")
         )
         found = stage(similar(pairs, sets), "links")
@@ -201,9 +222,10 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
         open_lists = stage(_unsettled(_with_roots(rest.drop("root"), roots)), "lists")
         if open_lists.isEmpty():
             return roots
-    left = open_lists.select("value", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    right = open_lists.select("value", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    pairs = left.join(right, "value").where("a < b AND root_a <> root_b").select("a", "b")
+    side = lambda name: open_lists.select("value", *(F.col(c).alias(f"{c}_{name}") for c in ("node", "root", "n", "place")))
+    fits = _possible(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"))
+    met = side("a").join(side("b"), "value").where((F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & fits)
+    pairs = met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     return components(edges.unionByName(stage(similar(pairs, sets), "links")))
 
 

@@ -7,8 +7,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starkit.functions.keys import UNKNOWN_KEY, money, normalise
+from starkit.functions.keys import SCALE, UNKNOWN_KEY, exact, is_fractional, normalise
+
+
+#: Failed rows that an error shows.
+SHOWN = 20
 
 
 class CheckFailed(AssertionError):
@@ -16,10 +21,12 @@ class CheckFailed(AssertionError):
 
 
 def require(report: DataFrame) -> None:
-    """Raise unless every row of a report has passed."""
-    failed = report.where(~F.col("passed")).take(20)
-    if failed:
-        raise CheckFailed("; ".join(str(row.asDict()) for row in failed))
+    """Raise unless every row of a report has passed; the message shows some failed rows and says how many there are."""
+    failed = report.where(~F.col("passed"))
+    shown = failed.take(SHOWN)
+    if shown:
+        more = failed.count() - len(shown) if len(shown) == SHOWN else 0
+        raise CheckFailed("; ".join(str(row.asDict()) for row in shown) + (f"; and {more} more" if more else ""))
 
 
 def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -70,7 +77,7 @@ def unmatched(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = N
 def referential(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """One row per fact key ``key -> (dimension, its key column)``: rows and unmatched rows.
 
-    All keys are counted in one pass over the fact, before anything is joined.
+    All keys are counted in one pass over the fact, before anything is joined. An empty fact has a row for each key too.
     """
     keys = list(dims)
     counted = (
@@ -86,6 +93,11 @@ def referential(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) -> D
         for key, (dim, dim_key) in dims.items()
     ]
     known = reduce(DataFrame.unionByName, members).distinct()
+    every = fact.sparkSession.range(0, 1, 1, 1).select(
+        F.explode(F.array(*[F.lit(k) for k in keys])).alias("key_column"),
+        F.lit(None).cast("bigint").alias("key_value"), F.lit(0).cast("bigint").alias("n"),
+    )
+    counted = counted.unionByName(every)
     missing = F.when(F.col("known").isNull(), F.col("n")).otherwise(0)
     return (
         counted.join(known, ["key_column", "key_value"], "left")
@@ -105,16 +117,47 @@ def row_count(source: DataFrame, fact: DataFrame) -> DataFrame:
     ).withColumn("passed", F.col("source_rows") == F.col("fact_rows"))
 
 
-def measure_sum(source: DataFrame, fact: DataFrame, measures: Mapping[str, str]) -> DataFrame:
-    """One row per measure ``source column -> fact column``: equal totals on both sides."""
+def measure_sum(
+    source: DataFrame,
+    fact: DataFrame,
+    measures: Mapping[str, str],
+    scales: Mapping[str, int] | None = None,
+    tolerance: float = 0,
+) -> DataFrame:
+    """One row per measure ``source column -> fact column``: equal totals on both sides.
 
-    def totals(df: DataFrame, columns: Mapping[str, str], out: str) -> DataFrame:
-        sums = df.agg(*[F.sum(money(F.col(c), df.schema[c].dataType)).cast("double").alias(n) for c, n in columns.items()])
-        return sums.unpivot([], list(columns.values()), "measure", out)
+    Totals are compared as exact decimals and shown as doubles. ``scales`` states decimal places by source
+    column; ``tolerance`` allows totals to differ by so much.
+    """
+    places = {
+        ours: SCALE if any(_has_fraction(df.schema[c].dataType) for df, c in ((source, ours), (fact, theirs))) else 0
+        for ours, theirs in measures.items()
+    }
 
-    left = totals(source, {c: c for c in measures}, "source_total")
-    right = totals(fact, {theirs: ours for ours, theirs in measures.items()}, "fact_total")
-    return left.join(right, "measure").withColumn("passed", F.col("source_total").eqNullSafe(F.col("fact_total")))
+    def totals(df: DataFrame, columns: Mapping[str, str], out: str) -> DataFrame:
+        sums = [
+            F.sum(exact(F.col(c), df.schema[c].dataType, (scales or {}).get(ours))).cast(T.DecimalType(38, places[ours]))
+            for ours, c in columns.items()
+        ]
+        names = list(measures.values())
+        texts = df.agg(*[total.cast("string").alias(name) for total, name in zip(sums, names)])
+        return texts.unpivot([], names, "measure", out)
+
+    left = totals(source, {c: c for c in measures}, "_source")
+    right = totals(fact, measures, "_fact")
+    shown = left.join(right, "measure").select(
+        "measure", F.col("_source").cast("double").alias("source_total"), F.col("_fact").cast("double").alias("fact_total"),
+        "_source", "_fact",
+    )
+    same = F.col("_source").eqNullSafe(F.col("_fact"))
+    if tolerance:
+        apart = F.abs(F.col("_source").cast("decimal(38,18)") - F.col("_fact").cast("decimal(38,18)"))
+        same = same | F.coalesce(apart <= F.lit(tolerance), F.lit(False))
+    return shown.withColumn("passed", same).drop("_source", "_fact")
+
+
+def _has_fraction(kind: T.DataType) -> bool:
+    return is_fractional(kind) or isinstance(kind, T.DecimalType) and kind.scale > 0
 
 
 def bag_difference(source: DataFrame, fact: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -31,10 +31,14 @@ class AttributeDim:
 
 @dataclass(frozen=True)
 class CompositeDim:
-    """Dimension of several columns (``source -> target``), found in facts by all of them."""
+    """Dimension of several columns (``source -> target``), found in facts by all of them.
+
+    ``algorithm`` is that of its keys where they are hashes.
+    """
 
     key: str
     columns: Mapping[str, str] = field(default_factory=dict)
+    algorithm: str = "xxhash64"
 
     @property
     def natural(self) -> list[str]:
@@ -71,10 +75,10 @@ def _least_spelling(values: DataFrame, text: Column, trim: bool, *within: str) -
     return top_n(spelled, [*within, "_same"], [F.col("member")], 1).drop("_same")
 
 
-def _dimension(members: DataFrame, spec: AttributeDim) -> DataFrame:
+def _dimension(members: DataFrame, spec: AttributeDim, kind: T.DataType) -> DataFrame:
     member = F.col("member")
     keyed = members.select(
-        member.alias(spec.target), hash_key([member], spec.algorithm, spec.trim).alias(spec.key)
+        member.cast(kind).alias(spec.target), hash_key([member], spec.algorithm, spec.trim).alias(spec.key)
     )
     return with_unknown(keyed, spec.key)
 
@@ -83,7 +87,7 @@ def attribute_dimension(extract: DataFrame, spec: AttributeDim) -> DataFrame:
     """Hash-keyed dimension of one column, with its unknown member; nulls are not members."""
     text = F.col(spec.source)
     values = extract.select(text).where(text.isNotNull()).distinct()
-    return _dimension(_least_spelling(values, text, spec.trim), spec)
+    return _dimension(_least_spelling(values, text, spec.trim), spec, extract.schema[spec.source].dataType)
 
 
 def star_dimensions(
@@ -97,7 +101,7 @@ def star_dimensions(
     trims = {spec.trim for spec in specs}
     if len(trims) > 1:
         raise ValueError("specs of one pass must agree on trim")
-    columns = {spec.source: F.col(spec.source) for spec in specs}
+    columns = {spec.source: F.col(spec.source).cast("string") for spec in specs}
     if date_column:
         columns[date_column] = F.year(date_column).cast("string")
     values = (
@@ -107,7 +111,10 @@ def star_dimensions(
         .distinct()
     )
     members = stage(_least_spelling(values, F.col("value"), trims.pop(), "attribute"), "members")
-    built = {spec.key: _dimension(members.where(F.col("attribute") == spec.source), spec) for spec in specs}
+    built = {
+        spec.key: _dimension(members.where(F.col("attribute") == spec.source), spec, extract.schema[spec.source].dataType)
+        for spec in specs
+    }
     if date_column:
         year = F.col("member").cast("int")
         years = members.where(F.col("attribute") == date_column).agg(F.min(year).alias("low"), F.max(year).alias("high"))
@@ -142,9 +149,9 @@ def composite_dimension(
 def dimension_from_source(source: DataFrame, natural: Sequence[str], drop: Sequence[str], key: str) -> DataFrame:
     """A source table as a dimension: its own id dropped, a dense key in natural order added.
 
-    Repeated natural keys are kept here and reported by ``checks.duplicates``.
+    Rows without a natural key are no members. Repeated natural keys are kept here and reported by ``checks.duplicates``.
     """
-    kept = source.drop(*drop)
+    kept = source.drop(*drop).dropna("any", subset=list(natural))
     others = [c for c in kept.columns if c not in natural]
     return with_unknown(dense_key(kept, [*natural, *others], key), key)
 

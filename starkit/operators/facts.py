@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starkit.functions.keys import UNKNOWN_KEY, date_key, hash_key
+from starkit.functions.keys import UNKNOWN_KEY, date_key, exact, hash_key
 from starkit.operators.checks import require_unique
 from starkit.operators.dims import AttributeDim, CompositeDim, without_unknown
 from starkit.operators.joins import Side, to_dimensions
@@ -22,8 +24,8 @@ class FillNull:
     column: str
     value: object
 
-    def touches(self) -> Column:
-        return F.col(self.column).isNull()
+    def touches(self, current: Column) -> Column:
+        return current.isNull()
 
 
 @dataclass(frozen=True)
@@ -33,8 +35,8 @@ class RaiseTo:
     column: str
     floor: float
 
-    def touches(self) -> Column:
-        return F.col(self.column) < F.lit(self.floor)
+    def touches(self, current: Column) -> Column:
+        return current < F.lit(self.floor)
 
 
 def _apply(rule: FillNull | RaiseTo, current: Column) -> Column:
@@ -43,33 +45,67 @@ def _apply(rule: FillNull | RaiseTo, current: Column) -> Column:
     return F.when(current < F.lit(rule.floor), F.lit(rule.floor)).otherwise(current)
 
 
+def _fitting(rule: FillNull | RaiseTo, kind: T.DataType) -> None:
+    """Refuse a value that the type of its column would change."""
+    value = rule.value if isinstance(rule, FillNull) else rule.floor
+    if isinstance(kind, T.IntegralType) and value != int(value):
+        raise ValueError(f"{value!r} is no {kind.simpleString()} for {rule.column}")
+    if isinstance(kind, T.DecimalType) and round(Decimal(str(value)), kind.scale) != Decimal(str(value)):
+        raise ValueError(f"{value!r} is no {kind.simpleString()} for {rule.column}")
+
+
 def clean(fact: DataFrame, rules: Sequence[FillNull | RaiseTo]) -> DataFrame:
-    """Apply the rules, in order, in one projection; column types do not change."""
+    """Apply the rules, in order, in one projection; column types do not change, and a value that does not fit its type is refused."""
     changed: dict[str, Column] = {}
     for rule in rules:
+        _fitting(rule, fact.schema[rule.column].dataType)
         changed[rule.column] = _apply(rule, changed.get(rule.column, F.col(rule.column)))
     return fact.withColumns({name: value.cast(fact.schema[name].dataType) for name, value in changed.items()})
 
 
 def rule_counts(fact: DataFrame, rules: Sequence[FillNull | RaiseTo]) -> DataFrame:
-    """How many rows of the raw fact each rule touches, all counted in one pass."""
-    names = [f"{type(rule).__name__}({rule.column})" for rule in rules]
-    counted = fact.agg(*[F.count_if(rule.touches()).alias(name) for rule, name in zip(rules, names)])
-    return counted.unpivot([], [F.col(f"`{name}`") for name in names], "rule", "touched_rows")
+    """How many rows each rule changes, in order, all counted in one pass; repeated rules of one kind on a column are numbered."""
+    current: dict[str, Column] = {}
+    counts: dict[str, Column] = {}
+    for rule in rules:
+        before = current.get(rule.column, F.col(rule.column))
+        name = f"{type(rule).__name__}({rule.column})"
+        number = sum(other == name or other.startswith(f"{name}#") for other in counts)
+        counts[f"{name}#{number + 1}" if number else name] = F.count_if(rule.touches(before))
+        current[rule.column] = _apply(rule, before)
+    counted = fact.agg(*[count.alias(name) for name, count in counts.items()])
+    return counted.unpivot([], [F.col(f"`{name}`") for name in counts], "rule", "touched_rows")
+
+
+#: Digits and decimal places of units and price; places of the discount in percent. Their product fits a decimal of 38 digits.
+UNITS, PRICE, DISCOUNT_PLACES = (14, 3), (15, 6), 3
 
 
 def net_revenue(units: str, price: str, discount: str) -> Column:
-    """units x price x (1 - discount percent / 100), exact to eight decimals."""
-    amount = F.col(units).cast("decimal(12,2)") * F.col(price).cast("decimal(12,2)")
-    share = F.lit(1).cast("decimal(5,2)") - F.col(discount).cast("decimal(5,2)") * F.lit("0.01").cast("decimal(2,2)")
-    return amount * share.cast("decimal(7,4)")
+    """units x price x (1 - discount percent / 100), exact: decimal(38,14).
+
+    Units may have three decimal places, prices six, discounts three; what has more fails the query, as do units from 1e11 and prices from 1e9 on.
+    """
+    decimal = lambda name, digits, places: exact(F.col(name).cast("double"), T.DoubleType(), places, digits)
+    percent = decimal(discount, DISCOUNT_PLACES + 2, DISCOUNT_PLACES + 0)
+    share = (F.lit(1) - percent * F.lit("0.01").cast("decimal(2,2)")).cast(T.DecimalType(7, DISCOUNT_PLACES + 2))
+    return decimal(units, *UNITS) * decimal(price, *PRICE) * share
 
 
-def key_by_hash(fact: DataFrame, specs: Sequence[AttributeDim], dates: Mapping[str, str] | None = None) -> DataFrame:
-    """Replace attributes by their hash keys and dates by ``yyyymmdd`` in one projection: no join."""
-    keys = {s.key: hash_key([F.col(s.source)], s.algorithm, s.trim) for s in specs}
+def key_by_hash(
+    fact: DataFrame, specs: Sequence[AttributeDim | CompositeDim], dates: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Replace attributes, or combinations of them, by their hash keys and dates by ``yyyymmdd`` in one projection: no join.
+
+    A combination has the key that ``composite_dimension`` with the strategy of its ``algorithm`` gives its member, whatever
+    the spelling.
+    """
+    sources = {s.key: list(s.columns) if isinstance(s, CompositeDim) else [s.source] for s in specs}
+    keys = {
+        s.key: hash_key([F.col(c) for c in sources[s.key]], s.algorithm, isinstance(s, AttributeDim) and s.trim) for s in specs
+    }
     keys.update({key: date_key(F.col(column)) for column, key in (dates or {}).items()})
-    return fact.withColumns(keys).drop(*[s.source for s in specs], *(dates or {}))
+    return fact.withColumns(keys).drop(*[c for columns in sources.values() for c in columns], *(dates or {}))
 
 
 @dataclass(frozen=True)

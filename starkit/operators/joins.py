@@ -61,50 +61,60 @@ def to_dimensions(
 ) -> DataFrame:
     """All fact columns plus what is taken from each dimension.
 
-    Dimensions measured to be small are broadcast and the fact does not move. A larger one is
-    joined by shuffle, with null keys and hot keys of the fact spread over many tasks.
+    Dimensions that together are measured to be small are broadcast and the fact does not move. For the others the
+    fact is shuffled by key, but for two sorts of rows, which are spread evenly: null keys match nothing, and
+    hot keys, counted once on the fact before anything is joined, find their members in a broadcast of just those.
     """
     narrowed = [side.dim.select(*dict.fromkeys([*side.on.values(), *side.take])) for side in sides]
-    for side, dim, small in zip(sides, narrowed, fits_broadcast(narrowed, broadcast_bytes)):
+    fits = fits_broadcast(narrowed, broadcast_bytes)
+    hot = [None if small else _hot_keys(fact, list(side.on), group_rows) for side, small in zip(sides, fits)]
+    for side, dim, small, keys in zip(sides, narrowed, fits, hot):
         named = dim.select(*[F.col(c).alias(f"_on_{c}") for c in side.on.values()], *side.take)
         pairs = {ours: f"_on_{theirs}" for ours, theirs in side.on.items()}
         if small:
             joined = fact.join(F.broadcast(named), equal_on(fact, named, pairs), how)
+            fact = joined.select(*[fact[c] for c in fact.columns], *[named[c] for c in side.take])
         else:
-            joined = _spread_join(fact, named, pairs, how, group_rows)
-        fact = joined.select(*[fact[c] for c in fact.columns], *[named[c] for c in side.take])
+            fact = _spread_join(fact, named, pairs, side.take, how, keys, broadcast_bytes)
     return fact
 
 
-def _spread_join(fact: DataFrame, side: DataFrame, pairs: Mapping[str, str], how: str, group_rows: int) -> DataFrame:
-    """Shuffled join on key and salt. Rows of a hot key get one of n salts, and the one dimension
-    row of that key is repeated n times; null keys match nothing and may take any salt."""
-    spark = fact.sparkSession
+def _hot_keys(fact: DataFrame, ours: list[str], group_rows: int) -> DataFrame:
+    return stage(hot_groups(fact.select(*ours).dropna(), ours, group_rows).select(*ours), "hot-keys")
+
+
+def _spread_join(
+    fact: DataFrame, side: DataFrame, pairs: Mapping[str, str], take: Sequence[str], how: str, hot: DataFrame, broadcast_bytes: int
+) -> DataFrame:
+    """Rows of hot keys are joined to the broadcast members of those keys, the rest by shuffle.
+
+    For the shuffle, rows whose key is null or hot get no key and a running number, so that they spread over all tasks
+    whatever they hold; the number decides only where a row goes.
+    """
     ours, theirs = list(pairs), list(pairs.values())
-    hot = stage(hot_groups(fact.dropna(subset=ours), ours, group_rows), "hot-keys")
-    hot = hot.select(
-        *[F.col(name).alias(f"_hot_{name}") for name in ours],
-        F.ceil(F.col("_rows") / group_rows).cast("int").alias("_parts"),
-    )
-    spread = F.xxhash64(*fact.columns)
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.when(any_null([fact[c] for c in ours]), F.pmod(spread, F.lit(tasks)).cast("int"))
-    # Exploded even where it is always zero: a constant would be folded out of the join keys.
-    salts = F.array(F.lit(0))
-    if hot.isEmpty():
-        left = fact.withColumn("_salt", salt.otherwise(0))
-        right = side.withColumn("_salt_side", F.explode(salts))
+    named = hot.select(*[F.col(name).alias(f"_hot_{name}") for name in ours])
+    members = side.join(named, equal_on(side, named, {pairs[c]: f"_hot_{c}" for c in ours}), "left_semi")
+    if hot.isEmpty() or not fits_broadcast([members], broadcast_bytes or BROADCAST_BYTES)[0]:
+        left = fact.select("*", F.lit(False).alias("_held"))
     else:
-        parts = F.col("_parts")
-        left = (
-            fact.join(hot, equal_on(fact, hot, {c: f"_hot_{c}" for c in ours}), "left")
-            .withColumn("_salt", salt.when(parts.isNotNull(), F.pmod(spread, parts).cast("int")).otherwise(0))
-            .drop(*hot.columns)
-        )
-        right = (
-            side.join(hot, equal_on(side, hot, {pairs[c]: f"_hot_{c}" for c in ours}), "left")
-            .withColumn("_salt_side", F.explode(F.coalesce(F.sequence(F.lit(0), parts - 1), salts)))
-            .drop(*hot.columns)
-        )
-    matched = equal_on(left, right, {**pairs, "_salt": "_salt_side"})
-    return left.join(right, matched, how)
+        held = members.select(*[F.col(c).alias(f"_h{i}") for i, c in enumerate(theirs)], *[F.col(c).alias(f"_t_{c}") for c in take])
+        held = held.withColumn("_held", F.lit(True))
+        found = fact.join(F.broadcast(held), equal_on(fact, held, {c: f"_h{i}" for i, c in enumerate(ours)}), "left")
+        left = found.drop(*[f"_h{i}" for i in range(len(ours))]).withColumn("_held", F.coalesce("_held", F.lit(False)))
+    apart = F.col("_held") | any_null([F.col(c) for c in ours])
+    keys = {f"_key{i}": F.when(~apart, F.col(c)) for i, c in enumerate(ours)}
+    left = left.withColumns({**keys, "_salt": F.when(apart, F.monotonically_increasing_id()).otherwise(F.lit(0))})
+    # exploded, as a constant would be folded out of the join keys
+    right = side.select(
+        *[F.col(c).alias(f"_r{i}") for i, c in enumerate(theirs)], *[F.col(c).alias(f"_s_{c}") for c in take],
+        F.explode(F.array(F.lit(0).cast("bigint"))).alias("_salt_side"), F.lit(True).alias("_met"),
+    )
+    matched = equal_on(left, right, {**{key: f"_r{i}" for i, key in enumerate(keys)}, "_salt": "_salt_side"})
+    joined = left.join(right, matched, "left")
+    if how == "inner":
+        joined = joined.where(F.col("_held") | F.col("_met").isNotNull())
+    taken = [
+        (F.when(F.col("_held"), F.col(f"_t_{c}")).otherwise(F.col(f"_s_{c}")) if f"_t_{c}" in left.columns else F.col(f"_s_{c}")).alias(c)
+        for c in take
+    ]
+    return joined.select(*fact.columns, *taken)

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starkit.functions.keys import money
+from starkit.functions.keys import exact
 from starkit.operators.joins import Side, equal_on, to_dimensions
-from starkit.operators.sizes import BROADCAST_BYTES, GROUP_ROWS
+from starkit.operators.sizes import BROADCAST_BYTES, GROUP_ROWS, fits_broadcast_together
 
 
 @dataclass(frozen=True)
@@ -23,10 +24,6 @@ class Attribute:
     dim_key: str | None = None
 
 
-def _sum(df: DataFrame, column: str) -> Column:
-    return F.sum(money(F.col(column), df.schema[column].dataType))
-
-
 def _sides(by: Mapping[str, Attribute]) -> list[Side]:
     """One side per dimension and fact key, however many attributes are taken from it."""
     grouped: dict[tuple, dict[str, Attribute]] = {}
@@ -45,21 +42,51 @@ def totals(
     by: Mapping[str, Attribute],
     measures: Mapping[str, str],
     where: Column | None = None,
+    scales: Mapping[str, int] | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Sums of ``measures`` (``output -> fact column``) by attributes (``output -> Attribute``).
 
-    The fact is summed by its keys first. That happens within the input tasks, so the joins see
-    one row per key combination and neither the size of a dimension nor a hot key matters.
-    ``where`` is a condition on the output attributes; facts without a member fall out, as in
-    an inner join.
+    ``scales`` states the decimal places of measures that are binary fractions, by output; sums are exact. ``where`` is a
+    condition on the output attributes; facts without a member fall out, as in an inner join.
+
+    Dimensions that are measured to fit are broadcast, cut by ``where`` first if it only needs one of them, and the facts
+    are summed by attribute inside the input tasks. If they do not fit, facts are summed by their keys before
+    any join, so that neither the size of a dimension nor a hot key matters.
     """
-    keys = list(dict.fromkeys(a.fact_key for a in by.values()))
-    summed = fact.groupBy(*keys).agg(*[_sum(fact, column).alias(out) for out, column in measures.items()])
-    for side in _sides(by):
-        summed = summed.join(side.dim, equal_on(summed, side.dim, side.on)).drop(*side.on.values())
+    sides = [_renamed(side, place) for place, side in enumerate(_sides(by))]
+    fits = fits_broadcast_together([side.dim for side in sides], broadcast_bytes)
+    keys = {ours: f"_k{place}" for place, ours in enumerate(dict.fromkeys(ours for side in sides for ours in side.on))}
+    narrow = fact.select(
+        *[F.col(ours).alias(key) for ours, key in keys.items()],
+        *[exact(F.col(c), fact.schema[c].dataType, (scales or {}).get(out)).alias(f"_m_{out}") for out, c in measures.items()],
+    )
+    sums = [F.sum(f"_m_{out}").alias(f"_m_{out}") for out in measures]
+    if not fits:
+        narrow = narrow.groupBy(*keys.values()).agg(*sums)
+    for side in sides:
+        dim = side.dim if where is None else _cut(side, where)
+        joined = F.broadcast(dim) if fits else dim
+        narrow = narrow.join(joined, equal_on(narrow, dim, {keys[ours]: theirs for ours, theirs in side.on.items()})).drop(
+            *side.on.values()
+        )
     if where is not None:
-        summed = summed.where(where)
-    return summed.groupBy(*by).agg(*[F.sum(out).cast("double").alias(out) for out in measures])
+        narrow = narrow.where(where)
+    return narrow.groupBy(*by).agg(*[F.sum(f"_m_{out}").cast("double").alias(out) for out in measures])
+
+
+def _renamed(side: Side, place: int) -> Side:
+    """The side with a name for its key that no output has."""
+    (ours, theirs), name = next(iter(side.on.items())), f"_d{place}"
+    return Side(side.dim.withColumnRenamed(theirs, name), {ours: name}, side.take)
+
+
+def _cut(side: Side, where: Column) -> DataFrame:
+    """The members that ``where`` leaves, if it is a condition on this side alone."""
+    try:
+        return side.dim.where(where)
+    except AnalysisException:
+        return side.dim
 
 
 def detail(

@@ -42,8 +42,19 @@ def _row_sizes(place: int, df: DataFrame) -> DataFrame:
 
 
 def fits_broadcast(frames: Sequence[DataFrame], limit: int = BROADCAST_BYTES) -> list[bool]:
-    """Whether each frame is measured to be small enough to be sent to every executor."""
-    return [size is not None and size <= limit for size in payload_bytes(frames)]
+    """Which frames may be sent to every executor: the smallest ones, as long as all of them together stay within the limit."""
+    sizes = payload_bytes(frames)
+    fits, total = [False] * len(sizes), 0
+    for place in sorted((i for i, size in enumerate(sizes) if size is not None), key=lambda i: sizes[i]):
+        total += sizes[place]
+        fits[place] = total <= limit
+    return fits
+
+
+def fits_broadcast_together(frames: Sequence[DataFrame], limit: int = BROADCAST_BYTES) -> bool:
+    """Whether all frames together are measured to be small enough."""
+    sizes = payload_bytes(frames)
+    return None not in sizes and sum(sizes) <= limit
 
 
 def hot_groups(df: DataFrame, keys: list[str], max_rows: int = GROUP_ROWS) -> DataFrame:

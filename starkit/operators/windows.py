@@ -7,21 +7,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starkit.functions.keys import money
+from starkit.functions.keys import SCALE, exact, is_fractional
 from starkit.operators.joins import equal_on
 from starkit.operators.sizes import GROUP_ROWS, hot_groups
 from starkit.session import stage
 
 
+#: Up to so many rows Spark limits groups inside the input tasks by itself.
+SPARK_GROUP_LIMIT = 1000
+
+
 def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows of each group; ``order`` should end in a unique column.
 
-    Spark limits each group within the input tasks as well, so at most n rows per group and
-    task are shuffled, however large the group is.
+    Up to SPARK_GROUP_LIMIT rows, Spark limits each group within the input tasks as well. For more, each group is first
+    limited within parts of it, one for each input task, so that a large group is never sorted whole in one task.
     """
-    rank = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+
+    def first(rows: DataFrame, *within: str) -> DataFrame:
+        rank = F.row_number().over(W.partitionBy(*within).orderBy(*order))
+        return rows.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+
+    if n > SPARK_GROUP_LIMIT:
+        df = first(df.withColumn("_part", F.spark_partition_id()), *keys, "_part").drop("_part")
+    return first(df, *keys)
 
 
 def previous_and_running(
@@ -33,9 +44,13 @@ def previous_and_running(
     running: str = "running_total",
     default: float = 0,
     group_rows: int = GROUP_ROWS,
+    scale: int | None = None,
 ) -> DataFrame:
     """Add the value of the row before (``default`` in the first row) and the total so far.
 
+    Totals of binary fractions are summed as decimals with ``scale`` places and given as the type of the values; those of
+    decimals keep all places in 38 digits, those of whole numbers are bigint, however large a group is.
+
     Groups of up to ``group_rows`` rows are one window each. Larger groups are cut into ranges of
     the order, each range is a window of its own, and last values and totals are carried
     from range to range; the result is the same.
@@ -43,43 +58,54 @@ def previous_and_running(
     keys, order = list(keys), list(order)
     hot = stage(hot_groups(df, keys, group_rows), "hot-groups")
     if hot.isEmpty():
-        return _whole_groups(df, keys, order, value, previous, running, default)
+        return _whole_groups(df, keys, order, value, previous, running, default, scale)
     hot = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
     in_hot = equal_on(df, hot, {k: f"_hot_{k}" for k in keys}, null_safe=True)
     small = df.join(hot, in_hot, "left_anti")
     large = df.join(hot, in_hot, "left_semi")
-    return _whole_groups(small, keys, order, value, previous, running, default).unionByName(
-        _in_ranges(large, keys, order, value, previous, running, default)
+    return _whole_groups(small, keys, order, value, previous, running, default, scale).unionByName(
+        _in_ranges(large, keys, order, value, previous, running, default, scale)
     )
 
 
-def _exact(df: DataFrame, value: str) -> Column:
-    return money(F.col(value), df.schema[value].dataType)
+def _exact(df: DataFrame, value: str, scale: int | None) -> Column:
+    return exact(F.col(value), df.schema[value].dataType, scale)
+
+
+def _total_type(df: DataFrame, value: str) -> T.DataType:
+    """One type of totals for either way of making them."""
+    kind = df.schema[value].dataType
+    if isinstance(kind, T.DecimalType):
+        return T.DecimalType(38, kind.scale)
+    return kind if is_fractional(kind) else T.LongType()
 
 
-def _edge(df: DataFrame, value: str, column: Column) -> Column:
+def _sum_type(df: DataFrame, value: str, scale: int | None) -> T.DataType:
+    """A type whose sums of two lose no decimal place."""
     kind = df.schema[value].dataType
-    return column.cast(kind) if kind.typeName() in ("double", "float") else column
+    if is_fractional(kind):
+        return T.DecimalType(37, SCALE if scale is None else scale)
+    return T.DecimalType(37, kind.scale) if isinstance(kind, T.DecimalType) else T.LongType()
 
 
-def _whole_groups(df, keys, order, value, previous, running, default) -> DataFrame:
+def _whole_groups(df, keys, order, value, previous, running, default, scale) -> DataFrame:
     ordered = W.partitionBy(*keys).orderBy(*order)
     so_far = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
     return df.select(
         "*",
         F.lag(value, 1, default).over(ordered).alias(previous),
-        _edge(df, value, F.sum(_exact(df, value)).over(so_far)).alias(running),
+        F.sum(_exact(df, value, scale)).over(so_far).cast(_total_type(df, value)).alias(running),
     )
 
 
-def _in_ranges(df, keys, order, value, previous, running, default) -> DataFrame:
+def _in_ranges(df, keys, order, value, previous, running, default, scale) -> DataFrame:
     # The range number must be the same wherever it is used, so the ranged rows are written once.
     ranged = stage(
         df.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()), "hot-group-ranges"
     )
-    exact = _exact(df, value)
+    addend, summed = _exact(df, value, scale), _sum_type(df, value, scale)
     per_range = ranged.groupBy(*keys, "_range").agg(
-        F.sum(exact).alias("_sum"), F.max_by(F.struct(value), F.struct(*order)).alias("_last")
+        F.sum(addend).cast(summed).alias("_sum"), F.max_by(F.struct(value), F.struct(*order)).alias("_last")
     )
     earlier = W.partitionBy(*keys).orderBy("_range")
     # Ranges are cut in order of group and rank, so there are at most groups + ranges of these rows;
@@ -88,7 +114,7 @@ def _in_ranges(df, keys, order, value, previous, running, default) -> DataFrame:
         per_range.select(
             *[F.col(k).alias(f"_c_{k}") for k in keys],
             F.col("_range").alias("_c_range"),
-            F.sum("_sum").over(earlier.rowsBetween(W.unboundedPreceding, -1)).alias("_sum_before"),
+            F.sum("_sum").over(earlier.rowsBetween(W.unboundedPreceding, -1)).cast(summed).alias("_sum_before"),
             F.lag("_last").over(earlier).alias("_last_before"),
         ),
         "hot-group-carries",
@@ -96,9 +122,9 @@ def _in_ranges(df, keys, order, value, previous, running, default) -> DataFrame:
     pairs = {**{k: f"_c_{k}" for k in keys}, "_range": "_c_range"}
     joined = ranged.join(carried, equal_on(ranged, carried, pairs, null_safe=True))
     ordered = W.partitionBy(*keys, "_range").orderBy(*order)
-    within = F.sum(exact).over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow))
+    within = F.sum(addend).over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow)).cast(summed)
     total = F.when(within.isNull(), F.col("_sum_before")).otherwise(
-        F.coalesce(F.col("_sum_before"), F.lit(0)) + within
+        F.coalesce(F.col("_sum_before"), F.lit(0).cast(summed)) + within
     )
     first_in_range = F.row_number().over(ordered) == 1
     before = (
@@ -109,5 +135,5 @@ def _in_ranges(df, keys, order, value, previous, running, default) -> DataFrame:
     return joined.select(
         *[ranged[c] for c in df.columns],
         before.alias(previous),
-        _edge(df, value, total).alias(running),
+        total.cast(_total_type(df, value)).alias(running),
     )

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
+from starkit.functions import exact
 from starkit.operators.joins import Side, null_safe_join, to_dimensions
 from starkit.operators.rows import split_to_rows
 from starkit.operators.windows import previous_and_running, top_n
@@ -253,7 +255,7 @@ def spread_lookup(spark, sf):
 )
 def null_safe(spark, sf):
     lines = sales(spark, sf, ["OrderKey", "LineNumber", "Region"])
-    units = F.sum(F.col("UnitsSold").cast("decimal(18,2)")).cast("double").alias("RegionUnits")
+    units = _total("UnitsSold").alias("RegionUnits")
     # One row per region and one for null; staged, so that Spark knows how small it is.
     per_region = stage(sales(spark, sf, ["Region", "UnitsSold"]).groupBy(F.col("Region").alias("_region")).agg(units), "regions")
     return null_safe_join(lines, per_region, {"Region": "_region"}).drop("_region")
@@ -262,8 +264,9 @@ def null_safe(spark, sf):
 # --- aggregates ----------------------------------------------------------------------------------
 
 
-def _total(column: str):
-    return F.sum(F.col(column).cast("decimal(18,2)")).cast("double")
+def _total(column: str, scale: int = 2):
+    """The tables hold amounts with two decimal places; a value with more fails the query."""
+    return F.sum(exact(F.col(column), DoubleType(), scale)).cast("double")
 
 
 @query(
@@ -303,6 +306,38 @@ def sum_two_keys(spark, sf):
     return lines.groupBy("CustomerSegment", "Region").agg(_total("Revenue").alias("TotalRevenue"))
 
 
+_NET = "CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) * (1 + CAST(l_tax AS DECIMAL(4,2)))"
+
+
+def _charges(spark, sf):
+    """What is charged for each line, with six decimal places, held as double."""
+    factors = [exact(F.col(c), DoubleType(), 2) for c in ("l_extendedprice", "l_discount", "l_tax")]
+    amount = factors[0].cast("decimal(12,2)") * (1 - factors[1].cast("decimal(4,2)")) * (1 + factors[2].cast("decimal(4,2)"))
+    lines = table(spark, sf, "lineitem")
+    return lines.select("l_orderkey", "l_linenumber", "l_suppkey", amount.cast("double").alias("charge"))
+
+
+@query(
+    "agg_sum_fine_fractions",
+    f"SELECT l_suppkey, CAST(sum({_NET}) AS DOUBLE) AS total_charge FROM lineitem GROUP BY l_suppkey",
+)
+def sum_fine_fractions(spark, sf):
+    """Sums of a measure with six decimal places that was saved as double."""
+    return _charges(spark, sf).groupBy("l_suppkey").agg(_total("charge", 6).alias("total_charge"))
+
+
+@query(
+    "win_running_fine_fractions",
+    f"""SELECT l_orderkey, l_linenumber, CAST(sum({_NET}) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, {_NET}
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_charge FROM lineitem""",
+)
+def running_fine_fractions(spark, sf):
+    lines = previous_and_running(
+        _charges(spark, sf), ["l_suppkey"], ["l_orderkey", "l_linenumber", "charge"], "charge", running="running_charge", scale=6
+    )
+    return lines.select("l_orderkey", "l_linenumber", "running_charge")
+
+
 # --- windows and sorts ---------------------------------------------------------------------------
 
 
@@ -334,7 +369,7 @@ def _order_history(spark, sf):
     orders = table(spark, sf, "orders").select(
         "o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_totalprice"
     )
-    return previous_and_running(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_totalprice")
+    return previous_and_running(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_totalprice", scale=2)
 
 
 @query(

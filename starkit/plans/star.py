@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
+from starkit.functions import exact
 from starkit.operators import dims, facts
 from starkit.operators.dims import AttributeDim, CompositeDim
 from starkit.operators.facts import FillNull, Lookup, RaiseTo
@@ -80,14 +84,16 @@ def clean_sales(spark: SparkSession, sf: str, columns) -> DataFrame:
     return facts.clean(sales(spark, sf, columns), [rule for rule in CLEANING if rule.column in columns])
 
 
-def revenue_star(spark: SparkSession, sf: str, *specs: CompositeDim) -> tuple[DataFrame, dict[str, DataFrame]]:
+def revenue_star(
+    spark: SparkSession, sf: str, *specs: CompositeDim, keep: Sequence[str] = ()
+) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Cleaned facts with net revenue, keyed by lookup in the dimensions of ``specs``; dimensions by key name.
 
     For one dimension the extract is read twice, once reduced to the members; for more it is written first.
     """
     attributes = [c for spec in specs for c in spec.columns]
     measures = ["UnitsSold", "UnitPrice", "Discount"]
-    columns = ["OrderKey", "LineNumber", *measures, *attributes]
+    columns = ["OrderKey", "LineNumber", *keep, *measures, *attributes]
     if len(specs) == 1:
         extract = sales(spark, sf, columns)
         built = {specs[0].key: composite_dim(spark, sf, specs[0])}
@@ -106,7 +112,7 @@ def focus_mapping(spark: SparkSession, sf: str) -> DataFrame:
         sales(spark, sf, [*MAPPED, "Revenue"])
         .dropna(subset=list(MAPPED))
         .groupBy(*MAPPED)
-        .agg(F.sum(F.col("Revenue").cast("decimal(18,2)")).alias("revenue"))
+        .agg(F.sum(exact(F.col("Revenue"), DoubleType(), 2)).alias("revenue"))
     )
     strongest = top_n(
         revenue, ["ProductCategory", "Region"], [F.col("revenue").desc(), F.col("CustomerSegment")], 2

@@ -6,9 +6,11 @@ from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-from starkit.functions import UNKNOWN_KEY
+from starkit.functions import UNKNOWN_KEY, exact
 from starkit.operators import checks, dims, facts, reports
+from starkit.operators.dims import CompositeDim
 from starkit.operators.reports import Attribute
 from starkit.plans import star
 from starkit.plans.flat import sales, table
@@ -327,16 +329,76 @@ def referential_partial(spark, sf):
     return checks.referential(fact, {"RegionKey": (regions, "RegionKey"), "StoreTypeKey": (types, "StoreTypeKey")})
 
 
+LOOKUP_SPECS = (star.PRODUCT, star.STORE, star.EMPLOYEE)
+LOOKUP_KEYS = [spec.key for spec in LOOKUP_SPECS]
+
+
 def _revenue_star(spark, sf):
-    fact, _ = star.revenue_star(spark, sf, star.STORE, star.EMPLOYEE)
+    fact, _ = star.revenue_star(spark, sf, *LOOKUP_SPECS)
     return fact
 
 
-@query("chk_row_count", "SELECT count(*) AS source_rows, count(*) AS fact_rows, true AS passed FROM lineitem")
+_UNKNOWN = {
+    "ProductKey": '"ProductName" IS NULL OR "ProductCategory" IS NULL OR "ProductSubCategory" IS NULL',
+    "StoreKey": '"Region" IS NULL OR "StoreName" IS NULL OR "StoreType" IS NULL',
+    "EmployeeKey": '"SalesRep" IS NULL OR "RepNation" IS NULL',
+}
+
+
+@query(
+    "chk_referential_lookup",
+    over_sales(
+        " UNION ALL ".join(
+            f"""SELECT '{key}' AS key_column, count(*) AS fact_rows, count(*) - count(*) FILTER (({missing}) OR NOT ({missing})) AS unmatched_rows,
+                       count(*) = count(*) FILTER (({missing}) OR NOT ({missing})) AS passed FROM sales_flat"""
+            for key, missing in _UNKNOWN.items()
+        )
+    ),
+)
+def referential_lookup(spark, sf):
+    """All three keys of the looked-up star."""
+    fact, built = star.revenue_star(spark, sf, *LOOKUP_SPECS)
+    return checks.referential(fact, {key: (built[key], key) for key in LOOKUP_KEYS})
+
+
+@query(
+    "chk_row_count",
+    over_sales(
+        """SELECT (SELECT count(*) FROM lineitem) AS source_rows, count(*) AS fact_rows,
+                  (SELECT count(*) FROM lineitem) = count(*) AS passed FROM sales_flat"""
+    ),
+)
 def row_count(spark, sf):
     return checks.row_count(table(spark, sf, "lineitem"), _revenue_star(spark, sf))
 
 
+@query(
+    "chk_row_count_fail",
+    """SELECT count(*) AS source_rows, count(*) FILTER (l_linenumber <> 7) AS fact_rows,
+              count(*) = count(*) FILTER (l_linenumber <> 7) AS passed FROM lineitem""",
+)
+def row_count_fail(spark, sf):
+    """A fact without the lines of one number."""
+    lines = table(spark, sf, "lineitem")
+    return checks.row_count(lines, lines.where("l_linenumber <> 7"))
+
+
+@query(
+    "chk_measure_sum_fail",
+    """SELECT 'l_extendedprice' AS measure, CAST(a AS DOUBLE) AS source_total, CAST(b AS DOUBLE) AS fact_total, a = b AS passed
+       FROM (SELECT sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS a,
+                    sum(CAST(l_extendedprice AS DECIMAL(18,4)) + CASE WHEN l_orderkey = 1 AND l_linenumber = 1 THEN 0.0001 ELSE 0 END) AS b
+             FROM lineitem)""",
+)
+def measure_sum_fail(spark, sf):
+    """A fact that is off by a hundredth of a cent in one row."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    price = exact(F.col("l_extendedprice"), DoubleType(), 4)
+    off = F.when((F.col("l_orderkey") == 1) & (F.col("l_linenumber") == 1), F.lit("0.0001")).otherwise(F.lit("0"))
+    fact = lines.withColumn("l_extendedprice", (price + off.cast("decimal(5,4)")).cast("double"))
+    return checks.measure_sum(lines, fact, {"l_extendedprice": "l_extendedprice"}, scales={"l_extendedprice": 4})
+
+
 @query(
     "chk_measure_sum",
     over_sales(
@@ -350,10 +412,63 @@ def measure_sum(spark, sf):
     extract = sales(spark, sf, ["UnitsSold", "Revenue"])
     fact = sales(spark, sf, ["UnitsSold", "Revenue", *star.MAPPED])
     mapped = facts.key_by_lookup(fact, [star.focus_lookup(spark, sf)])
-    return checks.measure_sum(extract, mapped, {"UnitsSold": "UnitsSold", "Revenue": "Revenue"})
+    return checks.measure_sum(
+        extract, mapped, {"UnitsSold": "UnitsSold", "Revenue": "Revenue"}, scales={"UnitsSold": 2, "Revenue": 2}
+    )
 
 
-_MEASURES = ["UnitsSold", "UnitPrice", "Discount"]
+@query(
+    "chk_mapping_unique_fail",
+    """SELECT count(*) AS combinations, count(*) FILTER (n > 1) AS duplicated, count(*) FILTER (n > 1) = 0 AS passed
+       FROM (SELECT l_suppkey, l_returnflag, count(*) AS n FROM lineitem GROUP BY 1, 2)""",
+)
+def mapping_unique_fail(spark, sf):
+    """Combinations that line items repeat."""
+    return checks.mapping_unique(table(spark, sf, "lineitem"), ["l_suppkey", "l_returnflag"])
+
+
+@query(
+    "chk_key_collision_fail",
+    """SELECT 'size' AS dimension, count(*) AS keys, count(*) FILTER (n > 1) AS collisions, count(*) FILTER (n > 1) = 0 AS passed
+       FROM (SELECT p_size, count(DISTINCT upper(p_brand)) AS n FROM part GROUP BY p_size)""",
+)
+def key_collision_fail(spark, sf):
+    """A key that several brands share."""
+    return checks.key_collision({"size": (table(spark, sf, "part"), "p_size", ["p_brand"])})
+
+
+_STORE_HASH = CompositeDim("StoreKey", star.STORE.columns)
+
+
+@query(
+    "dim_composite_hash",
+    over_sales(
+        """SELECT min("Region") AS "Region", min("StoreName") AS "Name", min("StoreType") AS "Type", false AS is_unknown FROM sales_flat
+           WHERE "Region" IS NOT NULL AND "StoreName" IS NOT NULL AND "StoreType" IS NOT NULL
+           GROUP BY upper("Region"), upper("StoreName"), upper("StoreType") UNION ALL SELECT 'N/A', 'N/A', 'N/A', true"""
+    ),
+)
+def composite_hash(spark, sf):
+    built = dims.composite_dimension(star.sales_values(spark, sf, list(_STORE_HASH.columns)), _STORE_HASH, "xxhash64")
+    return built.select("Region", "Name", "Type", (F.col("StoreKey") == UNKNOWN_KEY).alias("is_unknown"))
+
+
+@query(
+    "fact_composite_hash",
+    over_sales(
+        """SELECT "OrderKey", "LineNumber", CASE WHEN "Region" IS NULL THEN 'N/A' ELSE "StoreName" END AS "Store" FROM sales_flat"""
+    ),
+)
+def fact_composite_hash(spark, sf):
+    """Facts keyed by the hash of three columns, some in another spelling, resolved to names again."""
+    extract = star.staged_sales(spark, sf, ["OrderKey", "LineNumber", *_STORE_HASH.columns])
+    built = dims.composite_dimension(extract, _STORE_HASH, "xxhash64")
+    shouted = extract.withColumn("Region", F.when(F.col("LineNumber") % 2 == 0, F.lower("Region")).otherwise(F.col("Region")))
+    fact = facts.key_by_hash(shouted, [_STORE_HASH])
+    return reports.detail(fact, {"Store": Attribute(built, "StoreKey", "Name")}, ["OrderKey", "LineNumber"])
+
+
+_MEASURES = ["SalesDate", "UnitsSold", "UnitPrice", "Discount"]
 
 
 def _bag_sql(source: str) -> str:
@@ -368,8 +483,9 @@ def _bag_sql(source: str) -> str:
 
 @query("chk_bag_diff", _bag_sql("cleaned"))
 def bag_diff(spark, sf):
-    """Measures of the keyed fact against the cleaned extract: no difference."""
-    return checks.bag_difference(star.clean_sales(spark, sf, _MEASURES), _revenue_star(spark, sf), _MEASURES)
+    """Dates and measures of the keyed fact against the cleaned extract: no difference."""
+    fact, _ = star.revenue_star(spark, sf, *LOOKUP_SPECS, keep=["SalesDate"])
+    return checks.bag_difference(star.clean_sales(spark, sf, _MEASURES), fact, _MEASURES)
 
 
 @query("chk_bag_diff_raw", _bag_sql("sales_flat"))
@@ -380,11 +496,16 @@ def bag_diff_raw(spark, sf):
 
 @query(
     "chk_null_keys",
-    """SELECT k AS key_column, CAST(0 AS BIGINT) AS null_rows, true AS passed
-       FROM (VALUES ('StoreKey'), ('EmployeeKey')) v(k)""",
+    over_sales(
+        " UNION ALL ".join(
+            f"""SELECT '{key}' AS key_column, count(*) - count(k) AS null_rows, count(*) = count(k) AS passed
+                FROM (SELECT CASE WHEN {missing} THEN -1 ELSE 1 END AS k FROM sales_flat)"""
+            for key, missing in _UNKNOWN.items()
+        )
+    ),
 )
 def null_keys(spark, sf):
-    return checks.null_keys(_revenue_star(spark, sf), ["StoreKey", "EmployeeKey"])
+    return checks.null_keys(_revenue_star(spark, sf), LOOKUP_KEYS)
 
 
 @query(
@@ -404,12 +525,17 @@ def null_keys_raw(spark, sf):
 @query(
     "chk_unknown_keys",
     over_sales(
-        """SELECT 'StoreKey' AS key_column, count(*) AS unknown_rows FROM sales_flat WHERE "Region" IS NULL
-           UNION ALL SELECT 'EmployeeKey', count(*) FROM sales_flat WHERE "SalesRep" IS NULL OR "RepNation" IS NULL"""
+        " UNION ALL ".join(
+            f"SELECT '{key}' AS key_column, count(*) AS unknown_rows FROM cleaned WHERE {missing}"
+            if key != "ProductKey"
+            else f"""SELECT '{key}' AS key_column, count(*) AS unknown_rows FROM cleaned WHERE "ProductName" = 'N/A' """
+            for key, missing in _UNKNOWN.items()
+        ),
+        _CLEAN,
     ),
 )
 def unknown_keys(spark, sf):
-    return checks.unknown_keys(_revenue_star(spark, sf), ["StoreKey", "EmployeeKey"])
+    return checks.unknown_keys(_revenue_star(spark, sf), LOOKUP_KEYS)
 
 
 def _price_rules():
@@ -436,7 +562,11 @@ def measure_range_raw(spark, sf):
 
 @query(
     "chk_mapping_unique",
-    over_sales("SELECT count(*) AS combinations, CAST(0 AS BIGINT) AS duplicated, true AS passed FROM focus", _FOCUS),
+    over_sales(
+        """SELECT count(*) AS combinations, count(*) FILTER (n > 1) AS duplicated, count(*) FILTER (n > 1) = 0 AS passed
+           FROM (SELECT count(*) AS n FROM focus GROUP BY "ProductCategory", "CustomerSegment", "Region")""",
+        _FOCUS,
+    ),
 )
 def mapping_unique(spark, sf):
     return checks.mapping_unique(star.focus_mapping(spark, sf), star.MAPPED)
@@ -468,6 +598,7 @@ def key_collision(spark, sf):
 # --- reports -------------------------------------------------------------------------------------
 
 _TOTALS = {"TotalUnitSold": "UnitsSold", "TotalRevenue": "Revenue"}
+_SCALES = {"TotalUnitSold": 2, "TotalRevenue": 2}
 _SUMS = """CAST(sum(CAST("UnitsSold" AS DECIMAL(18,2))) AS DOUBLE) AS "TotalUnitSold",
            CAST(sum(CAST("Revenue" AS DECIMAL(18,2))) AS DOUBLE) AS "TotalRevenue" """
 _NET_SUMS = f"""CAST(sum(CAST("UnitsSold" AS DECIMAL(18,2))) AS DOUBLE) AS "TotalUnitSold",
@@ -480,7 +611,7 @@ _NET_SUMS = f"""CAST(sum(CAST("UnitsSold" AS DECIMAL(18,2))) AS DOUBLE) AS "Tota
 )
 def by_rep(spark, sf):
     fact = star.hash_fact(spark, sf, [star.REP], ["UnitsSold", "Revenue"])
-    return reports.totals(fact, {"Name": star.attribute(spark, sf, star.REP)}, _TOTALS)
+    return reports.totals(fact, {"Name": star.attribute(spark, sf, star.REP)}, _TOTALS, scales=_SCALES)
 
 
 @query(
@@ -516,7 +647,7 @@ def store_type_year(spark, sf):
         "StoreType": star.attribute(spark, sf, star.STORE_TYPE),
         "Year": Attribute(star.date_dim(spark, sf), "SalesDateKey", "Year", "DateKey"),
     }
-    return reports.totals(fact, by, _TOTALS)
+    return reports.totals(fact, by, _TOTALS, scales=_SCALES)
 
 
 @query(
@@ -533,7 +664,7 @@ def channel_subcategory(spark, sf):
         "SubCategory": star.attribute(spark, sf, star.SUBCATEGORY),
     }
     chosen = (F.col("SubCategory") == "Brand#1") | (F.col("SubCategory") == "Brand#2")
-    return reports.totals(fact, by, _TOTALS, chosen)
+    return reports.totals(fact, by, _TOTALS, chosen, _SCALES)
 
 
 @query(

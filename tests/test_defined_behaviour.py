@@ -11,6 +11,8 @@ from starkit.operators import checks, dims, facts, reports
 from starkit.operators.dims import AttributeDim, CompositeDim
 from starkit.operators.facts import Lookup
 from starkit.operators.reports import Attribute
+from starkit.operators.windows import previous_and_running
+from starkit.plans.flat import table
 from starkit.session import fresh_path, stage
 from starkit.sources import Warehouse, read_csv, rejected_dates
 
@@ -191,3 +193,106 @@ def test_empty_extract(spark):
     assert as_set(dims.star_dimensions(empty, [REGION])["RegionKey"]) == {("N/A", -1)}
     assert as_set(dims.composite_dimension(empty, CompositeDim("K", {"Region": "R"}))) == {("N/A", -1)}
     assert facts.key_by_hash(empty, [REGION]).count() == 0
+
+
+# --- measures are never rounded ------------------------------------------------------------------
+
+
+def _fractions(spark, *values):
+    return spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+
+
+def test_small_fractions_are_summed_whole(spark):
+    df = _fractions(spark, *[0.004] * 1000)
+    keyed = df.withColumn("K", F.lit(1).cast("bigint"))
+    dim = spark.createDataFrame([(1, "a")], "K bigint, name string")
+    found = reports.totals(keyed, {"name": Attribute(dim, "K", "name")}, {"total": "v"})
+    assert as_set(found) == {("a", 4.0)}
+    running = previous_and_running(df.withColumn("g", F.lit(1)), ["g"], ["i"], "v")
+    assert running.orderBy("i").first()["running_total"] == 0.004
+
+
+@pytest.mark.parametrize("value", [0.0001, 1e30, float("nan")])
+def test_a_value_that_does_not_fit_its_stated_places_is_refused(spark, value):
+    df = _fractions(spark, value).withColumn("K", F.lit(1).cast("bigint"))
+    dim = spark.createDataFrame([(1, "a")], "K bigint, name string")
+    with pytest.raises(Exception, match="not exact"):
+        reports.totals(df, {"name": Attribute(dim, "K", "name")}, {"total": "v"}, scales={"total": 2}).collect()
+
+
+@pytest.mark.parametrize(
+    ("units", "price", "discount", "expected"), [(1000.0, 0.004, 12.345, 3.5062), (1.0, 9.999, 0.0, 9.999), (2e10, 0.5, 50.0, 5e9)]
+)
+def test_net_revenue_is_exact(spark, units, price, discount, expected):
+    df = spark.createDataFrame([(units, price, discount)], "u double, p double, d double")
+    assert float(df.select(facts.net_revenue("u", "p", "d")).first()[0]) == expected
+
+
+def test_unequal_totals_do_not_pass(spark):
+    left, right = _fractions(spark, *[1.004] * 1000), _fractions(spark, *[0.996] * 1000)
+    assert not checks.measure_sum(left, right, {"v": "v"}).first()["passed"]
+    assert checks.measure_sum(left, right, {"v": "v"}, tolerance=8.1).first()["passed"]
+    big = [spark.createDataFrame([(n,)], "v bigint") for n in (2**53, 2**53 + 1)]
+    assert not checks.measure_sum(*big, {"v": "v"}).first()["passed"]
+    assert checks.measure_sum(big[0], big[0].select(F.col("v").cast("double")), {"v": "v"}).first()["passed"]
+
+
+def test_cleaning_refuses_values_that_do_not_fit(spark):
+    df = spark.createDataFrame([(None,), (2,)], "v int")
+    with pytest.raises(ValueError):
+        facts.clean(df, [facts.RaiseTo("v", 3.5)])
+    with pytest.raises(ValueError):
+        facts.clean(df, [facts.FillNull("v", 0.9)])
+    rules = [facts.FillNull("v", 0), facts.RaiseTo("v", 1), facts.RaiseTo("v", 3)]
+    assert as_set(facts.rule_counts(df, rules)) == {("FillNull(v)", 1), ("RaiseTo(v)", 1), ("RaiseTo(v)#2", 2)}
+
+
+def test_facts_find_their_composite_member_in_any_spelling(spark):
+    spec = CompositeDim("K", {"p": "p", "q": "q"})
+    df = spark.createDataFrame([("a", "x"), ("A", "X"), ("b", "x"), (None, "x")], "p string, q string")
+    dim = dims.composite_dimension(df, spec, "xxhash64")
+    joined = facts.key_by_hash(df, [spec]).join(dim, "K")
+    assert bag(joined, "p", "q") == {("A", "X"): 2, ("b", "x"): 1, ("N/A", "N/A"): 1}
+
+
+def test_attributes_of_several_types_in_one_pass(spark):
+    df = spark.createDataFrame([("a", 3), ("b", 4), (None, 4)], "name string, size int")
+    specs = [AttributeDim("name", "Name", "NK"), AttributeDim("size", "Size", "SK")]
+    built = dims.star_dimensions(df, specs)
+    assert built["SK"].schema["Size"].dataType.simpleString() == "int"
+    for spec in specs:
+        assert bag(built[spec.key]) == bag(dims.attribute_dimension(df, spec))
+
+
+def test_an_empty_fact_is_checked_for_every_key(spark):
+    dim = spark.createDataFrame([(1,)], "k bigint")
+    fact = spark.createDataFrame([], "k bigint, j bigint")
+    assert as_set(checks.referential(fact, {"k": (dim, "k"), "j": (dim, "k")})) == {("k", 0, 0, True), ("j", 0, 0, True)}
+
+
+def test_an_output_may_have_the_name_of_a_key(spark):
+    fact = spark.createDataFrame([(1, 5), (1, 6)], "K bigint, v int")
+    dim = spark.createDataFrame([(1, "a")], "K bigint, name string")
+    assert as_set(reports.totals(fact, {"K": Attribute(dim, "K", "name")}, {"v": "v"})) == {("a", 11.0)}
+    small = reports.totals(fact, {"K": Attribute(dim, "K", "name")}, {"v": "v"}, F.col("K") == "a", broadcast_bytes=0)
+    assert as_set(small) == {("a", 11.0)}
+
+
+def test_rows_without_a_natural_key_are_no_members(spark):
+    source = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "name string, id int")
+    dim = dims.dimension_from_source(source, ["name"], ["id"], "K")
+    assert as_set(dim) == {("a", 1), ("N/A", -1)}
+
+
+def test_a_table_is_read_with_the_schema_that_it_has(spark):
+    folder = fresh_path(spark, "tables")
+    spark.createDataFrame([(1,)], "a int").write.parquet(f"{folder}/t.parquet")
+    assert table(spark, folder, "t").columns == ["a"]
+    spark.createDataFrame([(1,)], "b int").write.mode("overwrite").parquet(f"{folder}/t.parquet")
+    assert table(spark, folder, "t").collect() == [(1,)] and table(spark, folder, "t").columns == ["b"]
+
+
+def test_errors_say_how_many_rows_failed(spark):
+    report = spark.range(25).select("id", F.lit(False).alias("passed"))
+    with pytest.raises(checks.CheckFailed, match="and 5 more"):
+        checks.require(report)

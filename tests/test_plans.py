@@ -27,7 +27,7 @@ def test_small_dimension_is_broadcast_and_a_large_one_is_not(spark, no_auto_broa
     assert "BroadcastHashJoin" in plan_of(to_dimensions(lines, side))
     large = plan_of(to_dimensions(lines, side, broadcast_bytes=0))
     assert "BroadcastHashJoin" not in large and "SortMergeJoin" in large
-    assert re.search(r"Exchange hashpartitioning\(l_partkey#\d+L, _salt", large)
+    assert re.search(r"Exchange hashpartitioning\(_key0#\d+L, _salt", large)
 
 
 def test_top_n_limits_groups_before_the_shuffle(spark):

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import differences, oracle, plan_of
+from starkit.plans import catalog
 
 SF = f"/root/testdata/sf{os.environ.get('STARKIT_SF', '0.001')}"
 
@@ -16,7 +17,7 @@ def connection():
     return oracle(SF)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query(spark, connection, name):
     df = contract.queries()[name](spark, SF)
     assert differences(df, connection, contract.oracle_sql()[name]) == []
@@ -27,7 +28,8 @@ def test_query(spark, connection, name):
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert catalog.queries().keys() == catalog.oracle_sql().keys()
+    assert contract.queries().keys() >= catalog.queries().keys() and contract.queries().keys() >= contract.oracle_sql().keys()
 
 
 def test_entry(spark):

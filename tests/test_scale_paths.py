@@ -12,7 +12,7 @@ from starkit.operators.dims import AttributeDim, CompositeDim
 from starkit.operators.joins import Side, to_dimensions
 from starkit.operators.numbering import dense_key
 from starkit.operators.sizes import GROUP_ROWS, hot_groups, payload_bytes
-from starkit.operators.windows import previous_and_running
+from starkit.operators.windows import previous_and_running, top_n
 
 
 def _history(spark, seed):
@@ -50,10 +50,35 @@ def test_previous_and_running(spark, seed, group_rows):
     assert found == _brute_force(df)
 
 
-def test_decimal_values_keep_their_type(spark):
-    df = _history(spark, 3).withColumn("v", F.col("v").cast("decimal(12,2)"))
+@pytest.mark.parametrize("kind", ["int", "double", "decimal(12,2)", "decimal(30,10)"])
+def test_types_and_values_do_not_depend_on_the_size_of_a_group(spark, kind):
+    df = _history(spark, 3).withColumn("v", F.col("v").cast(kind))
     short = previous_and_running(df, ["k"], ["day", "id"], "v")
-    assert bag(short) == bag(previous_and_running(df, ["k"], ["day", "id"], "v", group_rows=50))
+    long = previous_and_running(df, ["k"], ["day", "id"], "v", group_rows=50)
+    assert bag(short) == bag(long) and short.dtypes == long.dtypes
+
+
+def test_equal_and_null_rows_spread_over_tasks(spark):
+    """Rows of a hot key and rows without a key, all alike, end in more than one task, whatever columns the fact has."""
+    fact = spark.createDataFrame([("hot",)] * 4000 + [(None,)] * 4000 + [("k1",)] * 10, "k string").withColumn("m", F.create_map(F.lit(1), F.lit(2)))
+    dim = spark.createDataFrame([("hot", 1), ("k1", 2)], "name string, number bigint")
+    side = [Side(dim, {"k": "name"}, ["number"])]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spread = to_dimensions(fact, side, broadcast_bytes=0, group_rows=1000)
+        tasks = {(r.k, r.p) for r in spread.withColumn("p", F.spark_partition_id()).select("k", "p").distinct().collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(k == "hot" for k, _ in tasks) > 1 and sum(k is None for k, _ in tasks) > 1
+    assert spread.dtypes == to_dimensions(fact, side).dtypes
+    assert bag(spread.select("k", "number")) == bag(to_dimensions(fact, side).select("k", "number"))
+
+
+def test_top_n_of_many_rows(spark):
+    df = spark.range(5000).select((F.col("id") % 2).alias("g"), "id").repartition(6)
+    found = top_n(df, ["g"], [F.col("id").desc()], 1500)
+    assert bag(found) == {(i % 2, i): 1 for i in range(2000, 5000)}
+    assert found.columns == ["g", "id"]
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])

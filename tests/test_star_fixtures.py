@@ -7,7 +7,8 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from frames import (
-    CATEGORIES, CUSTOMER_TYPES, DIRTY, DIRTY_SCHEMA, MAPPING, REGIONS, SALES_SCHEMA, TRANSACTIONS, as_set, bag, sales_rows,
+    CATEGORIES, CUSTOMER_TYPES, DIRTY, DIRTY_BY_EMPLOYEE, DIRTY_BY_REGION, DIRTY_SALES, DIRTY_SALES_SCHEMA, DIRTY_SCHEMA, MAPPING,
+    REGIONS, SALES, SALES_SCHEMA, TRANSACTIONS, as_set, bag,
 )
 from starkit.operators import checks, dims, facts, reports
 from starkit.operators.dims import AttributeDim, CompositeDim
@@ -21,7 +22,7 @@ from starkit.sources import Warehouse, read_csv
 @pytest.fixture(scope="module")
 def extract(spark):
     path = fresh_path(spark, "sales-csv")
-    spark.createDataFrame(sales_rows(), SALES_SCHEMA).write.option("header", True).csv(path)
+    spark.createDataFrame(SALES, SALES_SCHEMA).write.option("header", True).csv(path)
     return read_csv(spark, path, SALES_SCHEMA, {"SalesDate": "M/d/yyyy"})
 
 
@@ -251,6 +252,57 @@ def test_checks_on_dirty_data(dirty):
     assert as_set(report) == {(key, 8, 1, False) for key in built}
 
 
+# --- dirty extract of 30 rows, from saved tables --------------------------------------------------
+
+BIG_PRODUCT = CompositeDim("ProductKey", {"ProductCategory": "Category", "ProductName": "Name", "Brand": "Brand"})
+BIG_STORE = CompositeDim("StoreKey", {"StoreRegion": "Region", "StoreName": "Name", "StoreType": "Type"})
+BIG_EMPLOYEE = CompositeDim("EmployeeKey", {"SalesRep": "Name", "Department": "Department", "EmployeeRole": "Role"})
+BIG_SPECS = (BIG_PRODUCT, BIG_STORE, BIG_EMPLOYEE)
+
+
+@pytest.fixture(scope="module")
+def saved(spark):
+    """Dimensions and fact as they are read back, net revenue held as double."""
+    warehouse = Warehouse(spark, fresh_path(spark, "dirty-warehouse"))
+    raw = spark.createDataFrame(DIRTY_SALES, DIRTY_SALES_SCHEMA)
+    built = {spec.key: warehouse.save(dims.composite_dimension(raw, spec), f"dim_{spec.key}") for spec in BIG_SPECS}
+    cleaned = facts.clean(raw, RULES)
+    measured = cleaned.withColumn("NetRevenue", facts.net_revenue("UnitsSold", "UnitPrice", "Discount").cast("double"))
+    keyed = facts.key_by_lookup(measured, [facts.composite_lookup(spec, built[spec.key]) for spec in BIG_SPECS])
+    return raw, warehouse.save(keyed, "fact_sales"), built
+
+
+def test_saved_dimensions(saved):
+    assert {key: dim.count() for key, dim in saved[2].items()} == {"ProductKey": 24, "StoreKey": 21, "EmployeeKey": 26}
+    assert as_set(checks.unknown_keys(saved[1], ["ProductKey", "StoreKey", "EmployeeKey"])) == {
+        ("ProductKey", 3), ("StoreKey", 0), ("EmployeeKey", 0),
+    }
+
+
+def test_saved_totals(saved):
+    _, fact, built = saved
+    net = {"units": "UnitsSold", "net": "NetRevenue"}
+    by_region = reports.totals(fact, {"region": Attribute(built["StoreKey"], "StoreKey", "Region")}, net)
+    assert as_set(by_region) == DIRTY_BY_REGION
+    by_employee = reports.totals(fact, {"name": Attribute(built["EmployeeKey"], "EmployeeKey", "Name")}, net, broadcast_bytes=0)
+    assert as_set(by_employee) == DIRTY_BY_EMPLOYEE
+    assert checks.measure_sum(fact, fact, {"NetRevenue": "NetRevenue"}).first()["source_total"] == 91221.767
+
+
+def test_saved_checks(saved):
+    raw, fact, built = saved
+    sides = {key: (dim, key) for key, dim in built.items()}
+    checks.require(checks.row_count(raw, fact))
+    checks.require(checks.referential(fact, sides))
+    checks.require(checks.null_keys(fact, list(sides)))
+    checks.require(checks.measure_range(fact, {"negative": F.col("UnitPrice") < 0}))
+    columns = ["SaleDate", "UnitsSold", "UnitPrice", "Discount"]
+    assert checks.bag_difference(facts.clean(raw, RULES), fact, columns).isEmpty()
+    stray = fact.limit(1).withColumns({key: F.lit(99).cast("bigint") for key in sides})
+    report = checks.referential(fact.unionByName(stray), sides)
+    assert as_set(report) == {(key, 31, 1, False) for key in sides}
+
+
 # --- region dimension in miniature ---------------------------------------------------------------
 
 

@@ -13,7 +13,7 @@ from starkit.operators.windows import previous_and_running, top_n
 from starkit.plans.flat import sales, table
 from starkit.plans.registry import over_sales, query
 from starkit.session import fresh_path, stage
-from starkit.sources import Warehouse, read_csv, read_table, rejected_dates, rows
+from starkit.sources import Warehouse, read_csv, read_table, rejected_dates, rejected_rows, rows
 
 # --- sources and sinks ---------------------------------------------------------------------------
 
@@ -47,6 +47,19 @@ def csv_rejects(spark, sf):
     return rejected_dates(raw, {"o_orderdate": _US_DATE})
 
 
+@query(
+    "src_csv_bad_numbers",
+    """SELECT count(*) AS row_count, count(*) FILTER (o_orderstatus = 'P') AS rejected_rows, count(*) FILTER (o_orderstatus = 'P') = 0 AS passed
+       FROM orders""",
+)
+def csv_bad_numbers(spark, sf):
+    """Prices that are no numbers in rows of one status."""
+    path = fresh_path(spark, "orders-bad-csv")
+    price = F.when(F.col("o_orderstatus") == "P", F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    table(spark, sf, "orders").select("o_orderkey", price.alias("price")).write.option("header", True).csv(path)
+    return rejected_rows(read_csv(spark, path, "o_orderkey bigint, price double", keep_corrupt=True))
+
+
 @query("src_parquet_scan", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
 def parquet_scan(spark, sf):
     return spark.read.parquet(f"{sf}/part.parquet")

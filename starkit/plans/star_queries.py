@@ -303,12 +303,17 @@ def referential(spark, sf):
     return checks.referential(fact, sides)
 
 
-@query("chk_referential_fail", 'SELECT CAST(99999 AS BIGINT) AS "StoreTypeKey", CAST(1 AS DOUBLE) AS "Revenue"')
+@query(
+    "chk_referential_fail",
+    over_sales("""SELECT CAST(99999 AS BIGINT) AS "StoreTypeKey", "Revenue" FROM sales_flat WHERE "LineNumber" = 7 AND "StoreType" = 'R'"""),
+)
 def referential_fail(spark, sf):
-    """One fact with a key that no dimension holds: exactly that row comes back."""
-    fact = star.hash_fact(spark, sf, [star.STORE_TYPE], ["Revenue"])
-    stray = spark.createDataFrame([(1.0, 99999)], fact.schema)
-    found = checks.unmatched(fact.unionByName(stray), star.attribute_dim(spark, sf, star.STORE_TYPE), "StoreTypeKey")
+    """Facts that are given a key that no dimension holds: exactly those rows come back."""
+    extract = star.staged_sales(spark, sf, [star.STORE_TYPE.source, "LineNumber", "Revenue"])
+    stray = (F.col("LineNumber") == 7) & (F.col("StoreType") == "R")
+    fact = facts.key_by_hash(extract.withColumn("_stray", stray), [star.STORE_TYPE])
+    spoiled = fact.withColumn("StoreTypeKey", F.when(F.col("_stray"), F.lit(99999).cast("bigint")).otherwise(F.col("StoreTypeKey")))
+    found = checks.unmatched(spoiled, dims.attribute_dimension(extract, star.STORE_TYPE), "StoreTypeKey")
     return found.select("StoreTypeKey", "Revenue")
 
 
@@ -322,10 +327,10 @@ def referential_fail(spark, sf):
 )
 def referential_partial(spark, sf):
     """A store type dimension that was built without one of the types."""
-    fact = star.hash_fact(spark, sf, [star.REGION, star.STORE_TYPE], [])
-    partial = sales(spark, sf, ["StoreType"]).where("StoreType <> 'R'")
-    types = dims.attribute_dimension(partial, star.STORE_TYPE)
-    regions = star.attribute_dim(spark, sf, star.REGION)
+    extract = star.staged_sales(spark, sf, [star.REGION.source, star.STORE_TYPE.source])
+    fact = facts.key_by_hash(extract, [star.REGION, star.STORE_TYPE])
+    types = dims.attribute_dimension(extract.where("StoreType <> 'R'"), star.STORE_TYPE)
+    regions = dims.attribute_dimension(extract, star.REGION)
     return checks.referential(fact, {"RegionKey": (regions, "RegionKey"), "StoreTypeKey": (types, "StoreTypeKey")})
 
 
@@ -605,13 +610,20 @@ _NET_SUMS = f"""CAST(sum(CAST("UnitsSold" AS DECIMAL(18,2))) AS DOUBLE) AS "Tota
                 CAST(sum({_NET}) AS DOUBLE) AS "TotalRevenue" """
 
 
+def _report_star(spark, sf, *specs, with_date=False):
+    """Fact and dimensions of one report, from one reading of the tables."""
+    dates = star.DATES if with_date else {}
+    extract = star.staged_sales(spark, sf, [*[spec.source for spec in specs], *dates, "UnitsSold", "Revenue"])
+    return facts.key_by_hash(extract, specs, dates), dims.star_dimensions(extract, specs, *dates)
+
+
 @query(
     "rpt_by_rep",
     over_sales(f"""SELECT coalesce("SalesRep", 'N/A') AS "Name", {_SUMS} FROM sales_flat GROUP BY 1"""),
 )
 def by_rep(spark, sf):
-    fact = star.hash_fact(spark, sf, [star.REP], ["UnitsSold", "Revenue"])
-    return reports.totals(fact, {"Name": star.attribute(spark, sf, star.REP)}, _TOTALS, scales=_SCALES)
+    fact, built = _report_star(spark, sf, star.REP)
+    return reports.totals(fact, {"Name": Attribute(built[star.REP.key], star.REP.key, "Name")}, _TOTALS, scales=_SCALES)
 
 
 @query(
@@ -642,10 +654,10 @@ def by_employee(spark, sf):
     ),
 )
 def store_type_year(spark, sf):
-    fact = star.hash_fact(spark, sf, [star.STORE_TYPE], ["UnitsSold", "Revenue"], with_date=True)
+    fact, built = _report_star(spark, sf, star.STORE_TYPE, with_date=True)
     by = {
-        "StoreType": star.attribute(spark, sf, star.STORE_TYPE),
-        "Year": Attribute(star.date_dim(spark, sf), "SalesDateKey", "Year", "DateKey"),
+        "StoreType": Attribute(built[star.STORE_TYPE.key], star.STORE_TYPE.key, "Name"),
+        "Year": Attribute(built["DateKey"], "SalesDateKey", "Year", "DateKey"),
     }
     return reports.totals(fact, by, _TOTALS, scales=_SCALES)
 
@@ -658,10 +670,10 @@ def store_type_year(spark, sf):
     ),
 )
 def channel_subcategory(spark, sf):
-    fact = star.hash_fact(spark, sf, [star.CHANNEL, star.SUBCATEGORY], ["UnitsSold", "Revenue"])
+    fact, built = _report_star(spark, sf, star.CHANNEL, star.SUBCATEGORY)
     by = {
-        "SalesChannel": star.attribute(spark, sf, star.CHANNEL),
-        "SubCategory": star.attribute(spark, sf, star.SUBCATEGORY),
+        "SalesChannel": Attribute(built[star.CHANNEL.key], star.CHANNEL.key, "Name"),
+        "SubCategory": Attribute(built[star.SUBCATEGORY.key], star.SUBCATEGORY.key, "Title"),
     }
     chosen = (F.col("SubCategory") == "Brand#1") | (F.col("SubCategory") == "Brand#2")
     return reports.totals(fact, by, _TOTALS, chosen, _SCALES)

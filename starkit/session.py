@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 _local_folders: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def build_session(app: str = "starkit", master: str | None = None, **settings: str) -> SparkSession:
@@ -32,9 +35,10 @@ def build_session(app: str = "starkit", master: str | None = None, **settings: s
 def shared_dir(spark: SparkSession) -> str:
     """Root for intermediate tables: what the cluster names, or a fresh folder in local mode."""
     root = spark.conf.get(CHECKPOINT_DIR, None)
+    master = spark.conf.get("spark.master", "")
     if root:
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
     application = spark.conf.get("spark.app.id", "local")
     if application not in _local_folders:
@@ -55,5 +59,23 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables that ``stage`` writes inside the block at its end.
+
+    Results must be written or read to the end within the block, as they read those tables. Without a scope, whoever owns the shared folder
+    removes them.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -1,4 +1,4 @@
-from starkit.sources.readers import read_csv, read_table, rejected_dates, rows
+from starkit.sources.readers import CORRUPT, read_csv, read_table, rejected_dates, rejected_rows, rows
 from starkit.sources.warehouse import Warehouse
 
-__all__ = ["Warehouse", "read_csv", "read_table", "rejected_dates", "rows"]
+__all__ = ["CORRUPT", "Warehouse", "read_csv", "read_table", "rejected_dates", "rejected_rows", "rows"]

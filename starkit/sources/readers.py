@@ -8,22 +8,47 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starkit.session import stage
+
+
+#: Column that holds a row which does not fit its schema, as it stands in the file.
+CORRUPT = "_corrupt_record"
+
 
 def read_csv(
     spark: SparkSession,
     path: str,
     schema: T.StructType | str | None = None,
     date_formats: Mapping[str, str] | None = None,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
     """CSV with a header row.
 
-    With a ``schema`` the file is read once; without one Spark infers the types in a pass of
-    its own. ``date_formats`` names text columns and the pattern to parse them by: text that
-    does not fit becomes null (``rejected_dates`` counts those).
+    With a ``schema`` the file is read once, and a header with other names, or in another order, fails the query; without one
+    Spark infers the types in a pass of its own. With ``keep_corrupt``, rows that do not fit a declared schema (a bad number,
+    a missing or an extra field) have their text in a column CORRUPT (``rejected_rows`` counts them).
+    ``date_formats`` names text columns and the pattern to parse them by: text that does not fit becomes null
+    (``rejected_dates`` counts those).
     """
     reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return parse_dates(reader.csv(path), date_formats or {})
+    if schema is None:
+        return parse_dates(reader.option("inferSchema", True).csv(path), date_formats or {})
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    reader = reader.option("enforceSchema", False)
+    if keep_corrupt:
+        schema = T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+    return parse_dates(reader.schema(schema).csv(path), date_formats or {})
+
+
+def rejected_rows(df: DataFrame) -> DataFrame:
+    """One row: how many rows of ``read_csv`` with ``keep_corrupt`` do not fit the schema, and whether none does.
+
+    The parsed rows are written first, as Spark parses only the columns that a query uses.
+    """
+    counted = stage(df, "parsed").agg(F.count(F.lit(1)).alias("row_count"), F.count_if(F.col(CORRUPT).isNotNull()).alias("rejected_rows"))
+    return counted.withColumn("passed", F.col("rejected_rows") == 0)
 
 
 def parse_dates(df: DataFrame, date_formats: Mapping[str, str]) -> DataFrame:

@@ -14,7 +14,7 @@ from starkit.operators.reports import Attribute
 from starkit.operators.windows import previous_and_running
 from starkit.plans.flat import table
 from starkit.session import fresh_path, stage
-from starkit.sources import Warehouse, read_csv, rejected_dates
+from starkit.sources import CORRUPT, Warehouse, read_csv, rejected_dates, rejected_rows
 
 REGION = AttributeDim("Region", "Region", "RegionKey")
 
@@ -296,3 +296,13 @@ def test_errors_say_how_many_rows_failed(spark):
     report = spark.range(25).select("id", F.lit(False).alias("passed"))
     with pytest.raises(checks.CheckFailed, match="and 5 more"):
         checks.require(report)
+
+
+def test_csv_headers_and_bad_rows(spark, tmp_path):
+    (tmp_path / "swapped.csv").write_text("b,a\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path / "swapped.csv"), "a int, b int").collect()
+    (tmp_path / "mixed.csv").write_text("a,b\n1,x\nnone,y\n3\n4,z,more\n5,\n")
+    kept = read_csv(spark, str(tmp_path / "mixed.csv"), "a int, b string", keep_corrupt=True)
+    assert rejected_rows(kept).collect() == [(5, 3, False)]
+    assert as_set(stage(kept, "kept").where(F.col(CORRUPT).isNull()).select("a", "b")) == {(1, "x"), (5, None)}

@@ -54,3 +54,14 @@ def test_filters_reach_the_scan(spark):
 def test_dimension_values_are_reduced_by_hash_before_the_shuffle(spark):
     plan = plan_of(dims.attribute_dimension(sales(spark, SF, ["SalesRep"]), dims.AttributeDim("SalesRep", "Name", "K")))
     assert "SortAggregate" not in plan and plan.count("HashAggregate") == 2
+
+
+@pytest.mark.parametrize("name", ["rpt_by_rep", "rpt_store_type_year", "rpt_channel_subcat", "chk_referential_partial"])
+def test_a_report_reads_line_items_once(spark, name, monkeypatch):
+    from starkit.plans import catalog, star
+
+    reads = []
+    joined = star.sales
+    monkeypatch.setattr(star, "sales", lambda *args: reads.append(args) or joined(*args))
+    plan = plan_of(catalog.queries()[name](spark, SF))
+    assert len(reads) == 1 and "lineitem.parquet" not in plan

@@ -5,7 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from starkit.session import fresh_path, shared_dir, stage
+from starkit.session import fresh_path, shared_dir, stage, staging
 
 
 def _session(**settings):
@@ -34,3 +34,18 @@ def test_staged_rows_are_read_back(spark):
     assert staged.count() == 5 and staged.dtypes == [("id", "bigint"), ("t", "string")]
     assert shared_dir(spark) in staged.inputFiles()[0]
     assert stage(spark.range(0), "nothing").count() == 0
+
+
+def test_staged_tables_go_with_their_scope(spark):
+    with staging(spark):
+        inner = stage(spark.range(3), "scoped")
+        folder = os.path.dirname(inner.inputFiles()[0].removeprefix("file://"))
+        assert inner.count() == 3 and os.path.isdir(folder)
+        with staging(spark):
+            stage(spark.range(1), "nested")
+    assert not os.path.exists(folder)
+
+
+def test_a_local_cluster_needs_a_shared_folder():
+    with pytest.raises(RuntimeError):
+        shared_dir(_session(spark__master="local-cluster[3,2,1024]"))

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starkit.llm.common import batch_of
+from starkit.llm.common import batch_of, map_arrow
 from starkit.llm.graph import components
 from starkit.session import stage
 
@@ -30,8 +30,9 @@ WORDS = 5
 PERCENT = 85
 #: Values of a sketch, and how many of them a pair at the threshold shares but with a probability of one in 10**8.
 SKETCH, SHARED = 32, 14
-#: The same for the longer sketches of sets that have a partner by the first ones.
-WIDE, WIDE_SHARED = 256, 182
+#: The same for the sketches whose union estimates a similarity, and for the lists of sets that have a partner by the first ones.
+MIDDLE, MIDDLE_SHARED = 256, 182
+WIDE, WIDE_SHARED = 1024, 802
 #: Rounds of comparison with one member of each list before the rest is compared member by member.
 STAR_ROUNDS = 3
 
@@ -76,32 +77,35 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n (shingles), f1 and f2 (128-bit fingerprint of the set) and sketch of each row; written once."""
+    """doc_id, text_hash, n (shingles), f1 and f2 (128-bit fingerprint of the set) and sketch of each row; written once."""
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, hashes = batch.column("doc_id"), batch.column("text_hash")
             texts = batch.column("text").to_pylist()
             for start in range(0, len(texts), 500):
                 found = [(len(s), xxhash.xxh3_128_digest(s), s[:SKETCH]) for s in shingler.sets(texts[start : start + 500])]
                 prints = np.frombuffer(b"".join(f for _, f, _ in found), "<i8").reshape(-1, 2)
                 yield batch_of({
-                    "doc_id": (ids.slice(start, len(found)), pa.int64()), "n": ([n for n, _, _ in found], pa.int64()),
+                    "doc_id": (ids.slice(start, len(found)), pa.int64()), "text_hash": (hashes.slice(start, len(found)), pa.int64()),
+                    "n": ([n for n, _, _ in found], pa.int64()),
                     "f1": (prints[:, 0], pa.int64()), "f2": (prints[:, 1], pa.int64()),
                     "sketch": (_lists([s for _, _, s in found]), None),
                 })
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return stage(rows.mapInArrow(sketched, "doc_id long, n long, f1 long, f2 long, sketch array<long>"), "sketches")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    schema = "doc_id long, text_hash long, n long, f1 long, f2 long, sketch array<long>"
+    return stage(map_arrow(rows, sketched, schema), "sketches")
 
 
 def classes_of(rows: DataFrame) -> DataFrame:
-    """One row for each set that is not empty: node, f1, f2, least (doc_id), n, sketch; written once, which fixes the numbers."""
-    each = rows.where("n > 0").groupBy("f1", "f2").agg(
-        F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
-    )
-    return stage(each.withColumn("node", F.monotonically_increasing_id()), "classes")
+    """One row for each set that is not empty: node, f1, f2, least (doc_id), text_hash (of a row with it), n, sketch; written once,
+    which fixes the numbers."""
+    shown = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("shown")
+    each = rows.where("n > 0").groupBy("f1", "f2").agg(shown, F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    named = each.select("f1", "f2", F.col("shown.doc_id").alias("least"), "shown.text_hash", "n", "sketch")
+    return stage(named.withColumn("node", F.monotonically_increasing_id()), "classes")
 
 
 def _listed(size: int, shared: int):
@@ -153,23 +157,23 @@ def full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFram
                     "n": ([len(s) for s in kept], pa.int64()), "full": (_lists(kept), None),
                 })
 
-    wanted = classes.join(nodes, "node").select("least", "f1", "f2", "node")
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text")
-    match = F.col("_id").eqNullSafe(F.col("least"))
+    wanted = classes.join(nodes, "node").select("least", "text_hash", "f1", "f2", "node")
+    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text", F.xxhash64("text").alias("_hash"))
+    match = F.col("_id").eqNullSafe(F.col("least")) & (F.col("_hash") == F.col("text_hash"))
     found = texts.join(wanted.hint("shuffle_hash"), match).select("node", "f1", "f2", "text")
-    sets = found.mapInArrow(shingled, "node long, n long, full array<long>")
+    sets = map_arrow(found, shingled, "node long, n long, full array<long>")
     return stage(sets.dropDuplicates(["node"]), "full-sets")
 
 
 def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets are similar: first by the union of their sketches, then by the full sets."""
-    brief = sets.select("node", "n", F.slice("full", 1, WIDE).alias("sketch"))
+    brief = sets.select("node", "n", F.slice("full", 1, MIDDLE).alias("sketch"))
     side = lambda df, name: df.select([F.col(c).alias(name if c == "node" else f"{c}_{name}") for c in df.columns])
     estimated = pairs.select("a", "b").distinct().join(side(brief, "a"), "a").join(side(brief, "b"), "b")
-    union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, WIDE)
+    union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, MIDDLE)
     both = F.size(F.array_intersect(F.array_intersect("sketch_a", "sketch_b"), union))
     least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    needed = F.when(most <= WIDE, F.ceil(most * PERCENT / 100)).otherwise(F.lit(WIDE_SHARED))
+    needed = F.when(most <= MIDDLE, F.ceil(most * PERCENT / 100)).otherwise(F.lit(MIDDLE_SHARED))
     passed = estimated.where((100 * least >= PERCENT * most) & (both >= needed)).select("a", "b")
     full = sets.select("node", "n", "full")
     held = passed.join(side(full, "a"), "a").join(side(full, "b"), "b")

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import functools
 import json
+import pathlib
+import tempfile
+import zipfile
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 # Fixed value: how byte-level BPE cuts texts before it merges.
 GPT2_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -22,6 +26,29 @@ CACHED_CHARS = 64
 CHUNK_CHARS = 2_000_000
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library to the executors of an application, once, so that tasks can import it wherever they run."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = pathlib.Path(__file__).resolve().parent.parent
+    archive = pathlib.Path(tempfile.mkdtemp(prefix="starkit-")) / "starkit.zip"
+    with zipfile.ZipFile(archive, "w") as files:
+        for module in sorted(package.rglob("*.py")):
+            files.write(module, module.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with this library at hand in the tasks."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def batch_of(columns: dict[str, tuple[Iterable, pa.DataType]]) -> pa.RecordBatch:
     """A record batch from ``{name: (values, type)}``."""
     arrays = [v if isinstance(v, pa.Array) else pa.array(v, kind) for v, kind in columns.values()]

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starkit.llm.common import batch_of
+from starkit.llm.common import batch_of, map_arrow
 from starkit.session import stage
 
 WINDOW = 10
@@ -86,7 +86,7 @@ def build_index(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
             yield close()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return stage(rows.mapInArrow(shards, SHARDS), "postings")
+    return stage(map_arrow(rows, shards, SHARDS), "postings")
 
 
 class Shard:
@@ -219,7 +219,7 @@ def frequencies(index: DataFrame, terms: set[bytes]) -> Counter:
                         total[name] += n
         yield batch_of({"term": (list(total), pa.binary()), "n": (list(total.values()), pa.int64())})
 
-    found = index.select("terms", "counts").mapInArrow(counted, "term binary, n long")
+    found = map_arrow(index.select("terms", "counts"), counted, "term binary, n long")
     return Counter({bytes(r["term"]): r["n"] for r in found.groupBy("term").agg(F.sum("n").alias("n")).collect()})
 
 
@@ -271,7 +271,7 @@ def search(index: DataFrame, items: list[tuple[str, list[bytes]]], window: int =
                     "spans": (spans, pa.list_(pa.int64())), "near": ([sorted(s) for s in nearby], pa.list_(pa.string())),
                 })
 
-    return index.mapInArrow(matched, HITS)
+    return map_arrow(index, matched, HITS)
 
 
 def covered(spans):

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starkit.llm.common import batch_of
+from starkit.llm.common import batch_of, map_arrow
 
 # Elements of HTML by what they mean for the text.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -231,4 +231,4 @@ def extract(pages: DataFrame) -> DataFrame:
             })
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html")
-    return rows.mapInArrow(extracted, "page_id long, url string, text string, n_chars long")
+    return map_arrow(rows, extracted, "page_id long, url string, text string, n_chars long")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starkit.llm.common import batch_of
+from starkit.llm.common import batch_of, map_arrow
 
 #: Sizes of n-grams and slots that they are hashed to.
 SIZES = (1, 2, 3)
@@ -134,7 +134,7 @@ def learn(rows: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
         kinds = {"lang": pa.string(), "slot": pa.int32(), "n": pa.int64()}
         yield batch_of({name: ([row[i] for row in used], kind) for i, (name, kind) in enumerate(kinds.items())})
 
-    summed = part.mapInArrow(counted, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
+    summed = map_arrow(part, counted, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
     table = {lang: np.zeros(SLOTS) for lang in sizes}
     for row in summed.toLocalIterator():
         table[row["lang"]][row["slot"]] = row["n"]
@@ -165,4 +165,4 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, lang_pred string, score double, languages array<string>, proportions array<double>"
-    return rows.mapInArrow(identified, schema)
+    return map_arrow(rows, identified, schema)

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starkit.llm.common import batch_of, byte_level_encoder
+from starkit.llm.common import batch_of, byte_level_encoder, map_arrow
 from starkit.session import stage
 
 #: Examples that wait in a task; so many times the length of a sequence are its ids in memory.
@@ -178,4 +178,4 @@ def pack(docs: DataFrame, tokenizer: str, limits: Limits, end_id: int = 1, loss_
 
     loss = F.lit(None).cast("long") if loss_column is None else F.coalesce(F.col(loss_column).cast("long"), F.lit(0))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", loss.alias("_loss"))
-    return stage(rows.mapInArrow(pieces, PIECES), "packed")
+    return stage(map_arrow(rows, pieces, PIECES), "packed")

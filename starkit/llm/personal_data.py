@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starkit.llm.common import batch_of
+from starkit.llm.common import batch_of, map_arrow
 from starkit.session import stage
 
 BASE = ("email", "ip", "card", "phone")
@@ -249,7 +249,7 @@ def candidates(docs: DataFrame) -> DataFrame:
             yield batch_of({"doc_id": (batch.column("doc_id"), pa.int64()), "spans": (spans, None)})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return stage(rows.mapInArrow(judged, f"doc_id long, spans array<{SPAN}>"), "personal-data")
+    return stage(map_arrow(rows, judged, f"doc_id long, spans array<{SPAN}>"), "personal-data")
 
 
 def label_model(found: DataFrame) -> LabelModel:

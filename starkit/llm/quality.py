@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from starkit.llm.common import batch_of
+from starkit.llm.common import batch_of, map_arrow
 from starkit.session import stage
 
 SYMBOLS = "#*$%&|<>"
@@ -94,7 +94,7 @@ def statistics(docs: DataFrame) -> DataFrame:
             yield batch_of({"doc_id": (batch.column("doc_id"), pa.int64())} | named)
 
     schema = "doc_id long, " + ", ".join([f"{c} long" for c in COUNTS] + [f"{f} double" for f in FEATURES])
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(measured, schema)
+    found = map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), measured, schema)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return stage(found.withColumn("base_failed", failed), "quality-statistics")
 
@@ -194,7 +194,7 @@ def score(stats: DataFrame, forests: list[Forest]) -> DataFrame:
             scores = pa.ListArray.from_arrays(offsets, flat)
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, "scores"])
 
-    return stats.mapInArrow(scored, StructType([*stats.schema, StructField("scores", ArrayType(DoubleType()))]))
+    return map_arrow(stats, scored, StructType([*stats.schema, StructField("scores", ArrayType(DoubleType()))]))
 
 
 def calibrate(scored: DataFrame, forests: int, precision: float = PRECISION) -> list[float]:

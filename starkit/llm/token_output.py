@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starkit.llm.common import batch_of, byte_level_encoder
+from starkit.llm.common import batch_of, byte_level_encoder, map_arrow
 from starkit.session import stage
 
 MAGIC = b"SKEF"
@@ -166,7 +166,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 0, block_ids: int = BLO
         F.monotonically_increasing_id().alias("_row"),
     )
     dealt = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-    return stage(dealt.mapInArrow(blocks, FILES), "token-files")
+    return stage(map_arrow(dealt, blocks, FILES), "token-files")
 
 
 def read(files: DataFrame) -> DataFrame:
@@ -197,7 +197,7 @@ def read(files: DataFrame) -> DataFrame:
         bases.append((row["part"], base))
         base += row["n"]
     before = spark.createDataFrame(bases, "part int, before long")
-    found = files.select("part", "start_in_part", "payload").mapInArrow(documents, DOCUMENTS)
+    found = map_arrow(files.select("part", "start_in_part", "payload"), documents, DOCUMENTS)
     return found.join(F.broadcast(before), "part").select(
         "doc_id", (F.col("before") + F.col("start_in_part")).alias("start"), "n_tokens", "ids_crc32"
     )

@@ -47,6 +47,12 @@ def test_odd_rows(spark):
     assert found_in(spark, None, extra=True) == brute_force(ODD)
 
 
+def test_rows_without_ids_are_linked_by_their_texts(spark):
+    texts = family(20, 60, 1, 8) + family(10, 8, 1, 9)
+    rows = [(None, text, None, None, None) for text in texts] + [(5, texts[0], None, None, None), (5, texts[25], None, None, None)]
+    assert found_in(spark, rows) == brute_force(rows)
+
+
 def test_no_rows(spark):
     assert found_in(spark, []) == []
 

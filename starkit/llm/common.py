@@ -12,7 +12,10 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from starkit.session import stage
 
 # Fixed value: how byte-level BPE cuts texts before it merges.
 GPT2_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -49,6 +52,28 @@ def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iter
     return df.mapInArrow(function, schema)
 
 
+#: Words of 64 bits of a membership filter: 1 MB whatever it holds. Beyond some millions of keys it lets everything through.
+FILTER_WORDS = 1 << 17
+
+
+def _place(key: Column) -> tuple[Column, Column]:
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(key, 20), F.lit(64)).cast("int"))
+    return F.pmod(key, F.lit(FILTER_WORDS)), bit
+
+
+def membership(keys: DataFrame, key: Column) -> DataFrame:
+    """A filter over the hashes ``key`` of ``keys``: word, bits; at most FILTER_WORDS rows, written once."""
+    word, bit = _place(key)
+    return stage(keys.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits")), "filter")
+
+
+def with_membership(df: DataFrame, key: Column, members: DataFrame) -> DataFrame:
+    """``df`` with a column ``_maybe``: false where the filter tells that a row's key is not among the keys. Nothing is shuffled."""
+    word, bit = _place(key)
+    known = df.join(F.broadcast(members), word == F.col("_word"), "left")
+    return known.withColumn("_maybe", F.coalesce(F.col("_bits").bitwiseAND(bit) != 0, F.lit(False))).drop("_word", "_bits")
+
+
 def batch_of(columns: dict[str, tuple[Iterable, pa.DataType]]) -> pa.RecordBatch:
     """A record batch from ``{name: (values, type)}``."""
     arrays = [v if isinstance(v, pa.Array) else pa.array(v, kind) for v, kind in columns.values()]

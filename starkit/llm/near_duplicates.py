@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starkit.llm.common import batch_of, map_arrow
+from starkit.llm.common import batch_of, map_arrow, membership, with_membership
 from starkit.llm.graph import components
 from starkit.session import stage
 
@@ -140,7 +140,10 @@ def inverted_lists(sketched: DataFrame, size: int, shared: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, n, full (sorted hashes of all shingles) of the given nodes; written once."""
+    """node, n, full (sorted hashes of all shingles) of the given nodes; written once.
+
+    A filter of fixed size keeps most other texts from being shuffled.
+    """
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
@@ -157,8 +160,10 @@ def full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFram
                     "n": ([len(s) for s in kept], pa.int64()), "full": (_lists(kept), None),
                 })
 
-    wanted = classes.join(nodes, "node").select("least", "text_hash", "f1", "f2", "node")
+    wanted = stage(classes.join(nodes, "node").select("least", "text_hash", "f1", "f2", "node"), "wanted")
+    members = membership(wanted, F.xxhash64("least", "text_hash"))
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text", F.xxhash64("text").alias("_hash"))
+    texts = with_membership(texts, F.xxhash64("_id", "_hash"), members).where("_maybe").drop("_maybe")
     match = F.col("_id").eqNullSafe(F.col("least")) & (F.col("_hash") == F.col("text_hash"))
     found = texts.join(wanted.hint("shuffle_hash"), match).select("node", "f1", "f2", "text")
     sets = map_arrow(found, shingled, "node long, n long, full array<long>")

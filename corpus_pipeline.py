@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starkit.llm import decontamination, near_duplicates, packing, quality, secret_scan
+from starkit.llm.common import membership, with_membership
 from starkit.session import stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -23,9 +24,14 @@ ORACLE_SQL = None
 
 
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose doc_id is rejected; texts move once, by their id."""
-    gone = rejected.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti").select(*COLUMNS)
+    """``docs`` without the rows whose doc_id is rejected.
+
+    Rows that a filter of fixed size tells apart from all rejected ones stay where they are; only the others are joined.
+    """
+    gone = stage(rejected.select(F.col("doc_id").alias("_gone")).distinct(), "rejected")
+    marked = with_membership(docs, F.xxhash64(F.col("doc_id").cast("long")), membership(gone, F.xxhash64("_gone")))
+    doubtful = marked.where("_maybe").join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    return marked.where("NOT _maybe").select(*COLUMNS).unionByName(doubtful.select(*COLUMNS))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,12 +58,16 @@ def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """All documents, with their secrets masked and n_chars as it then is."""
     found = secret_scan.scan(docs).where(F.size("spans") > 0)
     spans = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "spans").dropDuplicates(["_id", "_hash"])
+    spans = stage(spans, "secret-spans")
+    key = F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text"))
+    marked = with_membership(docs, key, membership(spans, F.xxhash64("_id", "_hash")))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    joined = docs.join(spans, same, "left")
+    joined = marked.where("_maybe").join(spans, same, "left")
     text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(secret_scan.redacted(F.col("text"), F.col("spans")))
     n_chars = F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length("_text").cast("long"))
     masked = joined.withColumn("_text", text).withColumn("n_chars", n_chars)
-    return masked.select("doc_id", F.col("_text").alias("text"), "lang", "source", "n_chars")
+    masked = masked.select("doc_id", F.col("_text").alias("text"), "lang", "source", "n_chars")
+    return marked.where("NOT _maybe").select(*COLUMNS).unionByName(masked)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -87,7 +87,7 @@ def net_revenue(units: str, price: str, discount: str) -> Column:
     Units may have three decimal places, prices six, discounts three; what has more fails the query, as do units from 1e11 and prices from 1e9 on.
     """
     decimal = lambda name, digits, places: exact(F.col(name).cast("double"), T.DoubleType(), places, digits)
-    percent = decimal(discount, DISCOUNT_PLACES + 2, DISCOUNT_PLACES + 0)
+    percent = decimal(discount, DISCOUNT_PLACES + 3, DISCOUNT_PLACES)
     share = (F.lit(1) - percent * F.lit("0.01").cast("decimal(2,2)")).cast(T.DecimalType(7, DISCOUNT_PLACES + 2))
     return decimal(units, *UNITS) * decimal(price, *PRICE) * share
 

@@ -12,7 +12,6 @@ from starkit.functions import exact
 from starkit.operators import dims, facts
 from starkit.operators.dims import AttributeDim, CompositeDim
 from starkit.operators.facts import FillNull, Lookup, RaiseTo
-from starkit.operators.reports import Attribute
 from starkit.operators.windows import top_n
 from starkit.plans.flat import sales, sales_values, table
 from starkit.session import stage
@@ -68,17 +67,6 @@ def composite_dim(spark: SparkSession, sf: str, spec: CompositeDim) -> DataFrame
     return dims.composite_dimension(sales_values(spark, sf, list(spec.columns)), spec)
 
 
-def hash_fact(spark: SparkSession, sf: str, specs, measures, with_date: bool = False) -> DataFrame:
-    """Fact keyed by hash, with only the keys that ``specs`` name."""
-    dates = DATES if with_date else {}
-    extract = sales(spark, sf, [*[s.source for s in specs], *dates, *measures])
-    return facts.key_by_hash(extract, specs, dates)
-
-
-def attribute(spark: SparkSession, sf: str, spec: AttributeDim) -> Attribute:
-    return Attribute(attribute_dim(spark, sf, spec), spec.key, spec.target)
-
-
 def clean_sales(spark: SparkSession, sf: str, columns) -> DataFrame:
     """Cleaned extract; rules on columns that were not asked for are left out."""
     return facts.clean(sales(spark, sf, columns), [rule for rule in CLEANING if rule.column in columns])

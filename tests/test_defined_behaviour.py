@@ -221,7 +221,7 @@ def test_a_value_that_does_not_fit_its_stated_places_is_refused(spark, value):
 
 
 @pytest.mark.parametrize(
-    ("units", "price", "discount", "expected"), [(1000.0, 0.004, 12.345, 3.5062), (1.0, 9.999, 0.0, 9.999), (2e10, 0.5, 50.0, 5e9)]
+    ("units", "price", "discount", "expected"), [(1000.0, 0.004, 12.345, 3.5062), (1.0, 9.999, 0.0, 9.999), (2e10, 0.5, 50.0, 5e9), (3.0, 7.5, 100.0, 0.0)]
 )
 def test_net_revenue_is_exact(spark, units, price, discount, expected):
     df = spark.createDataFrame([(units, price, discount)], "u double, p double, d double")

@@ -29,11 +29,19 @@ CACHED_CHARS = 64
 CHUNK_CHARS = 2_000_000
 
 
+BATCH_ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this library to the executors of an application, once, so that tasks can import it wherever they run."""
+    """Send this library to the executors of an application, once, so that tasks can import it wherever they run.
+
+    Batches of rows are made smaller where the session has Spark's default for them, as a row here is a whole text.
+    """
+    if spark.conf.get(BATCH_ROWS_SETTING) == "10000":
+        spark.conf.set(BATCH_ROWS_SETTING, BATCH_ROWS)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

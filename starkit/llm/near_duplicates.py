@@ -111,12 +111,13 @@ def classes_of(rows: DataFrame) -> DataFrame:
 def _listed(size: int, shared: int):
     """How many of its rarest values a set of n shingles must list, if sketches have ``size`` values.
 
-    A partner of a set this small has its whole set for a sketch, so the bound is exact: similar sets share
-    that part of the larger one. Otherwise it is ``shared`` that holds.
+    A set and its partner share that part of the larger one, if both have their whole sets for sketches. Where the partner
+    may be larger than its sketch they share that or ``shared``; so the lesser of the two holds for both.
     """
     n = F.col("n")
-    whole = n - F.ceil(n * PERCENT / 100) + 1
-    return F.when(n <= size * PERCENT // 100, whole).otherwise(F.least(n, F.lit(size)) - shared + 1)
+    whole = F.ceil(n * PERCENT / 100)
+    needed = F.when(n <= size * PERCENT // 100, whole).otherwise(F.least(F.lit(shared), whole))
+    return F.least(n, F.lit(size)) - needed + 1
 
 
 def inverted_lists(sketched: DataFrame, size: int, shared: int) -> DataFrame:

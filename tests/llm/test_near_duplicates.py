@@ -83,6 +83,21 @@ def test_families_of_near_copies_and_a_common_passage(spark, monkeypatch, rounds
     assert found_in(spark, rows) == brute_force(rows)
 
 
+def overlapping(one, other, shared, seed):
+    """Two texts of ``one`` and ``other`` shingles, ``shared`` of them in both."""
+    words = [f"w{seed}x{i}" for i in range(one + 4)]
+    return [" ".join(words), " ".join(words[one - shared :] + [f"v{seed}x{i}" for i in range(other - shared)])]
+
+
+def test_long_sets_whose_sizes_differ(spark):
+    """Cut copies, and copies with an end of their own, around the length of the longer sketches."""
+    sizes = [(n, max(shared, -(-n * 85 // 100)), shared) for n in range(860, 1101, 8) for shared in (-(-n * 87 // 100), -(-n * 93 // 100))]
+    sizes += [(n, n - 20, n - 95) for n in range(864, 1101, 24)]
+    texts = [text for seed, (one, other, shared) in enumerate(sizes) for text in overlapping(one, other, shared, seed)]
+    rows = [(i, text, None, None, None) for i, text in enumerate(texts)]
+    assert found_in(spark, rows) == brute_force(rows)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(500, 500 + i) for i in range(1, 40)] + [(900, 901), (901, 900)]
     found = components(spark.createDataFrame(edges, "a long, b long"))

@@ -177,8 +177,9 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     side = lambda df, name: df.select([F.col(c).alias(name if c == "node" else f"{c}_{name}") for c in df.columns])
     estimated = pairs.select("a", "b").distinct().join(side(brief, "a"), "a").join(side(brief, "b"), "b")
     union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, MIDDLE)
-    both = F.size(F.array_intersect(F.array_intersect("sketch_a", "sketch_b"), union))
-    least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    least, most, common = F.least("n_a", "n_b"), F.greatest("n_a", "n_b"), F.array_intersect("sketch_a", "sketch_b")
+    # sketches that are whole sets are counted whole: their union may hold more values than a sketch
+    both = F.size(F.when(most <= MIDDLE, common).otherwise(F.array_intersect(common, union)))
     needed = F.when(most <= MIDDLE, F.ceil(most * PERCENT / 100)).otherwise(F.lit(MIDDLE_SHARED))
     passed = estimated.where((100 * least >= PERCENT * most) & (both >= needed)).select("a", "b")
     full = sets.select("node", "n", "full")

@@ -17,6 +17,8 @@ from starkit.session import stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOKENIZER = "byte_bpe_50k.json"
+#: Documents are near duplicates from this similarity on, in hundredths. The contract of the query op10 has its own.
+NEAR_PERCENT = 80
 LIMITS = packing.Limits(tokens=2048, segments=128, loss_tokens=2048)
 
 #: Fitted forests are not SQL, so the rows of a whole run have no SQL either.
@@ -42,7 +44,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the least doc_id; of repeated rows one."""
-    found = near_duplicates.group(docs)
+    found = near_duplicates.group(docs, NEAR_PERCENT)
     kept = without(docs, found.where("NOT kept"))
     repeated = docs.groupBy("doc_id").count().where("count > 1").limit(1)
     return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "text"])

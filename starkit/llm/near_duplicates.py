@@ -13,7 +13,10 @@
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,16 +29,45 @@ from starkit.llm.graph import components
 from starkit.session import stage
 
 WORDS = 5
-#: Linked from this similarity on, in hundredths.
+#: Linked from this similarity on, in hundredths, where nothing else is asked for.
 PERCENT = 85
-#: Values of a sketch, and how many of them a pair at the threshold shares but with a probability of one in 10**8.
-SKETCH, SHARED = 32, 14
-#: The same for the sketches whose union estimates a similarity, and for the lists of sets that have a partner by the first ones.
-MIDDLE, MIDDLE_SHARED = 256, 182
-WIDE, WIDE_SHARED = 1024, 802
+#: Values of a sketch, of those whose union estimates a similarity, and of those in the lists of sets that have a partner by the first ones.
+SKETCH, MIDDLE, WIDE = 32, 256, 1024
+#: Probability with which a pair at the threshold may share fewer values of a sketch than is asked for.
+MISSED = 1e-8
 #: Rounds of comparison with one member of each list before the rest is compared member by member.
 STAR_ROUNDS = 3
 
+
+def shared_of(size: int, percent: int) -> int:
+    """How many of ``size`` retained values a pair at the threshold shares, but with a probability of MISSED at most."""
+    p, below, shared = percent / 100, 0.0, 0
+    while shared < size:
+        chances = math.lgamma(size + 1) - math.lgamma(shared + 1) - math.lgamma(size - shared + 1)
+        below += math.exp(chances + shared * math.log(p) + (size - shared) * math.log(1 - p))
+        if below > MISSED:
+            break
+        shared += 1
+    return shared
+
+
+@dataclass(frozen=True)
+class Bounds:
+    """A threshold in hundredths, and how many values a pair at it shares of each kind of sketch."""
+
+    percent: int
+    sketch: int
+    middle: int
+    wide: int
+
+    @classmethod
+    @functools.cache
+    def of(cls, percent: int) -> Bounds:
+        if not 0 < percent < 100:
+            raise ValueError("percent must be between 1 and 99")
+        return cls(percent, *(shared_of(size, percent) for size in (SKETCH, MIDDLE, WIDE)))
+
+
 _UPPER = bytes(range(65, 91))
 _LOWERED = bytes.maketrans(_UPPER, _UPPER.lower())
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, WORDS - 1 - i, 1 << 64) for i in range(WORDS)], np.uint64)
@@ -108,19 +140,19 @@ def classes_of(rows: DataFrame) -> DataFrame:
     return stage(named.withColumn("node", F.monotonically_increasing_id()), "classes")
 
 
-def _listed(size: int, shared: int):
+def _listed(size: int, shared: int, percent: int):
     """How many of its rarest values a set of n shingles must list, if sketches have ``size`` values.
 
     A set and its partner share that part of the larger one, if both have their whole sets for sketches. Where the partner
     may be larger than its sketch they share that or ``shared``; so the lesser of the two holds for both.
     """
     n = F.col("n")
-    whole = F.ceil(n * PERCENT / 100)
-    needed = F.when(n <= size * PERCENT // 100, whole).otherwise(F.least(F.lit(shared), whole))
+    whole = F.ceil(n * percent / 100)
+    needed = F.when(n <= size * percent // 100, whole).otherwise(F.least(F.lit(shared), whole))
     return F.least(n, F.lit(size)) - needed + 1
 
 
-def inverted_lists(sketched: DataFrame, size: int, shared: int) -> DataFrame:
+def inverted_lists(sketched: DataFrame, size: int, shared: int, percent: int) -> DataFrame:
     """value, node, n, centre (how common the values of the node are) and place (of the value among those of the node, the rarest
     being 0), in lists of two nodes at least; written once.
 
@@ -132,7 +164,7 @@ def inverted_lists(sketched: DataFrame, size: int, shared: int) -> DataFrame:
         F.sum("df").alias("centre"), F.array_sort(F.collect_list(F.struct("df", "value"))).alias("found")
     )
     alone = F.least("n", F.lit(size)) - F.size("found")  # values that no other node has come first in the order
-    room = F.greatest(_listed(size, shared) - alone, F.lit(0)).cast("int")
+    room = F.greatest(_listed(size, shared, percent) - alone, F.lit(0)).cast("int")
     centre = (F.col("centre") / F.least("n", F.lit(size))).alias("centre")
     listed = held.select("node", "n", centre, alone.alias("alone"), F.posexplode(F.slice("found", F.lit(1), room)).alias("i", "v"))
     listed = stage(listed.select("v.value", "node", "n", "centre", (F.col("alone") + F.col("i")).alias("place")), "postings")
@@ -171,7 +203,7 @@ def full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFram
     return stage(sets.dropDuplicates(["node"]), "full-sets")
 
 
-def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def similar(pairs: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets are similar: first by the union of their sketches, then by the full sets."""
     brief = sets.select("node", "n", F.slice("full", 1, MIDDLE).alias("sketch"))
     side = lambda df, name: df.select([F.col(c).alias(name if c == "node" else f"{c}_{name}") for c in df.columns])
@@ -180,23 +212,23 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     least, most, common = F.least("n_a", "n_b"), F.greatest("n_a", "n_b"), F.array_intersect("sketch_a", "sketch_b")
     # sketches that are whole sets are counted whole: their union may hold more values than a sketch
     both = F.size(F.when(most <= MIDDLE, common).otherwise(F.array_intersect(common, union)))
-    needed = F.when(most <= MIDDLE, F.ceil(most * PERCENT / 100)).otherwise(F.lit(MIDDLE_SHARED))
-    passed = estimated.where((100 * least >= PERCENT * most) & (both >= needed)).select("a", "b")
+    needed = F.when(most <= MIDDLE, F.ceil(most * bounds.percent / 100)).otherwise(F.lit(bounds.middle))
+    passed = estimated.where((100 * least >= bounds.percent * most) & (both >= needed)).select("a", "b")
     full = sets.select("node", "n", "full")
     held = passed.join(side(full, "a"), "a").join(side(full, "b"), "b")
     shared = F.size(F.array_intersect("full_a", "full_b"))
-    return held.where(100 * shared >= PERCENT * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b")
+    return held.where(100 * shared >= bounds.percent * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b")
 
 
-def _possible(n_a, place_a, n_b, place_b):
+def _possible(n_a, place_a, n_b, place_b, bounds: Bounds):
     """Whether two sets whose first shared value has these places can be similar: by their sizes, and by what is left after the value.
 
     A pair is met in the list of its first shared value too, so the bound may be wrong for later ones.
     """
     least, most = F.least(n_a, n_b), F.greatest(n_a, n_b)
-    needed = F.when(most <= WIDE, F.ceil((n_a + n_b) * PERCENT / (100 + PERCENT))).otherwise(F.lit(WIDE_SHARED))
+    needed = F.when(most <= WIDE, F.ceil((n_a + n_b) * bounds.percent / (100 + bounds.percent))).otherwise(F.lit(bounds.wide))
     left = F.least(F.least(n_a, F.lit(WIDE)) - place_a, F.least(n_b, F.lit(WIDE)) - place_b)
-    return (100 * least >= PERCENT * most) & (left >= needed)
+    return (100 * least >= bounds.percent * most) & (left >= needed)
 
 
 def _with_roots(lists: DataFrame, roots: DataFrame) -> DataFrame:
@@ -209,23 +241,24 @@ def _unsettled(lists: DataFrame) -> DataFrame:
     return lists.join(spread, "value")
 
 
-def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
+def links(docs: DataFrame, classes: DataFrame, bounds: Bounds) -> DataFrame:
     """Roots of the components that similar classes form: node, root, for all but the roots themselves.
 
     Every pair that shares a listed value is compared, or is in one component by other links.
     """
-    near = inverted_lists(classes.select("node", "n", "sketch"), SKETCH, SHARED).select("node").distinct()
+    near = inverted_lists(classes.select("node", "n", "sketch"), SKETCH, bounds.sketch, bounds.percent).select("node").distinct()
     sets = full_sets(docs, classes, near)
-    open_lists = inverted_lists(sets.select("node", "n", F.slice("full", 1, WIDE).alias("sketch")), WIDE, WIDE_SHARED)
+    wide = sets.select("node", "n", F.slice("full", 1, WIDE).alias("sketch"))
+    open_lists = inverted_lists(wide, WIDE, bounds.wide, bounds.percent)
     edges = None
     open_lists = open_lists.withColumn("root", F.col("node"))
     for _ in range(STAR_ROUNDS):
         heads = open_lists.groupBy("value").agg(F.max(F.struct("centre", "node", "root", "n", "place")).alias("head"))
-        fits = _possible(F.col("n"), F.col("place"), F.col("head.n"), F.col("head.place"))
+        fits = _possible(F.col("n"), F.col("place"), F.col("head.n"), F.col("head.place"), bounds)
         pairs = open_lists.join(heads, "value").where((F.col("root") != F.col("head.root")) & fits).select(
             F.least("node", "head.node").alias("a"), F.greatest("node", "head.node").alias("b")
         )
-        found = stage(similar(pairs, sets), "links")
+        found = stage(similar(pairs, sets, bounds), "links")
         edges = found if edges is None else edges.unionByName(found)
         roots = components(edges)
         # a head has met all others of its list, so it is left out of the next round
@@ -234,15 +267,16 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
         if open_lists.isEmpty():
             return roots
     side = lambda name: open_lists.select("value", *(F.col(c).alias(f"{c}_{name}") for c in ("node", "root", "n", "place")))
-    fits = _possible(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"))
+    fits = _possible(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"), bounds)
     met = side("a").join(side("b"), "value").where((F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & fits)
     pairs = met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    return components(edges.unionByName(stage(similar(pairs, sets), "links")))
+    return components(edges.unionByName(stage(similar(pairs, sets, bounds), "links")))
 
 
-def group(docs: DataFrame) -> DataFrame:
+def group(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """For each row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
+    Sets are linked from a Jaccard similarity of ``percent`` hundredths on.
     component_id is the least doc_id that links reach, kept tells whether it is the row's own. A text without
     words is linked with nothing. Rows with one doc_id and different texts are grouped by their texts. A null doc_id counts
     only where its whole group has none, and then all its rows are kept. Repeated rows have equal
@@ -250,7 +284,7 @@ def group(docs: DataFrame) -> DataFrame:
     """
     rows = sketches(docs)
     classes = classes_of(rows)
-    roots = links(docs, classes)
+    roots = links(docs, classes, Bounds.of(percent))
     known = classes.select("node", "f1", "f2", "least").join(roots, "node", "left")
     known = known.withColumn("root", F.coalesce("root", "node"))
     least = known.groupBy("root").agg(F.min("least").alias("component_id"))

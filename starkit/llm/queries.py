@@ -184,4 +184,4 @@ def op9_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op10_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates.group(table(spark, sf_dir, "documents"))
+    return near_duplicates.group(table(spark, sf_dir, "documents"), percent=85)

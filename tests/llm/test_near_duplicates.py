@@ -6,6 +6,7 @@ import re
 import pytest
 from rows import ODD, documents, sentence, split_over, tuples
 
+import corpus_pipeline
 from starkit.llm import near_duplicates
 from starkit.llm.graph import components
 
@@ -107,6 +108,18 @@ def test_sets_about_as_long_as_the_sketches_of_the_filter(spark):
     assert found_in(spark, rows) == brute_force(rows)
 
 
+def test_the_pipeline_links_from_80_hundredths_on(spark):
+    """Similarities around 0.80 and between it and 0.85, short and long: one row of such a group stays."""
+    sizes = [(n, n, -(-16 * n // 18) - off) for n in (18, 90, 250, 256, 900, 1100) for off in (0, 1)] + [(900, 760, 735)]
+    texts = [text for seed, (one, other, shared) in enumerate(sizes) for text in overlapping(one, other, shared, seed)]
+    docs = documents(spark, [(i, text, None, None, None) for i, text in enumerate(texts)], extra=False)
+    linked = [100 * shared >= 80 * (one + other - shared) for one, other, shared in sizes]
+    wanted = [i for i in range(len(texts)) if i % 2 == 0 or not linked[i // 2]]
+    kept = corpus_pipeline.near_duplicate_groups(spark, docs, "").collect()
+    assert sorted(row["doc_id"] for row in kept) == wanted
+    assert near_duplicates.Bounds.of(80) != near_duplicates.Bounds.of(85)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(500, 500 + i) for i in range(1, 40)] + [(900, 901), (901, 900)]
     found = components(spark.createDataFrame(edges, "a long, b long"))

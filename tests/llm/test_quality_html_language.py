@@ -115,6 +115,14 @@ def test_main_text_without_elements_for_articles():
     assert html_extraction.main_text(page) == f"Head {' '.join([body] * 4)} Short."
 
 
+def test_main_text_in_several_elements():
+    lead, end = (" ".join([f"{part} of it, with a comma; it goes on, as it is."] * 4) for part in ("Lead", "End"))
+    body = "".join(f"<p>{ARTICLE}</p>" for _ in range(24))
+    page = f"<article><div class=l><p>{lead}</p></div><h2>Sub</h2><div class=b>{body}</div><div class=e><p>{end}</p></div></article><footer>F, f.</footer>"
+    whole = " ".join(ARTICLE.replace("&amp;", "&").split())
+    assert html_extraction.main_text(page) == f"{lead} Sub {' '.join([whole] * 24)} {end}"
+
+
 def test_pages(spark):
     rows = [(1, "u", "<p>a, b.</p>"), (1, "u", "<p>a, b.</p>"), (None, None, "<p>é😀</p>"), (2, "v", None), (3, None, ""), (4, "w", "<div>" * 5000 + "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'t' AS text", "1 AS n_chars")

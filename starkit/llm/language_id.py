@@ -28,7 +28,7 @@ MOST_LANGUAGES = 1000
 #: Mass of n-grams that were not seen, spread over all slots.
 SMOOTHING = 0.01
 STEPS, CLOSE = 60, 1e-4
-#: Languages that start a mixture: those with the highest likelihoods alone.
+#: Languages that start a mixture: those with the highest likelihoods alone. Others are added where they gain enough.
 STARTERS = 8
 #: A language is in the set if the log-likelihood falls by more than this times the log of the n-gram count without it.
 PENALTY = 2.0
@@ -73,18 +73,37 @@ class Model:
         slots, counts = slots_of(text)
         likely = self.probabilities[:, slots]
         alone = np.log(likely) @ counts
-        chosen = np.argsort(-alone, kind="stable")[:STARTERS]
-        total = counts.sum()
-        shares, best = self._fit(likely[chosen], counts)
+        ranked = np.argsort(-alone, kind="stable")
+        likely, total = likely[ranked], counts.sum()
+        penalty = PENALTY * np.log(total)
+        chosen, shares, best = self._without_minor(likely, counts, np.arange(min(STARTERS, len(ranked))), penalty)
+        while len(chosen) < len(ranked):  # add a language that was left out and gains more than the penalty, until none does
+            slopes = likely @ (counts / (shares @ likely[chosen])) - total
+            # the log-likelihood is concave, so no gain is above the largest slope of the languages of a mixture
+            able = np.setdiff1d(np.flatnonzero(np.maximum(slopes, slopes[chosen].max()) > penalty), chosen)
+            for language in able[np.argsort(-slopes[able], kind="stable")]:
+                more = np.sort(np.append(chosen, language))
+                wider, value = self._fit(likely[more], counts)
+                if value - best > penalty:
+                    break
+            else:
+                break
+            chosen, shares, best = self._without_minor(likely, counts, more, penalty, (wider, value))
+        chosen = ranked[chosen]
+        order = np.argsort(-shares, kind="stable")
+        return {self.languages[chosen[i]]: float(shares[i]) for i in order}
+
+    def _without_minor(self, likely: np.ndarray, counts: np.ndarray, chosen: np.ndarray, penalty: float, fitted=None) -> tuple:
+        """Languages, proportions and log-likelihood when those have gone that are missed by no more than the penalty."""
+        shares, best = fitted or self._fit(likely[chosen], counts)
         while len(chosen) > 1:  # drop the language that is missed least, as long as that costs less than the penalty
             least = int(np.argmin(shares))
             rest = np.delete(chosen, least)
             fewer, value = self._fit(likely[rest], counts)
-            if best - value > PENALTY * np.log(total):
+            if best - value > penalty:
                 break
             chosen, shares, best = rest, fewer, value
-        order = np.argsort(-shares, kind="stable")
-        return {self.languages[chosen[i]]: float(shares[i]) for i in order}
+        return chosen, shares, best
 
     @staticmethod
     def _fit(likely: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, float]:

@@ -182,3 +182,21 @@ def test_held_out_accuracy(spark, scale):
     docs = spark.read.parquet(f"/root/testdata/sf{scale}/documents.parquet")
     right = found.join(docs, "doc_id").selectExpr("avg(CAST(lang = lang_pred AS INT)) AS a").first()["a"]
     assert right > 0.97
+
+
+def test_a_minority_language_behind_many_relatives_of_the_main_one():
+    """The minority ranks last alone, behind the main language and eleven relatives."""
+    main, minor = " ".join(["lorem ipsum dolor sit amet tempor magna aliqua"] * 12), " ".join(["привет большой город зима"] * 6)
+
+    def rates(text):
+        counts = np.zeros(language_id.SLOTS)
+        slots, n = language_id.slots_of(text)
+        counts[slots] += n
+        return 0.99 * counts / counts.sum() + 0.01 / language_id.SLOTS
+
+    spread = np.random.default_rng(3).random((11, language_id.SLOTS))
+    relatives = [0.9 * rates(main) + 0.1 * noise / noise.sum() for noise in spread]
+    names = ["main", *(f"r{i}" for i in range(11)), "minor"]
+    model = language_id.Model(names, np.array([rates(main), *relatives, rates(minor)]))
+    found = model.mixture(f"{main} {minor}")
+    assert list(found) == ["main", "minor"] and 0.1 < found["minor"] < 0.35

@@ -148,13 +148,13 @@ class Phrases:
     """Phrases of one block of items, each with its terms ordered from the rarest one.
 
     Phrases are grouped by length; ``groups`` has for each the terms and offsets (a row for each
-    phrase) and the items. ``rare`` has the rarest distinct terms of each item.
+    phrase) and the items. ``rare`` has an item and the rarest distinct terms of one of its texts in each entry.
     """
 
     vocabulary: dict[bytes, int]
     items: list[str]
     groups: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
-    rare: list[np.ndarray]
+    rare: list[tuple[int, np.ndarray]]
 
     @classmethod
     def of(cls, items: list[tuple[str, list[bytes]]], frequency: Counter, window: int, terms: int) -> Phrases:
@@ -162,7 +162,7 @@ class Phrases:
         names = sorted({name for name, _ in items})
         number = {name: i for i, name in enumerate(names)}
         by_length: defaultdict[int, dict] = defaultdict(dict)
-        rare: dict[int, list] = {}
+        rare: dict[tuple, None] = {}
         for name, words in items:
             if not words:
                 continue
@@ -170,13 +170,13 @@ class Phrases:
                 phrase = tuple(words[start : start + window])
                 by_length[len(phrase)][(phrase, number[name])] = None
             distinct = sorted(set(words), key=lambda w: (frequency[w], w))[:terms]
-            rare.setdefault(number[name], distinct)
+            rare[number[name], tuple(distinct)] = None
         groups = []
         for phrases in by_length.values():
             order = [sorted(range(len(p)), key=lambda i: (frequency[p[i]], i)) for p, _ in phrases]
             coded = [[vocabulary[p[i]] for i in o] for (p, _), o in zip(phrases, order)]
             groups.append((np.array(coded), np.array(order), np.array([item for _, item in phrases])))
-        nearby = [np.array([vocabulary[w] for w in rare.get(i, [])], np.int64) for i in range(len(names))]
+        nearby = [(item, np.array([vocabulary[w] for w in distinct], np.int64)) for item, distinct in rare]
         return cls(vocabulary, names, groups, nearby)
 
     def exact(self, shard: Shard) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -192,13 +192,13 @@ class Phrases:
         return tuple(map(np.concatenate, zip(*found))) if found else (np.empty(0, np.int64),) * 3
 
     def proximity(self, shard: Shard, slop: int) -> tuple[np.ndarray, np.ndarray]:
-        """Item and place of each occurrence of its rarest term with its other rare terms at most ``slop`` words off."""
+        """Item and place of each occurrence of a text's rarest term with its other rare terms at most ``slop`` words off."""
         here = shard.numbers(self.vocabulary)
-        items = np.array([i for i, r in enumerate(self.rare) if len(r)], np.int64)
+        items = np.array([item for item, _ in self.rare], np.int64)
         if not len(items):
             return items, items
-        size = max(map(len, self.rare))
-        terms = np.array([[*r, *[r[-1]] * (size - len(r))] for r in self.rare if len(r)])  # a repeated term changes nothing
+        size = max(len(r) for _, r in self.rare)
+        terms = np.array([[*r, *[r[-1]] * (size - len(r))] for _, r in self.rare])  # a repeated term changes nothing
         which, places = shard.postings(here[terms[:, 0]])
         for i in range(1, size):
             kept = shard.nearest(here[terms[which, i]], places) <= slop
@@ -238,7 +238,7 @@ def search(index: DataFrame, items: list[tuple[str, list[bytes]]], window: int =
     """Every document of the index with its exact and its proximity matches of ``items``.
 
     items: item_ids with a window in the document; spans: first position and end of each occurrence in turn;
-    near: item_ids whose ``terms`` rarest distinct terms stand at most ``slop`` words from an occurrence of the rarest.
+    near: item_ids with a text whose ``terms`` rarest distinct terms stand at most ``slop`` words from an occurrence of the rarest.
     """
     if slop >= GAP:
         raise ValueError(f"slop must be below {GAP}")

@@ -93,6 +93,13 @@ def test_proximity_and_shards(spark):
         decontamination.search(index, coded, slop=5000)
 
 
+def test_proximity_searches_each_text_of_an_item(spark):
+    rows = [(1, "uno x dos y tres", None, None, None), (2, "cuatro x cinco y seis", None, None, None), (3, "uno cinco", None, None, None)]
+    items = spark.createDataFrame([(6, "cuatro cinco seis"), (6, "tres dos uno"), (7, "uno seis")], "item_id long, text string")
+    found = decontamination.decontaminate(documents(spark, rows, extra=False), items)
+    assert {r["doc_id"]: r["near"] for r in found.collect()} == {1: ["6"], 2: ["6"], 3: []}
+
+
 def test_nothing_to_search_or_find(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert {r["n_hit"] for r in decontamination.decontaminate(documents(spark), none).collect()} == {0}

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starkit.llm import (
+    capture_index,
     decontamination,
+    hard_negatives,
     html_extraction,
     language_id,
     near_duplicates,
@@ -19,6 +21,7 @@ from starkit.llm import (
     secret_scan,
     token_counts,
     token_output,
+    vector_codes,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,3 +188,66 @@ def op9_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.group(table(spark, sf_dir, "documents"), percent=85)
+
+
+OP11_SQL = r"""
+WITH page AS (
+  SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), judged AS (
+  SELECT *, count(*) OVER w AS n, row_number() OVER (w ORDER BY page_id, url) AS i, first_value(page_id) OVER (w ORDER BY page_id, url) AS first
+  FROM page WINDOW w AS (PARTITION BY payload_digest)
+), split AS (
+  SELECT *, regexp_extract(regexp_replace(coalesce(url, ''), '#.*$', ''), '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?([^/?]*)(.*)$', ['host', 'rest']) AS p FROM judged
+), keyed AS (
+  SELECT *, array_to_string(list_reverse(string_split(regexp_replace(lower(regexp_replace(p.host, '^.*@', '')), ':(80|443)$', ''), '.')), ',')
+            || ')' || CASE WHEN p.rest = '' THEN '/' ELSE p.rest END AS url_key FROM split
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND i > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND i > 1 THEN first END AS refers_to,
+       url_key, CAST(row_number() OVER (ORDER BY url_key, page_id) - 1 AS BIGINT) AS position
+FROM keyed
+"""
+
+
+@query(OP11_SQL)
+def op11_loser_tree_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = capture_index.write(table(spark, sf_dir, "pages"))
+    found = capture_index.histories(capture_index.read(spark, archives))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "position")
+
+
+@query()
+def op12_gnat_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.encode(table(spark, sf_dir, "embeddings"))
+    return coded.withColumn("codebooks_sha256", F.lit(vector_codes.digest(books)))
+
+
+OP13_SQL = """
+WITH kept AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM kept a, kept b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positive AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
+
+@query(OP13_SQL)
+def op13_secondary_sort_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)

@@ -17,7 +17,7 @@ def test_query_agrees_with_its_sql(spark, name):
 
 def test_there_is_one_query_for_each_operator():
     numbers = [int(name[2:].split("_")[0]) for name in queries.QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
 
 
 @pytest.fixture(scope="module")

@@ -7,9 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from starkit.functions.keys import SCALE, UNKNOWN_KEY, exact, is_fractional, normalise
+from starkit.functions.keys import UNKNOWN_KEY, normalise
+from starkit.functions.sums import Sums
 
 
 #: Failed rows that an error shows.
@@ -126,38 +126,37 @@ def measure_sum(
 ) -> DataFrame:
     """One row per measure ``source column -> fact column``: equal totals on both sides.
 
-    Totals are compared as exact decimals and shown as doubles. ``scales`` states decimal places by source
-    column; ``tolerance`` allows totals to differ by so much.
+    Totals are compared as they truly are and shown as doubles: as decimals where both sides are written with a limited number of places (see
+    ``Sums``), else as sums of binary fractions. ``scales`` states decimal places by source column; ``tolerance`` allows totals to
+    differ by so much.
     """
-    places = {
-        ours: SCALE if any(_has_fraction(df.schema[c].dataType) for df, c in ((source, ours), (fact, theirs))) else 0
-        for ours, theirs in measures.items()
-    }
-
-    def totals(df: DataFrame, columns: Mapping[str, str], out: str) -> DataFrame:
-        sums = [
-            F.sum(exact(F.col(c), df.schema[c].dataType, (scales or {}).get(ours))).cast(T.DecimalType(38, places[ours]))
-            for ours, c in columns.items()
-        ]
-        names = list(measures.values())
-        texts = df.agg(*[total.cast("string").alias(name) for total, name in zip(sums, names)])
-        return texts.unpivot([], names, "measure", out)
-
-    left = totals(source, {c: c for c in measures}, "_source")
-    right = totals(fact, measures, "_fact")
-    shown = left.join(right, "measure").select(
-        "measure", F.col("_source").cast("double").alias("source_total"), F.col("_fact").cast("double").alias("fact_total"),
-        "_source", "_fact",
-    )
-    same = F.col("_source").eqNullSafe(F.col("_fact"))
+    names = {ours: f"_m{i}" for i, ours in enumerate(measures)}
+
+    def totals(df: DataFrame, columns: Mapping[str, str], side: str) -> DataFrame:
+        stated = {names[ours]: places for ours, places in (scales or {}).items()}
+        sums = Sums(df.schema, {names[ours]: c for ours, c in columns.items()}, stated)
+        found = sums.finish(sums.states(df, {}), [], text="")
+        rows = [
+            F.struct(
+                F.lit(measures[ours]).alias("measure"), F.col(name).alias("total"), F.col(f"{name}_written").alias("written"),
+                (F.col(f"{name}_binary") if f"{name}_binary" in found.columns else F.lit(None).cast("string")).alias("binary"),
+            )
+            for ours, name in names.items()
+        ]
+        return found.select(F.explode(F.array(*rows)).alias("r")).select("r.measure", F.col("r").alias(side))
+
+    both = totals(source, {c: c for c in measures}, "_source").join(totals(fact, measures, "_fact"), "measure")
+    as_written = F.col("_source.written").isNotNull() & F.col("_fact.written").isNotNull()
+    empty = F.col("_source.total").isNull() & F.col("_fact.total").isNull()
+    binary = F.coalesce(F.col("_source.binary") == F.col("_fact.binary"), F.lit(False))
+    same = F.when(as_written, F.col("_source.written") == F.col("_fact.written")).otherwise(empty | binary)
     if tolerance:
-        apart = F.abs(F.col("_source").cast("decimal(38,18)") - F.col("_fact").cast("decimal(38,18)"))
+        wide = "decimal(38,18)"
+        apart = F.when(as_written, F.abs(F.col("_source.written").try_cast(wide) - F.col("_fact.written").try_cast(wide)).cast("double"))
+        apart = F.coalesce(apart, F.abs(F.col("_source.total") - F.col("_fact.total")))
         same = same | F.coalesce(apart <= F.lit(tolerance), F.lit(False))
-    return shown.withColumn("passed", same).drop("_source", "_fact")
-
-
-def _has_fraction(kind: T.DataType) -> bool:
-    return is_fractional(kind) or isinstance(kind, T.DecimalType) and kind.scale > 0
+    shown = [F.col("_source.total").alias("source_total"), F.col("_fact.total").alias("fact_total")]
+    return both.select("measure", *shown, same.alias("passed"))
 
 
 def bag_difference(source: DataFrame, fact: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starkit.functions.keys import exact
+from starkit.functions.sums import Sums
 from starkit.operators.joins import Side, equal_on, to_dimensions
 from starkit.operators.sizes import BROADCAST_BYTES, GROUP_ROWS, fits_broadcast_together
 
@@ -47,7 +47,7 @@ def totals(
 ) -> DataFrame:
     """Sums of ``measures`` (``output -> fact column``) by attributes (``output -> Attribute``).
 
-    ``scales`` states the decimal places of measures that are binary fractions, by output; sums are exact. ``where`` is a
+    ``scales`` states the decimal places of measures that are binary fractions, by output; sums are exact (see ``Sums``). ``where`` is a
     condition on the output attributes; facts without a member fall out, as in an inner join.
 
     Dimensions that are measured to fit are broadcast, cut by ``where`` first if it only needs one of them, and the facts
@@ -57,13 +57,10 @@ def totals(
     sides = [_renamed(side, place) for place, side in enumerate(_sides(by))]
     fits = fits_broadcast_together([side.dim for side in sides], broadcast_bytes)
     keys = {ours: f"_k{place}" for place, ours in enumerate(dict.fromkeys(ours for side in sides for ours in side.on))}
-    narrow = fact.select(
-        *[F.col(ours).alias(key) for ours, key in keys.items()],
-        *[exact(F.col(c), fact.schema[c].dataType, (scales or {}).get(out)).alias(f"_m_{out}") for out, c in measures.items()],
-    )
-    sums = [F.sum(f"_m_{out}").alias(f"_m_{out}") for out in measures]
+    sums = Sums(fact.schema, measures, scales)
+    narrow = sums.states(fact, {key: F.col(ours) for ours, key in keys.items()})
     if not fits:
-        narrow = narrow.groupBy(*keys.values()).agg(*sums)
+        narrow = sums.combine(narrow, list(keys.values()))
     for side in sides:
         dim = side.dim if where is None else _cut(side, where)
         joined = F.broadcast(dim) if fits else dim
@@ -72,12 +69,12 @@ def totals(
         )
     if where is not None:
         narrow = narrow.where(where)
-    return narrow.groupBy(*by).agg(*[F.sum(f"_m_{out}").cast("double").alias(out) for out in measures])
+    return sums.finish(narrow, list(by))
 
 
 def _renamed(side: Side, place: int) -> Side:
     """The side with a name for its key that no output has."""
-    (ours, theirs), name = next(iter(side.on.items())), f"_d{place}"
+    (ours, theirs), name = next(iter(side.on.items())), f"_dim{place}"
     return Side(side.dim.withColumnRenamed(theirs, name), {ours: name}, side.take)
 
 

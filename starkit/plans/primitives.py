@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from starkit.functions import exact
+from starkit.functions.sums import exact_sums
 from starkit.operators.joins import Side, null_safe_join, to_dimensions
 from starkit.operators.rows import split_to_rows
 from starkit.operators.windows import previous_and_running, top_n
@@ -351,6 +352,43 @@ def running_fine_fractions(spark, sf):
     return lines.select("l_orderkey", "l_linenumber", "running_charge")
 
 
+#: A double of at least 64 is a whole number of 2**-46; both halves of the sum are whole numbers, and adding them rounds once.
+_SEVENTH = """CAST(floor(l_extendedprice / 7 * 1048576) AS BIGINT) AS h,
+              CAST((l_extendedprice / 7 * 1048576 - floor(l_extendedprice / 7 * 1048576)) * 67108864 AS BIGINT) AS l"""
+_HALVES = "(CAST({h} + ({l} >> 26) AS DOUBLE) + CAST({l} & 67108863 AS DOUBLE) / 67108864) / 1048576"
+
+
+def _sevenths(spark, sf):
+    """Fractions that no decimal holds."""
+    lines = table(spark, sf, "lineitem")
+    return lines.select("l_orderkey", "l_linenumber", "l_suppkey", (F.col("l_extendedprice") / 7).alias("share"))
+
+
+@query(
+    "agg_sum_any_double",
+    f"""SELECT l_suppkey, {_HALVES.format(h="sum_h", l="sum_l")} AS total_share
+        FROM (SELECT l_suppkey, CAST(sum(h) AS BIGINT) AS sum_h, CAST(sum(l) AS BIGINT) AS sum_l
+              FROM (SELECT l_suppkey, {_SEVENTH} FROM lineitem) GROUP BY l_suppkey)""",
+)
+def sum_any_double(spark, sf):
+    """Sums of binary fractions, each the double that is nearest to the true sum."""
+    return exact_sums(_sevenths(spark, sf), ["l_suppkey"], {"total_share": "share"})
+
+
+@query(
+    "win_running_any_double",
+    f"""SELECT l_orderkey, l_linenumber, {_HALVES.format(h="sum_h", l="sum_l")} AS running_share
+        FROM (SELECT l_orderkey, l_linenumber, CAST(sum(h) OVER w AS BIGINT) AS sum_h, CAST(sum(l) OVER w AS BIGINT) AS sum_l
+              FROM (SELECT l_orderkey, l_linenumber, l_extendedprice, l_suppkey, {_SEVENTH} FROM lineitem)
+              WINDOW w AS (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_extendedprice ROWS UNBOUNDED PRECEDING))""",
+)
+def running_any_double(spark, sf):
+    lines = previous_and_running(
+        _sevenths(spark, sf), ["l_suppkey"], ["l_orderkey", "l_linenumber", "share"], "share", running="running_share"
+    )
+    return lines.select("l_orderkey", "l_linenumber", "running_share")
+
+
 # --- windows and sorts ---------------------------------------------------------------------------
 
 

@@ -12,9 +12,11 @@ from starkit.functions import exact
 from starkit.operators import dims, facts
 from starkit.operators.dims import AttributeDim, CompositeDim
 from starkit.operators.facts import FillNull, Lookup, RaiseTo
+from starkit.operators.saved import SavedStar, save_star
 from starkit.operators.windows import top_n
 from starkit.plans.flat import sales, sales_values, table
-from starkit.session import stage
+from starkit.session import fresh_path, stage, staging
+from starkit.sources.versions import VersionedTables
 
 REGION = AttributeDim("Region", "Region", "RegionKey")
 CATEGORY = AttributeDim("ProductCategory", "Title", "CategoryKey")
@@ -130,3 +132,36 @@ def source_lookups(spark: SparkSession, sf: str) -> list[Lookup]:
 
 def focus_lookup(spark: SparkSession, sf: str) -> Lookup:
     return Lookup(focus_dim(spark, sf), {c: c for c in MAPPED}, "CustomMappingKey")
+
+
+COMPOSITES = (PRODUCT, STORE, EMPLOYEE)
+_saved: dict[tuple[str, str], SavedStar] = {}
+
+
+def build_saved_star(spark: SparkSession, sf: str, tables: VersionedTables) -> SavedStar:
+    """All dimensions and the cleaned fact, from one extract, written for checks and reports.
+
+    The fact has the keys of all dimensions, units as they are sold and as they are after cleaning, revenue and net revenue.
+    """
+    measures = ["UnitsSold", "UnitPrice", "Discount"]
+    columns = dict.fromkeys(["OrderKey", "LineNumber", *ALL_ATTRIBUTES, *[c for spec in COMPOSITES for c in spec.columns], *measures, "Revenue"])
+    extract = staged_sales(spark, sf, list(columns))
+    dim_of = {spec.key: (dim, spec.key) for spec, dim in zip(ATTRIBUTES, map(all_dims(extract).get, [s.key for s in ATTRIBUTES]))}
+    dim_of["SalesDateKey"] = (dims.date_dimension(extract, "SalesDate"), "DateKey")
+    dim_of |= {spec.key: (stage(dims.composite_dimension(extract, spec), "dimension"), spec.key) for spec in COMPOSITES}
+    cleaned = facts.clean(extract.withColumn("SoldUnits", F.col("UnitsSold")), CLEANING)
+    measured = cleaned.withColumn("NetRevenue", facts.net_revenue(*measures))
+    lookups = [facts.composite_lookup(spec, dim_of[spec.key][0]) for spec in COMPOSITES]
+    keyed = facts.key_by_lookup(measured, lookups, check_unique=False, drop_attributes=False)
+    fact = facts.key_by_hash(keyed, ATTRIBUTES, DATES)
+    kept = ["OrderKey", "LineNumber", *dim_of, "SoldUnits", *measures, "Revenue", "NetRevenue"]
+    return save_star(tables, fact.select(*kept), dim_of)
+
+
+def saved_star(spark: SparkSession, sf: str) -> SavedStar:
+    """The saved star of an application, written when it is first asked for."""
+    place = (spark.sparkContext.applicationId, sf)
+    if place not in _saved:
+        with staging(spark):
+            _saved[place] = build_saved_star(spark, sf, VersionedTables(spark, fresh_path(spark, "star")))
+    return _saved[place]

@@ -685,3 +685,146 @@ def channel_subcategory(spark, sf):
 )
 def detail_all_dims(spark, sf):
     return _detail(spark, sf, ["UnitsSold", "Revenue"])
+
+
+# --- checks and reports over the saved star ------------------------------------------------------
+
+
+@query(
+    "rpt_saved_by_rep",
+    over_sales(f"""SELECT coalesce("SalesRep", 'N/A') AS "Name", {_SUMS} FROM sales_flat GROUP BY 1"""),
+)
+def saved_by_rep(spark, sf):
+    saved, sold = star.saved_star(spark, sf), {"TotalUnitSold": "SoldUnits", "TotalRevenue": "Revenue"}
+    return saved.totals({"Name": (star.REP.key, "Name")}, sold, scales=_SCALES)
+
+
+@query(
+    "rpt_saved_by_region",
+    over_sales(
+        f"""SELECT CASE WHEN "Region" IS NULL OR "StoreName" IS NULL OR "StoreType" IS NULL THEN 'N/A' ELSE "Region" END AS "StoreRegion", {_NET_SUMS}
+            FROM cleaned GROUP BY 1""",
+        _CLEAN,
+    ),
+)
+def saved_by_region(spark, sf):
+    net = {"TotalUnitSold": "UnitsSold", "TotalRevenue": "NetRevenue"}
+    return star.saved_star(spark, sf).totals({"StoreRegion": ("StoreKey", "Region")}, net, scales={"TotalUnitSold": 2})
+
+
+@query(
+    "rpt_saved_by_employee",
+    over_sales(
+        f"""SELECT coalesce("SalesRep", 'N/A') AS "SalesRep", CASE WHEN "Region" IS NULL THEN 'N/A' ELSE "StoreName" END AS "Store",
+                   CASE WHEN "Region" IS NULL THEN 'N/A' ELSE "Region" END AS "StoreRegion", {_NET_SUMS}
+            FROM cleaned GROUP BY 1, 2, 3""",
+        _CLEAN,
+    ),
+)
+def saved_by_employee(spark, sf):
+    """What each employee sold in each store: two looked-up dimensions of one fact."""
+    net = {"TotalUnitSold": "UnitsSold", "TotalRevenue": "NetRevenue"}
+    by = {"SalesRep": ("EmployeeKey", "SalesRep"), "Store": ("StoreKey", "Name"), "StoreRegion": ("StoreKey", "Region")}
+    return star.saved_star(spark, sf).totals(by, net, scales={"TotalUnitSold": 2})
+
+
+@query(
+    "rpt_saved_store_type_year",
+    over_sales(
+        f"""SELECT coalesce("StoreType", 'N/A') AS "StoreType", CAST(year("SalesDate") AS INTEGER) AS "Year", {_SUMS}
+            FROM sales_flat GROUP BY 1, 2"""
+    ),
+)
+def saved_store_type_year(spark, sf):
+    saved, sold = star.saved_star(spark, sf), {"TotalUnitSold": "SoldUnits", "TotalRevenue": "Revenue"}
+    return saved.totals({"StoreType": (star.STORE_TYPE.key, "Name"), "Year": ("SalesDateKey", "Year")}, sold, scales=_SCALES)
+
+
+@query(
+    "rpt_saved_channel_subcat",
+    over_sales(
+        f"""SELECT "SalesChannel", "ProductSubCategory" AS "SubCategory", {_SUMS} FROM sales_flat
+            WHERE "ProductSubCategory" IN ('Brand#1', 'Brand#2') GROUP BY 1, 2"""
+    ),
+)
+def saved_channel_subcategory(spark, sf):
+    """Relations by name: the fact and two dimensions under aliases, with every column qualified."""
+    saved = star.saved_star(spark, sf)
+    channels, kinds = saved.dims[star.CHANNEL.key][0].alias("channel"), saved.dims[star.SUBCATEGORY.key][0].alias("kind")
+    amounts = [exact(F.col(f"sale.{c}"), DoubleType(), 2).alias(out) for c, out in (("SoldUnits", "units"), ("Revenue", "revenue"))]
+    sale = saved.facts.alias("sale")
+    return (
+        sale.join(channels, F.col("sale.SalesChannelKey") == F.col("channel.SalesChannelKey"))
+        .join(kinds, F.col("sale.SubCategoryKey") == F.col("kind.SubCategoryKey"))
+        .where((F.col("kind.Title") == "Brand#1") | (F.col("kind.Title") == "Brand#2"))
+        .select(F.col("channel.Name").alias("SalesChannel"), F.col("kind.Title").alias("SubCategory"), *amounts)
+        .groupBy("SalesChannel", "SubCategory")
+        .agg(F.sum("units").cast("double").alias("TotalUnitSold"), F.sum("revenue").cast("double").alias("TotalRevenue"))
+    )
+
+
+@query(
+    "rpt_saved_detail",
+    over_sales(
+        f"""SELECT "OrderKey", "LineNumber", {_DETAIL}, "SalesDate" AS "Date",
+                   CASE WHEN "ProductName" IS NULL THEN 'N/A' ELSE "ProductName" END AS "Product",
+                   "UnitsSold" AS "SoldUnits", "Revenue" FROM sales_flat"""
+    ),
+)
+def saved_detail(spark, sf):
+    by = {out: (spec.key, spec.target) for out, spec in _NAMES.items()}
+    by |= {"Date": ("SalesDateKey", "Date"), "Product": ("ProductKey", "Title")}
+    return star.saved_star(spark, sf).detail(by, ["OrderKey", "LineNumber", "SoldUnits", "Revenue"])
+
+
+_SAVED_KEYS = [*_KEYS, *LOOKUP_KEYS]
+_NO_MEMBER = {spec.key: f'"{spec.source}" IS NULL' for spec in star.ATTRIBUTES} | {"SalesDateKey": '"SalesDate" IS NULL'} | _UNKNOWN
+
+
+@query(
+    "chk_saved_profile",
+    over_sales(
+        """SELECT 'rows' AS "check", 'fact' AS subject, count(*) AS counted, true AS passed FROM lineitem"""
+        + "".join(
+            f""" UNION ALL SELECT 'unknown key', '{key}', count(*), true FROM sales_flat WHERE {missing}
+                 UNION ALL SELECT 'null key', '{key}', count(*) - count(CASE WHEN {missing} THEN -1 ELSE 1 END),
+                                  count(*) = count(CASE WHEN {missing} THEN -1 ELSE 1 END) FROM sales_flat"""
+            for key, missing in _NO_MEMBER.items()
+        )
+        + """ UNION ALL SELECT 'rule', 'negative', count(*), count(*) = 0 FROM cleaned WHERE "UnitPrice" < 0
+              UNION ALL SELECT 'rule', 'no units', count(*), count(*) = 0 FROM cleaned WHERE "UnitsSold" = 0""",
+        _CLEAN,
+    ),
+)
+def saved_profile(spark, sf):
+    """Counts of rows, null keys, unknown keys and broken rules from one pass over the saved fact."""
+    rules = {"negative": F.col("UnitPrice") < 0, "no units": F.col("UnitsSold") == 0}
+    return star.saved_star(spark, sf).profile(rules)
+
+
+@query(
+    "chk_saved_referential",
+    over_sales(
+        " UNION ALL ".join(
+            f"""SELECT '{key}' AS key_column, count(*) AS fact_rows, count(*) FILTER (m IS NULL) AS unmatched_rows, count(*) FILTER (m IS NULL) = 0 AS passed
+                FROM (SELECT CASE WHEN {missing} THEN 'N/A' ELSE {text} END AS k FROM sales_flat) f
+                LEFT JOIN (SELECT DISTINCT {text} AS m FROM sales_flat WHERE NOT ({missing}) UNION SELECT 'N/A') d ON f.k = d.m"""
+            for key, missing in _NO_MEMBER.items()
+            for text in [
+                "upper(concat_ws('|', "
+                + ", ".join(
+                    f'CAST("{c}" AS VARCHAR)'
+                    for c in next(
+                        ([spec.source] if isinstance(spec, dims.AttributeDim) else list(spec.columns))
+                        for spec in (*star.ATTRIBUTES, *star.COMPOSITES, dims.AttributeDim("SalesDate", "Date", "SalesDateKey"))
+                        if spec.key == key
+                    )
+                )
+                + "))"
+            ]
+        )
+    ),
+)
+def saved_referential(spark, sf):
+    """Every key of the saved fact against its dimension; the SQL builds members and keys from the extract and joins them."""
+    return star.saved_star(spark, sf).referential()

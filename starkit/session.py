@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -65,10 +66,21 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(spark: SparkSession, path: str, schema: T.StructType, column: str, buckets: int, fmt: str = "parquet") -> DataFrame:
+    """Files that were written in buckets, as a frame that knows it. The table is in the catalog only while it is resolved."""
+    name = f"starkit_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt} CLUSTERED BY (`{column}`) INTO {buckets} BUCKETS LOCATION '{path}'")
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def stage_bucketed(df: DataFrame, label: str, column: str, buckets: int) -> DataFrame:
     """As ``stage``, with rows of one value of ``column`` in one bucket, so that windows, groups and joins on it need no shuffle.
 
-    Each task writes a file for each bucket that it has rows of. The table is in the catalog only while it is resolved.
+    Each task writes a file for each bucket that it has rows of.
     """
     spark = df.sparkSession
     path, name = fresh_path(spark, label), f"starkit_{uuid.uuid4().hex}"

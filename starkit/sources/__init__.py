@@ -1,4 +1,5 @@
 from starkit.sources.readers import CORRUPT, read_csv, read_table, rejected_dates, rejected_rows, rows
+from starkit.sources.versions import TableChanged, VersionedTables
 from starkit.sources.warehouse import Warehouse
 
-__all__ = ["CORRUPT", "Warehouse", "read_csv", "read_table", "rejected_dates", "rejected_rows", "rows"]
+__all__ = ["CORRUPT", "TableChanged", "VersionedTables", "Warehouse", "read_csv", "read_table", "rejected_dates", "rejected_rows", "rows"]

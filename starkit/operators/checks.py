@@ -7,9 +7,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starkit.functions.keys import UNKNOWN_KEY, normalise
 from starkit.functions.sums import Sums
+from starkit.session import stage
 
 
 #: Failed rows that an error shows.
@@ -195,3 +197,112 @@ def measure_range(fact: DataFrame, violations: Mapping[str, Column]) -> DataFram
     """One row per rule ``name -> condition of a bad row``."""
     counted = fact.agg(*[F.count_if(bad).alias(name) for name, bad in violations.items()])
     return counted.unpivot([], list(violations), "rule", "bad_rows").withColumn("passed", F.col("bad_rows") == 0)
+
+
+# --- comparisons that move little ----------------------------------------------------------------
+
+
+def _fingerprints(df: DataFrame, columns: Sequence[str], place: Column, side: str) -> DataFrame:
+    """Row count, and sum and xor of row hashes, of each range: the same for the same rows in any order."""
+    values = F.xxhash64(*columns)
+    # halves, so that a sum of them fits a long for 2**31 rows of one range and one task
+    halves = {"low": F.pmod(values, F.lit(1 << 32)), "high": F.shiftright(values, 32)}
+    hashed = df.select(place.alias("_place"), values.alias("_value"), *[half.alias(f"_{name}") for name, half in halves.items()])
+    return hashed.groupBy("_place").agg(
+        F.struct(F.count(F.lit(1)), F.sum("_low"), F.sum("_high"), F.bit_xor("_value")).alias(side)
+    )
+
+
+def range_difference(
+    source: DataFrame, fact: DataFrame, columns: Sequence[str], key: Sequence[str], ranges: int = 4096, levels: int = 2
+) -> DataFrame:
+    """``bag_difference``, moving only rows of ranges that differ.
+
+    Rows are in ``ranges`` ranges by a hash of ``key``. Each side makes one fingerprint of each range (count, sum and xor of row hashes);
+    ranges with different fingerprints are cut into ``ranges`` finer ones, ``levels`` times in all, and rows of the finest ones that
+    differ are compared themselves. Equal sides move one row for each range and input task. Rows that differ are missed only if two different bags of
+    a range have equal fingerprints, 128 bits. ``key`` should be columns that both sides hold alike; rows whose keys differ are found all the same.
+
+    Both sides are read once for each level and, if they differ, once more.
+    """
+    left, right = source.select(*columns), fact.select(*columns)
+    for name in columns:
+        if left.schema[name].dataType != right.schema[name].dataType:
+            raise ValueError(f"{name} is {left.schema[name].dataType.simpleString()} here and {right.schema[name].dataType.simpleString()} there")
+    left, right = _canonical(left), _canonical(right)
+    place, differing = F.lit(0).cast("bigint"), None
+    for level in range(levels):
+        finer = F.pmod(F.xxhash64(F.lit(level), *key), F.lit(ranges))
+        place = place * ranges + finer
+        sides = []
+        for df, side in ((left, "_source"), (right, "_fact")):
+            here = df if differing is None else _within(df, differing, coarser)
+            sides.append(_fingerprints(here, columns, place, side))
+        both = sides[0].join(sides[1], "_place", "full")
+        differing = stage(both.where(~F.col("_source").eqNullSafe(F.col("_fact"))).select("_place"), "differing-ranges")
+        if differing.isEmpty():
+            return bag_difference(left.where(F.lit(False)), right.where(F.lit(False)), columns)
+        coarser = place
+    return bag_difference(_within(left, differing, place), _within(right, differing, place), columns)
+
+
+def _canonical(df: DataFrame) -> DataFrame:
+    """Rows that grouping holds equal have equal hashes: 0.0 and -0.0 are one value, and so are all NaN."""
+    fractions = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({c: F.when(F.col(c) == 0, F.lit(0.0).cast(df.schema[c].dataType)).otherwise(F.col(c)) for c in fractions})
+
+
+def _within(df: DataFrame, places: DataFrame, place: Column) -> DataFrame:
+    """Rows of the ranges that are listed; Spark broadcasts the list where it is small, as it is written."""
+    return df.withColumn("_place", place).join(places, "_place", "left_semi").drop("_place")
+
+
+def referential_by_bitmaps(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """``referential`` for whole-number keys, moving bitmaps of distinct keys in place of keys.
+
+    Keys are bits of maps of 32,768 keys each, made in the input tasks on either side, so a dense key costs a bit, however many facts have it. A map of the
+    fact that adds no bit to the dimension's holds no unmatched key. Only the rows of keys in other maps are counted key by key.
+    """
+    keys = list(dims)
+
+    def maps(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+        rows = df.select(*[F.col(c).cast("bigint").alias(k) for k, c in columns.items()]).unpivot([], list(columns), "key_column", "key_value")
+        placed = rows.select(
+            "key_column", F.bitmap_bucket_number("key_value").alias("bucket"), F.bitmap_bit_position("key_value").alias("bit"),
+            F.col("key_value").isNull().alias("is_null"),
+        )
+        return placed.groupBy("key_column", "bucket").agg(
+            F.bitmap_construct_agg("bit").alias("bits"), F.count(F.lit(1)).alias("n"), F.count_if("is_null").alias("nulls")
+        )
+
+    ours = maps(fact, {k: k for k in keys})
+    theirs = [maps(dim.where(F.col(dim_key).isNotNull()), {key: dim_key}) for key, (dim, dim_key) in dims.items()]
+    count_of = F.bitmap_count("bits")
+    none = F.lit(0).cast("bigint")
+    sides = ours.withColumn("held", none).unionByName(
+        reduce(DataFrame.unionByName, theirs).withColumns({"held": count_of, "n": none, "nulls": none})
+    )
+    united = sides.groupBy("key_column", "bucket").agg(
+        F.bitmap_count(F.bitmap_or_agg("bits")).alias("all"), F.sum("held").alias("held"), F.sum("n").alias("n"), F.sum("nulls").alias("nulls")
+    )
+    judged = stage(united.select("key_column", "bucket", "n", "nulls", (F.col("all") > F.col("held")).alias("_extra")), "judged-maps")
+    counted = judged.groupBy("key_column").agg(F.sum("n").alias("fact_rows"), F.sum("nulls").alias("_nulls"))
+    doubtful = judged.where("_extra").select(F.col("key_column").alias("_key"), F.col("bucket").alias("_bucket"))
+    some = {row["_key"] for row in doubtful.select("_key").distinct().collect()}
+    every = fact.sparkSession.range(0, 1, 1, 1).select(F.explode(F.array(*[F.lit(k) for k in keys])).alias("key_column"))
+    unmatched_rows = F.coalesce(F.col("_nulls"), F.lit(0))
+    report = every.join(counted, "key_column", "left")
+    if some:
+        # keys of the maps in doubt, against the members one by one
+        parts = []
+        for key in sorted(some):
+            dim, dim_key = dims[key]
+            here = doubtful.where(F.col("_key") == key).select("_bucket")
+            rows = fact.select(F.col(key).cast("bigint").alias("key_value")).where(F.col("key_value").isNotNull())
+            found = rows.join(here, F.bitmap_bucket_number("key_value") == F.col("_bucket"), "left_semi").groupBy("key_value").count()
+            missing = found.join(dim.select(F.col(dim_key).cast("bigint").alias("key_value")), "key_value", "left_anti")
+            parts.append(missing.agg(F.lit(key).alias("key_column"), F.sum("count").alias("_missing")))
+        report = report.join(reduce(DataFrame.unionByName, parts), "key_column", "left")
+        unmatched_rows = unmatched_rows + F.coalesce(F.col("_missing"), F.lit(0))
+    report = report.select("key_column", F.coalesce("fact_rows", F.lit(0)).alias("fact_rows"), unmatched_rows.alias("unmatched_rows"))
+    return report.withColumn("passed", F.col("unmatched_rows") == 0)

@@ -14,7 +14,7 @@ from starkit.operators.windows import previous_and_running, top_n
 from starkit.plans.flat import sales, table
 from starkit.plans.registry import over_sales, query
 from starkit.session import fresh_path, stage
-from starkit.sources import Warehouse, read_csv, read_table, rejected_dates, rejected_rows, rows
+from starkit.sources import VersionedTables, Warehouse, read_csv, read_table, rejected_dates, rejected_rows, rows
 
 # --- sources and sinks ---------------------------------------------------------------------------
 
@@ -74,13 +74,13 @@ def table_load(spark, sf):
 @query(
     "src_rows_schema",
     """SELECT c_custkey, v.segment_label, v.segment_rank FROM customer
-       JOIN (VALUES ('AUTOMOBILE', 'Cars', 1), ('BUILDING', 'Houses', 2), ('FURNITURE', 'Chairs', 3))
+       JOIN (VALUES ('AUTOMOBILE', 'Cars', 1), ('BUILDING', 'Houses', 2), ('FURNITURE', 'Chairs', 3), ('HOUSEHOLD', 'Homes', 4), ('MACHINERY', 'Machines', 5))
             v(c_mktsegment, segment_label, segment_rank) USING (c_mktsegment)""",
 )
 def rows_schema(spark, sf):
     labels = rows(
         spark,
-        [("AUTOMOBILE", "Cars", 1), ("BUILDING", "Houses", 2), ("FURNITURE", "Chairs", 3)],
+        [("AUTOMOBILE", "Cars", 1), ("BUILDING", "Houses", 2), ("FURNITURE", "Chairs", 3), ("HOUSEHOLD", "Homes", 4), ("MACHINERY", "Machines", 5)],
         "c_mktsegment string, segment_label string, segment_rank int",
     )
     joined = table(spark, sf, "customer").join(F.broadcast(labels), "c_mktsegment")
@@ -90,20 +90,20 @@ def rows_schema(spark, sf):
 @query(
     "src_rows_names",
     """SELECT o_orderkey, CAST(v.days AS BIGINT) AS days FROM orders
-       JOIN (VALUES ('1-URGENT', 1), ('2-HIGH', 3), ('3-MEDIUM', 7)) v(o_orderpriority, days) USING (o_orderpriority)""",
+       JOIN (VALUES ('1-URGENT', 1), ('2-HIGH', 3), ('3-MEDIUM', 7), ('4-NOT SPECIFIED', 14), ('5-LOW', 30)) v(o_orderpriority, days) USING (o_orderpriority)""",
 )
 def rows_names(spark, sf):
-    days = rows(spark, [("1-URGENT", 1), ("2-HIGH", 3), ("3-MEDIUM", 7)], ["o_orderpriority", "days"])
+    days = rows(spark, [("1-URGENT", 1), ("2-HIGH", 3), ("3-MEDIUM", 7), ("4-NOT SPECIFIED", 14), ("5-LOW", 30)], ["o_orderpriority", "days"])
     return table(spark, sf, "orders").join(F.broadcast(days), "o_orderpriority").select("o_orderkey", "days")
 
 
 @query(
     "src_rows_objects",
     """SELECT v.label, count(*) AS lines FROM lineitem
-       JOIN (VALUES ('A', 'accepted'), ('R', 'returned')) v(l_returnflag, label) USING (l_returnflag) GROUP BY v.label""",
+       JOIN (VALUES ('A', 'accepted'), ('N', 'none'), ('R', 'returned')) v(l_returnflag, label) USING (l_returnflag) GROUP BY v.label""",
 )
 def rows_objects(spark, sf):
-    labels = rows(spark, [Row(l_returnflag="A", label="accepted"), Row(l_returnflag="R", label="returned")])
+    labels = rows(spark, [Row(l_returnflag="A", label="accepted"), Row(l_returnflag="N", label="none"), Row(l_returnflag="R", label="returned")])
     joined = table(spark, sf, "lineitem").join(F.broadcast(labels), "l_returnflag")
     return joined.groupBy("label").agg(F.count(F.lit(1)).alias("lines"))
 
@@ -116,6 +116,33 @@ def overwrite(spark, sf):
     return warehouse.save(suppliers.where("s_acctbal < 0").drop("s_acctbal"), "supplier")
 
 
+@query(
+    "sink_rebuild_in_place",
+    """SELECT s_suppkey, CAST(s_acctbal AS DOUBLE) AS first_balance, greatest(s_acctbal, 0) AS balance FROM supplier
+       WHERE s_acctbal < 5000""",
+)
+def rebuild_in_place(spark, sf):
+    """A table that is twice replaced by what is made from itself; a reader of its first version keeps it."""
+    tables = VersionedTables(spark, fresh_path(spark, "versions"))
+    first = tables.save(table(spark, sf, "supplier").select("s_suppkey", "s_acctbal"), "balances")
+    second = tables.save(tables.load("balances").where("s_acctbal < 5000"), "balances", based_on=first)
+    raised = tables.load("balances").withColumn("s_acctbal", F.greatest("s_acctbal", F.lit(0.0)))
+    tables.save(raised, "balances", based_on=second)
+    before = tables.load("balances", first).withColumnRenamed("s_acctbal", "first_balance")
+    return before.join(tables.load("balances").withColumnRenamed("s_acctbal", "balance"), "s_suppkey")
+
+
+@query("sink_managed_table", "SELECT c_nationkey, count(*) AS customers FROM customer GROUP BY c_nationkey")
+def save_managed_table(spark, sf):
+    """A table in the catalog's own folder, replaced once; the rows come from the catalog."""
+    root = fresh_path(spark, "tables")
+    name = f"managed_{root.rsplit('-', 1)[1]}"
+    warehouse = Warehouse(spark, root)
+    customers = table(spark, sf, "customer")
+    warehouse.save_table(customers.select("c_nationkey", F.lit(0).cast("bigint").alias("customers")), name, managed=True)
+    return warehouse.save_table(customers.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers")), name, managed=True)
+
+
 @query("sink_save_table", "SELECT n_nationkey, count(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_nationkey")
 def save_table(spark, sf):
     root = fresh_path(spark, "tables")

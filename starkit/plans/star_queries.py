@@ -90,8 +90,17 @@ def from_source(spark, sf):
 
 @query(
     "dim_unknown_member",
-    "SELECT * FROM (VALUES ('CategoryKey', 'N/A'), ('CustomerSegmentKey', 'N/A'), ('DateKey', 'N/A'), ('RegionKey', 'N/A'), "
-    "('SalesChannelKey', 'N/A'), ('SalesRepKey', 'N/A'), ('StoreTypeKey', 'N/A'), ('SubCategoryKey', 'N/A')) v(dimension, member)",
+    over_sales(
+        " UNION ALL ".join(
+            f"""SELECT '{spec.key}' AS dimension, member FROM (
+                  SELECT row_number() OVER (ORDER BY m) AS k, m AS member FROM (SELECT DISTINCT "{spec.source}" AS m FROM sales_flat)
+                  WHERE m IS NOT NULL UNION ALL SELECT -1, 'N/A') WHERE k = -1"""
+            for spec in star.ATTRIBUTES
+        )
+        + """ UNION ALL SELECT 'DateKey', member FROM (
+                SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS k, monthname(d) AS member FROM (SELECT DISTINCT "SalesDate" AS d FROM sales_flat)
+                WHERE d IS NOT NULL UNION ALL SELECT -1, 'N/A') WHERE k = -1"""
+    ),
 )
 def unknown_members(spark, sf):
     """The unknown row of every dimension."""
@@ -170,20 +179,14 @@ def hash_keys(spark, sf):
     return _detail(spark, sf, ["OrderKey", "LineNumber"])
 
 
-@query(
-    "fact_hash_keys_murmur3",
-    over_sales("""SELECT "OrderKey", "LineNumber", coalesce("Region", 'N/A') AS "Region", "ProductCategory" AS "Category" FROM sales_flat"""),
-)
+@query("fact_hash_keys_murmur3", over_sales(f'SELECT "OrderKey", "LineNumber", {_DETAIL} FROM sales_flat'))
 def hash_keys_murmur3(spark, sf):
-    """Two small dimensions keyed by the 32-bit hash, resolved to names again."""
-    region, category = (replace(spec, algorithm="murmur3") for spec in (star.REGION, star.CATEGORY))
-    extract = star.staged_sales(spark, sf, ["OrderKey", "LineNumber", region.source, category.source])
-    built = dims.star_dimensions(extract, [region, category])
-    by = {
-        "Region": Attribute(built[region.key], region.key, region.target),
-        "Category": Attribute(built[category.key], category.key, category.target),
-    }
-    return reports.detail(facts.key_by_hash(extract, [region, category]), by, ["OrderKey", "LineNumber"])
+    """All attribute dimensions keyed by the 32-bit hash, resolved to names again."""
+    specs = {out: replace(spec, algorithm="murmur3") for out, spec in _NAMES.items()}
+    extract = star.staged_sales(spark, sf, ["OrderKey", "LineNumber", *[spec.source for spec in specs.values()]])
+    built = dims.star_dimensions(extract, list(specs.values()))
+    by = {out: Attribute(built[spec.key], spec.key, spec.target) for out, spec in specs.items()}
+    return reports.detail(facts.key_by_hash(extract, list(specs.values())), by, ["OrderKey", "LineNumber"])
 
 
 @query(
@@ -281,6 +284,37 @@ def measures(spark, sf):
 # --- checks --------------------------------------------------------------------------------------
 
 
+_UNKNOWN = {
+    "ProductKey": '"ProductName" IS NULL OR "ProductCategory" IS NULL OR "ProductSubCategory" IS NULL',
+    "StoreKey": '"Region" IS NULL OR "StoreName" IS NULL OR "StoreType" IS NULL',
+    "EmployeeKey": '"SalesRep" IS NULL OR "RepNation" IS NULL',
+}
+_SOURCES = {spec.key: [spec.source] for spec in star.ATTRIBUTES} | {"SalesDateKey": ["SalesDate"]}
+_SOURCES |= {spec.key: list(spec.columns) for spec in star.COMPOSITES}
+_NO_MEMBER = {key: " OR ".join(f'"{c}" IS NULL' for c in columns) for key, columns in _SOURCES.items()}
+
+
+def _member_text(key: str) -> str:
+    return "upper(concat_ws('|', " + ", ".join(f'CAST("{c}" AS VARCHAR)' for c in _SOURCES[key]) + "))"
+
+
+def _members_sql(key: str) -> str:
+    """The members of a dimension as texts, with the unknown one, made from the extract."""
+    return f"SELECT DISTINCT {_member_text(key)} AS m FROM sales_flat WHERE NOT ({_NO_MEMBER[key]}) UNION ALL SELECT 'N/A'"
+
+
+def _referential_sql(keys) -> str:
+    """Each fact's member, as a text, against the members of its dimension."""
+    return over_sales(
+        " UNION ALL ".join(
+            f"""SELECT '{key}' AS key_column, count(*) AS fact_rows, count(*) FILTER (m IS NULL) AS unmatched_rows, count(*) FILTER (m IS NULL) = 0 AS passed
+                FROM (SELECT CASE WHEN {_NO_MEMBER[key]} THEN 'N/A' ELSE {_member_text(key)} END AS k FROM sales_flat) f
+                LEFT JOIN ({_members_sql(key)}) d ON f.k = d.m"""
+            for key in keys
+        )
+    )
+
+
 def _hash_star(spark, sf):
     extract = star.staged_sales(spark, sf, star.ALL_ATTRIBUTES)
     built = star.all_dims(extract)
@@ -292,12 +326,7 @@ def _hash_star(spark, sf):
 _KEYS = [spec.key for spec in star.ATTRIBUTES] + ["SalesDateKey"]
 
 
-@query(
-    "chk_referential",
-    " UNION ALL ".join(
-        f"SELECT '{key}' AS key_column, count(*) AS fact_rows, 0 AS unmatched_rows, true AS passed FROM lineitem" for key in _KEYS
-    ).replace("0 AS unmatched_rows", "CAST(0 AS BIGINT) AS unmatched_rows"),
-)
+@query("chk_referential", _referential_sql(_KEYS))
 def referential(spark, sf):
     fact, sides = _hash_star(spark, sf)
     return checks.referential(fact, sides)
@@ -343,23 +372,7 @@ def _revenue_star(spark, sf):
     return fact
 
 
-_UNKNOWN = {
-    "ProductKey": '"ProductName" IS NULL OR "ProductCategory" IS NULL OR "ProductSubCategory" IS NULL',
-    "StoreKey": '"Region" IS NULL OR "StoreName" IS NULL OR "StoreType" IS NULL',
-    "EmployeeKey": '"SalesRep" IS NULL OR "RepNation" IS NULL',
-}
-
-
-@query(
-    "chk_referential_lookup",
-    over_sales(
-        " UNION ALL ".join(
-            f"""SELECT '{key}' AS key_column, count(*) AS fact_rows, count(*) - count(*) FILTER (({missing}) OR NOT ({missing})) AS unmatched_rows,
-                       count(*) = count(*) FILTER (({missing}) OR NOT ({missing})) AS passed FROM sales_flat"""
-            for key, missing in _UNKNOWN.items()
-        )
-    ),
-)
+@query("chk_referential_lookup", _referential_sql(LOOKUP_KEYS))
 def referential_lookup(spark, sf):
     """All three keys of the looked-up star."""
     fact, built = star.revenue_star(spark, sf, *LOOKUP_SPECS)
@@ -407,10 +420,14 @@ def measure_sum_fail(spark, sf):
 @query(
     "chk_measure_sum",
     over_sales(
-        """SELECT 'Revenue' AS measure, CAST(sum(CAST("Revenue" AS DECIMAL(18,2))) AS DOUBLE) AS source_total,
-                  CAST(sum(CAST("Revenue" AS DECIMAL(18,2))) AS DOUBLE) AS fact_total, true AS passed FROM sales_flat
-           UNION ALL SELECT 'UnitsSold', CAST(sum(CAST("UnitsSold" AS DECIMAL(18,2))) AS DOUBLE),
-                  CAST(sum(CAST("UnitsSold" AS DECIMAL(18,2))) AS DOUBLE), true FROM sales_flat"""
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS measure, CAST(a AS DOUBLE) AS source_total, CAST(b AS DOUBLE) AS fact_total, a = b AS passed
+                FROM (SELECT sum(CAST("{c}" AS DECIMAL(18,2))) AS a FROM sales_flat),
+                     (SELECT sum(CAST(s."{c}" AS DECIMAL(18,2))) AS b
+                      FROM sales_flat s LEFT JOIN focus f USING ("ProductCategory", "CustomerSegment", "Region"))"""
+            for c in ("Revenue", "UnitsSold")
+        ),
+        _FOCUS,
     ),
 )
 def measure_sum(spark, sf):
@@ -493,6 +510,44 @@ def bag_diff(spark, sf):
     return checks.bag_difference(star.clean_sales(spark, sf, _MEASURES), fact, _MEASURES)
 
 
+@query("chk_range_diff", _bag_sql("sales_flat"))
+def range_diff(spark, sf):
+    """As chk_bag_diff_raw, by fingerprints of ranges."""
+    extract = sales(spark, sf, ["OrderKey", *_MEASURES])
+    return checks.range_difference(extract, star.clean_sales(spark, sf, ["OrderKey", *_MEASURES]), _MEASURES, ["SalesDate"], ranges=512)
+
+
+@query("chk_range_diff_equal", _bag_sql("cleaned"))
+def range_diff_equal(spark, sf):
+    """The saved fact against the cleaned extract, every line in its place: only fingerprints move."""
+    saved = star.saved_star(spark, sf).facts
+    days = star.saved_star(spark, sf).dims["SalesDateKey"][0].select(F.col("DateKey").alias("SalesDateKey"), F.col("Date").alias("SalesDate"))
+    dated = saved.join(F.broadcast(days), "SalesDateKey")
+    return checks.range_difference(star.clean_sales(spark, sf, _MEASURES), dated.select(*_MEASURES), _MEASURES, ["SalesDate"])
+
+
+@query("chk_referential_bitmap", _referential_sql(LOOKUP_KEYS))
+def referential_bitmap(spark, sf):
+    """The dense keys of the saved star by bitmaps of keys."""
+    saved = star.saved_star(spark, sf)
+    return checks.referential_by_bitmaps(saved.facts, {key: saved.dims[key] for key in LOOKUP_KEYS})
+
+
+@query(
+    "chk_referential_bitmap_fail",
+    """SELECT 'l_suppkey' AS key_column, count(*) AS fact_rows, count(*) FILTER (s_suppkey IS NULL) AS unmatched_rows,
+              count(*) FILTER (s_suppkey IS NULL) = 0 AS passed
+       FROM lineitem LEFT JOIN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0) ON l_suppkey = s_suppkey
+       UNION ALL SELECT 'l_partkey', count(*), count(*) FILTER (p_partkey IS NULL), count(*) FILTER (p_partkey IS NULL) = 0
+       FROM lineitem LEFT JOIN part ON l_partkey = p_partkey""",
+)
+def referential_bitmap_fail(spark, sf):
+    """Suppliers in debt are missing from one of two dimensions."""
+    suppliers = table(spark, sf, "supplier").where("s_acctbal >= 0")
+    sides = {"l_suppkey": (suppliers, "s_suppkey"), "l_partkey": (table(spark, sf, "part"), "p_partkey")}
+    return checks.referential_by_bitmaps(table(spark, sf, "lineitem"), sides)
+
+
 @query("chk_bag_diff_raw", _bag_sql("sales_flat"))
 def bag_diff_raw(spark, sf):
     """Against the raw extract: what cleaning changed, in both directions."""
@@ -503,10 +558,11 @@ def bag_diff_raw(spark, sf):
     "chk_null_keys",
     over_sales(
         " UNION ALL ".join(
-            f"""SELECT '{key}' AS key_column, count(*) - count(k) AS null_rows, count(*) = count(k) AS passed
-                FROM (SELECT CASE WHEN {missing} THEN -1 ELSE 1 END AS k FROM sales_flat)"""
-            for key, missing in _UNKNOWN.items()
-        )
+            f"""SELECT '{spec.key}' AS key_column, count(*) - count(k) AS null_rows, count(*) = count(k) AS passed
+                FROM (SELECT coalesce(d.k, -1) AS k FROM cleaned LEFT JOIN {name} d USING ({", ".join(f'"{c}"' for c in spec.columns)}))"""
+            for spec, name in ((star.PRODUCT, "products"), (star.STORE, "stores"), (star.EMPLOYEE, "reps"))
+        ),
+        _keyed(star.PRODUCT, "products"), _keyed(star.STORE, "stores"), _keyed(star.EMPLOYEE, "reps"), _CLEAN,
     ),
 )
 def null_keys(spark, sf):
@@ -589,8 +645,9 @@ def mapping_duplicates(spark, sf):
     "chk_key_collision",
     over_sales(
         " UNION ALL ".join(
-            f"""SELECT '{spec.key}' AS dimension, count(DISTINCT upper("{spec.source}")) + 1 AS keys,
-                       CAST(0 AS BIGINT) AS collisions, true AS passed FROM sales_flat"""
+            f"""SELECT '{spec.key}' AS dimension, count(*) AS keys, count(*) FILTER (n > 1) AS collisions, count(*) FILTER (n > 1) = 0 AS passed
+                FROM (SELECT CASE WHEN m = 'N/A' THEN -1 ELSE CAST(hash(m) AS HUGEINT) END AS k, count(DISTINCT m) AS n
+                      FROM ({_members_sql(spec.key)}) GROUP BY 1)"""
             for spec in star.ATTRIBUTES
         )
     ),
@@ -777,10 +834,6 @@ def saved_detail(spark, sf):
     return star.saved_star(spark, sf).detail(by, ["OrderKey", "LineNumber", "SoldUnits", "Revenue"])
 
 
-_SAVED_KEYS = [*_KEYS, *LOOKUP_KEYS]
-_NO_MEMBER = {spec.key: f'"{spec.source}" IS NULL' for spec in star.ATTRIBUTES} | {"SalesDateKey": '"SalesDate" IS NULL'} | _UNKNOWN
-
-
 @query(
     "chk_saved_profile",
     over_sales(
@@ -802,29 +855,7 @@ def saved_profile(spark, sf):
     return star.saved_star(spark, sf).profile(rules)
 
 
-@query(
-    "chk_saved_referential",
-    over_sales(
-        " UNION ALL ".join(
-            f"""SELECT '{key}' AS key_column, count(*) AS fact_rows, count(*) FILTER (m IS NULL) AS unmatched_rows, count(*) FILTER (m IS NULL) = 0 AS passed
-                FROM (SELECT CASE WHEN {missing} THEN 'N/A' ELSE {text} END AS k FROM sales_flat) f
-                LEFT JOIN (SELECT DISTINCT {text} AS m FROM sales_flat WHERE NOT ({missing}) UNION SELECT 'N/A') d ON f.k = d.m"""
-            for key, missing in _NO_MEMBER.items()
-            for text in [
-                "upper(concat_ws('|', "
-                + ", ".join(
-                    f'CAST("{c}" AS VARCHAR)'
-                    for c in next(
-                        ([spec.source] if isinstance(spec, dims.AttributeDim) else list(spec.columns))
-                        for spec in (*star.ATTRIBUTES, *star.COMPOSITES, dims.AttributeDim("SalesDate", "Date", "SalesDateKey"))
-                        if spec.key == key
-                    )
-                )
-                + "))"
-            ]
-        )
-    ),
-)
+@query("chk_saved_referential", _referential_sql(list(_NO_MEMBER)))
 def saved_referential(spark, sf):
     """Every key of the saved fact against its dimension; the SQL builds members and keys from the extract and joins them."""
     return star.saved_star(spark, sf).referential()

@@ -9,7 +9,6 @@ no article by its element or name.
 from __future__ import annotations
 
 import html
-import os.path
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -43,20 +42,30 @@ ENDED_BY = {
 }
 #: Where the search for an element to end stops.
 SCOPE = set("html body table ul ol dl select div section article main aside nav header footer form td th blockquote".split())
-#: Words in class, id or role of elements that are not part of an article.
-NOT_ARTICLE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertis\w*|sponsor\w*|promo\w*|banner|side-?bar|rail|menu|nav\w*|breadcrumbs?|foot(?:er)?|masthead|"
-    r"site-?header|page-?header|header|comments?|respond|replies|disqus|cookies?|consent|gdpr|notices?|alert|pop-?up|modal|overlay|newsletter|"
-    r"subscri\w*|sign-?up|log-?in|share|sharing|social|related|recommend\w*|widget|toolbar|pagination|pager|search|copyright|legal|"
-    r"complementary|navigation|contentinfo)(?=$|[\s_-])",
-    re.I,
+#: Parts of a page that are not the article, as words of class, id or role. These are left out wherever they stand ...
+CLUTTER = (
+    r"ads?|adverts?|advertis\w*|sponsor\w*|promo\w*|banner|side-?bar|breadcrumbs?|comments?|respond|replies|disqus|cookies?|consent|gdpr|notices?|"
+    r"pop-?up|modal|overlay|newsletter|subscri\w*|sign-?up|log-?in|share|sharing|related|recommend\w*|widget|pagination|pager|"
+    r"complementary|navigation|contentinfo"
 )
+#: ... and these outside an article only, as an article may be about them.
+FURNITURE = r"rail|menu|nav\w*|foot(?:er)?|masthead|site-?header|page-?header|header|alert|social|toolbar|search|copyright|legal"
+#: In an article a word counts alone, or before one of these; elsewhere also within a longer name that does not speak of the article.
+PARTS = r"area|bars?|blocks?|box|buttons?|container|content|form|inner|items?|lists?|links|panel|posts?|row|section|slot|thread|units?|widgets?|wrap(?:per)?"
+IN_ARTICLE = re.compile(rf"(?<!\S)(?:{CLUTTER})(?:[_-](?:{PARTS}))*(?!\S)", re.I)
+ELSEWHERE = re.compile(rf"(?<!\S)(?!(?:article|content|entry|main|post|story)[_-])(?:\S*[_-])?(?:{CLUTTER}|{FURNITURE})(?=[\s_-]|\Z)", re.I)
+#: The elements that a start tag ends.
+ENDS: dict[str, list[str]] = {}
+for _ended, _starts in ENDED_BY.items():
+    for _start in _starts:
+        ENDS.setdefault(_start, []).append(_ended)
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？·«»\"“”„()'’]")
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|aria-hidden|hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: One attribute after another; what stands in the value of one is no attribute.
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s\"'>]+)))?|[\"']")
 
 HEADING = re.compile(r"h[1-3](\.|\Z)")
 
@@ -68,11 +77,26 @@ ARTICLE_WEIGHT = 4.0
 LINK_SHARE = 0.6
 
 
+class Paths:
+    """Tag paths as numbers: each has a parent, with a lower number, and the name of its last tag. 0 is the empty path."""
+
+    def __init__(self):
+        self.parent, self.name, self._known = [0], [""], {}
+
+    def below(self, parent: int, name: str) -> int:
+        found = self._known.get((parent, name))
+        if found is None:
+            found = self._known[parent, name] = len(self.parent)
+            self.parent.append(parent)
+            self.name.append(name)
+        return found
+
+
 @dataclass
 class Block:
     """Text between two boundaries of block elements."""
 
-    path: tuple[str, ...]
+    path: int
     text: str
     linked: int
     article: bool
@@ -81,50 +105,82 @@ class Block:
 @dataclass
 class _Open:
     tag: str
-    name: str
+    path: int
     never: bool
     article: bool
     link: bool
 
 
-def _opened(tag: str, attributes: str, above: _Open) -> _Open:
+class _Stack:
+    """Open elements, with the places of each tag and of those that limit the search for an element to end."""
+
+    def __init__(self):
+        self.open = [_Open("", 0, False, False, False)]
+        self.places: defaultdict[str, list[int]] = defaultdict(list)
+        self.scopes = [0]
+
+    def push(self, element: _Open) -> None:
+        self.places[element.tag].append(len(self.open))
+        if element.tag in SCOPE:
+            self.scopes.append(len(self.open))
+        self.open.append(element)
+
+    def cut(self, depth: int) -> bool:
+        """Ends all elements from ``depth`` on; whether a block is among them."""
+        blocks = False
+        while len(self.open) > depth:
+            tag = self.open.pop().tag
+            self.places[tag].pop()
+            if tag in SCOPE:
+                self.scopes.pop()
+            blocks |= tag not in INLINE
+        return blocks
+
+    def ended_by(self, tag: str) -> int:
+        """Place of the innermost element that the start of ``tag`` ends, 0 if there is none in scope."""
+        places = [self.places[ended][-1] for ended in ENDS.get(tag, ()) if self.places[ended]]
+        return max((place for place in places if place >= self.scopes[-1]), default=0)
+
+
+def _opened(tag: str, attributes: str, above: _Open, paths: Paths) -> _Open:
     names, hidden = [], False
     if attributes:
         for match in _ATTRIBUTE.finditer(attributes):
-            key, value = match[1].lower(), match[2] or match[3] or match[4] or ""
+            key, value = (match[1] or "").lower(), match[2] or match[3] or match[4] or ""
             if key == "style":
                 hidden |= "display:none" in value.replace(" ", "").lower()
             elif key in ("hidden", "aria-hidden"):
                 hidden |= value.lower() != "false"
-            elif value:
+            elif key in ("class", "id", "role") and value:
                 names.append(value)
     named = " ".join(names)
     whole = tag in ("html", "body") or tag in ARTICLE
     header = tag == "header" and above.article  # of the article, not of the page
-    never = above.never or hidden or tag in NEVER and not header or bool(named and not whole and NOT_ARTICLE.search(named))
-    return _Open(tag, f"{tag}.{named}" if named else tag, never, above.article or tag in ARTICLE, above.link or tag == "a")
+    words = IN_ARTICLE if above.article else ELSEWHERE
+    never = above.never or hidden or tag in NEVER and not header or bool(named and not whole and words.search(named))
+    path = above.path if tag in INLINE else paths.below(above.path, f"{tag}.{named}" if named else tag)
+    return _Open(tag, path, never, above.article or tag in ARTICLE, above.link or tag == "a")
 
 
-def blocks_of(page: str) -> list[Block]:
-    """Blocks of text in page order, without those that are no article by their element or name."""
-    root = _Open("", "", False, False, False)
-    stack, found, parts, linked = [root], [], [], 0
+def blocks_of(page: str) -> tuple[list[Block], Paths]:
+    """Blocks of text in page order, without those that are no article by their element or name, and their paths."""
+    paths, stack = Paths(), _Stack()
+    found, parts, linked = [], [], 0
 
     def flush() -> None:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            path = tuple(x.name for x in stack[1:] if x.tag not in INLINE)
-            found.append(Block(path, text, linked, stack[-1].article))
+            found.append(Block(stack.open[-1].path, text, linked, stack.open[-1].article))
         parts.clear()
         linked = 0
 
     def text(raw: str) -> None:
         nonlocal linked
-        if raw and not stack[-1].never:
+        if raw and not stack.open[-1].never:
             decoded = html.unescape(raw)
             parts.append(decoded)
-            if stack[-1].link:
+            if stack.open[-1].link:
                 linked += len(decoded.strip())
 
     at = 0
@@ -139,11 +195,11 @@ def blocks_of(page: str) -> list[Block]:
         if not tag:
             continue
         if match[1]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if depth:
-                if any(x.tag not in INLINE for x in stack[depth:]):
+            if stack.places[tag]:
+                depth = stack.places[tag][-1]
+                if any(x.tag not in INLINE for x in stack.open[depth:]):
                     flush()
-                del stack[depth:]
+                stack.cut(depth)
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -151,18 +207,15 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if tag not in INLINE:
             flush()
-            for i in range(len(stack) - 1, 0, -1):
-                if tag in ENDED_BY.get(stack[i].tag, ()):
-                    del stack[i:]
-                    break
-                if stack[i].tag in SCOPE:
-                    break
+            depth = stack.ended_by(tag)
+            if depth:
+                stack.cut(depth)
         elif tag == "br":
             parts.append("\n")
         if tag not in VOID:
-            stack.append(_opened(tag, match[3], stack[-1]))
+            stack.push(_opened(tag, match[3], stack.open[-1], paths))
     flush()
-    return found
+    return found, paths
 
 
 def _smoothed(values: np.ndarray) -> np.ndarray:
@@ -171,7 +224,7 @@ def _smoothed(values: np.ndarray) -> np.ndarray:
     return np.convolve(padded, weights / weights.sum(), mode="valid")
 
 
-def content_of(blocks: list[Block]) -> list[Block]:
+def content_of(blocks: list[Block], paths: Paths) -> list[Block]:
     """The blocks that are content."""
     if not blocks:
         return []
@@ -181,32 +234,40 @@ def content_of(blocks: list[Block]) -> list[Block]:
         marks[block.path] += len(PUNCTUATION.findall(block.text))
         nodes[block.path] += 1
         links[block.path] += block.linked
-    lists = {path for path in chars if links[path] > LINK_SHARE * chars[path]}
+    in_article = {block.path for block in blocks if block.article}
+    # a list of links is a menu, unless it stands in an article
+    lists = {path for path in chars if links[path] > LINK_SHARE * chars[path] and path not in in_article}
     text_ratio = _smoothed(np.array([chars[b.path] / nodes[b.path] for b in blocks]))
     mark_ratio = _smoothed(np.array([marks[b.path] / nodes[b.path] for b in blocks]))
     prior = np.array([0.0 if b.path in lists else ARTICLE_WEIGHT if b.article else 1.0 for b in blocks])
     fused = text_ratio * (1 + mark_ratio) * prior
-    score: defaultdict[tuple, list[float]] = defaultdict(list)
+    score: defaultdict[int, list[float]] = defaultdict(list)
     for block, value in zip(blocks, fused):
         score[block.path].append(value)
     means = {path: float(np.mean(values)) for path, values in score.items()}
     limit = min(0.8 * float(np.std(fused)), max(means.values()))
     chosen = {path for path, mean in means.items() if mean >= limit and path not in lists} or set(means) - lists
     total = sum(chars[path] for path in chosen)
-    within = tuple(os.path.commonprefix([path[:-1] for path in chosen]))
-    while True:  # down to the smallest element with nine tenths of the chosen text
-        held: defaultdict[tuple, float] = defaultdict(float)
-        for path in chosen:
-            if len(path) > len(within) and path[: len(within)] == within:
-                held[path[: len(within) + 1]] += chars[path]
-        best = max(held, key=held.get, default=None)
-        if best is None or held[best] < 0.9 * total or best in chosen:
-            break
+    held = [0.0] * len(paths.parent)
+    heaviest: dict[int, int] = {}
+    for path in chosen:
+        held[path] += chars[path]
+    for path in range(len(held) - 1, 0, -1):  # from the leaves up
+        parent = paths.parent[path]
+        if held[path] and held[path] >= held[heaviest.get(parent, path)]:
+            heaviest[parent] = path
+        held[parent] += held[path]
+    within = 0
+    # down to the smallest element with nine tenths of the chosen text
+    while (best := heaviest.get(within)) is not None and held[best] >= 0.9 * total and best not in chosen:
         within = best
+    inside = [False] * len(held)
+    for path in range(len(held)):
+        inside[path] = path == within or (path > 0 and inside[paths.parent[path]])
     # what the paths chose stays, also outside that element, which only adds blocks
-    kept = {i for i, b in enumerate(blocks) if b.path in chosen or b.path[: len(within)] == within and b.path not in lists}
+    kept = {i for i, b in enumerate(blocks) if b.path in chosen or inside[b.path] and b.path not in lists}
     for first in sorted(kept):  # the headings right before the content belong to it
-        while first and HEADING.match(blocks[first - 1].path[-1] if blocks[first - 1].path else "") and blocks[first - 1].path not in lists:
+        while first and HEADING.match(paths.name[blocks[first - 1].path]) and blocks[first - 1].path not in lists:
             first -= 1
             kept.add(first)
     return [blocks[i] for i in sorted(kept)]
@@ -214,7 +275,7 @@ def content_of(blocks: list[Block]) -> list[Block]:
 
 def main_text(page: str | None) -> str:
     """Main text of one page; empty if there is none."""
-    return " ".join(block.text for block in content_of(blocks_of(page))) if page else ""
+    return " ".join(block.text for block in content_of(*blocks_of(page))) if page else ""
 
 
 def extract(pages: DataFrame) -> DataFrame:

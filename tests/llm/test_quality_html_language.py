@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -123,6 +124,39 @@ def test_main_text_in_several_elements():
     assert html_extraction.main_text(page) == f"{lead} Sub {' '.join([whole] * 24)} {end}"
 
 
+PROSE = "<p>" + "Some real words of prose, and more of them. " * 5 + "</p>"
+READ = " ".join(["Some real words of prose, and more of them."] * 5)
+
+
+@pytest.mark.parametrize("inside, text", [
+    ('<p title="a hidden gem" data-id="share">Kept.</p>', "Kept."), ('<a href="/x?id=social">words</a>', "words"),
+    ('<div class="entry-header"><h1>Title</h1></div>', "Title"), ('<section id="search-algorithms">Kept.</section>', "Kept."),
+    ('<div class="topic social-science">Kept.</div>', "Kept."), ('<div id="legal">Kept.</div>', "Kept."),
+    ('<ul><li><a href="x">One</a></li><li><a href="y">two</a></li></ul>', "One two"), ("<!-->a<p>b<!-- c --!>d", "a bd"),
+    ('<div class="comments">Gone.</div>', ""), ("<div class='share-buttons'>Gone.</div>", ""), ("<div class=ad>Gone.</div>", ""),
+    ('<div id="related_posts">Gone.</div>', ""), ("<p hidden>Gone.</p>", ""), ('<p title=hidden id="k">Kept.</p>', "Kept."),
+])
+def test_words_of_attributes_decide_only_where_they_name_a_part(inside, text):
+    assert html_extraction.main_text(f"<article title='the hidden story'>{inside}{PROSE}</article>") == f"{text} {READ}".strip()
+
+
+def test_paths_decide_where_no_element_does():
+    """Without an article and without names, long punctuated text tells content from captions."""
+    captions = "".join(f"<table><tr><td>Item {i}</td><td>{i}</td></tr></table>" for i in range(12))
+    page = f"<body><div><span>Home</span></div><div>{captions}</div><div>{PROSE * 3}</div><div>{captions}</div></body>"
+    assert html_extraction.main_text(page) == " ".join([READ] * 3)
+
+
+@pytest.mark.parametrize("page, length", [
+    ("<div>x" * 50_000, 99_999), ("<b>" * 20_000 + "y" + "</i>" * 20_000, 1), ("<li><div>" + "<b>" * 20_000 + "<li>z" * 20_000, 39_999),
+    ("<p>" + "<b>" * 20_000 + "<p>z" * 3000, 5999),
+])
+def test_deep_pages_take_seconds(page, length):
+    started = time.perf_counter()
+    assert len(html_extraction.main_text(page)) == length
+    assert time.perf_counter() - started < 20
+
+
 def test_pages(spark):
     rows = [(1, "u", "<p>a, b.</p>"), (1, "u", "<p>a, b.</p>"), (None, None, "<p>é😀</p>"), (2, "v", None), (3, None, ""), (4, "w", "<div>" * 5000 + "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'t' AS text", "1 AS n_chars")

@@ -1,8 +1,9 @@
 """Personal data in whole texts by weak supervision.
 
 Patterns propose spans; labelers of three sorts vote on each: patterns and check digits, gazetteers, and words around it. How far each labeler can be
-relied on is estimated by expectation-maximisation from how they agree over the whole corpus, which only needs the
-number of spans with each combination of votes. A classifier trained on the resulting labels decides on each span.
+relied on for each kind is estimated by expectation-maximisation from how they agree over the whole corpus; a prior that labelers are better than chance, and
+rules that no personal span breaks, say which way is up. A classifier of the votes and of what a span and its surroundings look like is trained on the
+resulting labels and decides on each span. All of this only needs the number of spans with each combination of votes and looks.
 Spans of the base kinds that pass their rules always count; the classifier adds others.
 """
 
@@ -13,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starkit.llm.common import batch_of, map_arrow
@@ -23,12 +24,22 @@ BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "national", "iban", "local", "name")
 LABELERS = ("pattern", "gazetteer", "context", "edge")
 YES, NO, SILENT = 1, 0, 2
+VOTES = 3 ** len(LABELERS)
 #: Characters on either side in which context words are looked for.
 AROUND = 40
 #: Spans with this probability or more are added.
 ADD_FROM = 0.9
 
-# Gazetteers and context words.
+#: Kinds whose check digits or number ranges every true span passes: a candidate that fails them is a known negative.
+CHECKED = ("card", "phone", "national", "iban")
+#: Weight of the prior on a labeler's rates for a kind, as a share of the kind's spans, and at least so many spans.
+PRIOR_SHARE, PRIOR_SPANS = 0.02, 20.0
+#: Rates of votes for no, yes and silent that the prior has: of spans that are not personal, and of those that are.
+PRIOR_RATES = ((0.55, 0.15, 0.30), (0.05, 0.65, 0.30))
+#: How many values each feature of a span has: length, separators, what stands before it and after it.
+LOOKS = (4, 2, 4, 3)
+
+# Gazetteers and context words; choices, not parts of the contract.
 TOP_DOMAINS = set("com org net edu gov info biz io de fr es it nl at ch be eu uk us ca au jp cn in br mx pl se no dk fi pt ru".split())
 CARD_PREFIXES = re.compile(r"4|5[1-5]|2[2-7]|3[47]|36|38|30|35|6011|65|50|5[6-9]|6")
 TITLES = "Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra"
@@ -136,6 +147,20 @@ def edges(text: str, start: int, end: int) -> int:
     return NO if touches else YES
 
 
+def looks(text: str, start: int, end: int) -> int:
+    """Code of the features of a span: length, separators within, the last character before it and the first after it."""
+    size = sum(end - start > limit for limit in (10, 16, 24))
+    parted = any(c in " -()/" for c in text[start:end])
+    before = text[max(0, start - 4) : start].rstrip(" ")[-1:]
+    preceded = 0 if before in ("", "\n") else 1 if before.isalnum() else 2 if before in ":=(<\"'[" else 3
+    after = text[end : end + 1]
+    followed = 0 if after in ("", " ", "\n", "\t", "\r") else 1 if after.isalnum() else 2
+    code = 0
+    for value, values in zip((size, int(parted), preceded, followed), LOOKS):
+        code = code * values + value
+    return code
+
+
 def spans_of(text: str | None) -> list[tuple[int, int, int, bool, int]]:
     """start, rank of the kind, end, whether it is a base span, and the code of the votes, of each candidate."""
     if not text:
@@ -158,7 +183,7 @@ def spans_of(text: str | None) -> list[tuple[int, int, int, bool, int]]:
         if kind == "ip" and not passed:
             continue
         votes = (YES if passed else NO, listed(kind, match), around(kind, text, start, end), edges(text, start, end))
-        code = sum(vote * 3**i for i, vote in enumerate(votes))
+        code = sum(vote * 3**i for i, vote in enumerate(votes)) + VOTES * looks(text, start, end)
         judged.append((start, rank, end, passed and kind in BASE, code))
     return sorted(judged)
 
@@ -167,62 +192,84 @@ def votes_of(code: int) -> list[int]:
     return [code // 3**i % 3 for i in range(len(LABELERS))]
 
 
+def looks_of(code: int) -> list[int]:
+    rest, found = code // VOTES, []
+    for values in reversed(LOOKS):
+        rest, value = divmod(rest, values)
+        found.append(value)
+    return found[::-1]
+
+
 class LabelModel:
-    """Reliabilities of the labelers and the classifier trained on their labels; both are fitted on counts of vote combinations."""
+    """Reliabilities of the labelers and the classifier trained on their labels; both are fitted on counts of combinations of kind, votes and looks."""
 
-    def __init__(self, counts: dict[tuple[int, int], int], steps: int = 100):
+    def __init__(self, counts: dict[tuple[int, int], int], steps: int = 200):
         self.combinations = sorted(counts)
         self.weights = np.array([counts[c] for c in self.combinations], float)
         self.votes = np.array([votes_of(code) for _, code in self.combinations], int).reshape(-1, len(LABELERS))
+        self.looks = np.array([looks_of(code) for _, code in self.combinations], int).reshape(-1, len(LOOKS))
         self.kinds = np.array([rank for rank, _ in self.combinations], int)
         self.posterior = self._expectation_maximisation(steps)
         self.coefficients = self._classifier()
 
     def _expectation_maximisation(self, steps: int) -> np.ndarray:
-        """Probability that a span with each combination is personal; labelers err independently of each other."""
-        # rows: no, yes; columns: votes for no, yes, silent. Labelers are taken to be better than chance at first.
-        rates = np.tile(np.array([[0.5, 0.2, 0.3], [0.1, 0.6, 0.3]]), (len(LABELERS), 1, 1))
+        """Probability that a span with each combination is personal; labelers err independently of each other, each in its own way for each kind."""
+        checked = np.isin(self.kinds, [KINDS.index(kind) for kind in CHECKED])
+        known = checked & (self.votes[:, LABELERS.index("pattern")] == NO)
+        size = np.array([self.weights[self.kinds == rank].sum() for rank in range(len(KINDS))])
+        pseudo = np.maximum(PRIOR_SPANS, PRIOR_SHARE * size)[:, None, None, None] * np.array(PRIOR_RATES)[None, None]
+        # kind, labeler, side (no, yes), vote
+        rates = np.tile(np.array(PRIOR_RATES), (len(KINDS), len(LABELERS), 1, 1))
         prior = np.full(len(KINDS), 0.5)
         posterior = np.full(len(self.weights), 0.5)
         for _ in range(steps):
-            logs = np.stack([1 - prior, prior])[:, self.kinds]
-            logs = np.log(np.clip(logs, 1e-6, 1))
+            logs = np.log(np.clip(np.stack([1 - prior, prior])[:, self.kinds], 1e-6, 1))
             for labeler in range(len(LABELERS)):
-                logs = logs + np.log(rates[labeler][:, self.votes[:, labeler]])
+                logs = logs + np.log(rates[self.kinds, labeler, :, self.votes[:, labeler]].T)
             before = posterior
-            posterior = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -50, 50)))
+            posterior = np.where(known, 0.0, 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -50, 50))))
             sides = np.stack([(1 - posterior) * self.weights, posterior * self.weights])
+            counted = np.broadcast_to(pseudo, rates.shape).copy()
             for labeler in range(len(LABELERS)):
-                for vote in range(3):
-                    rates[labeler][:, vote] = sides[:, self.votes[:, labeler] == vote].sum(1) + 1
-                rates[labeler] /= rates[labeler].sum(1, keepdims=True)
+                for side in range(2):
+                    np.add.at(counted, (self.kinds, labeler, side, self.votes[:, labeler]), sides[side])
+            rates = counted / counted.sum(-1, keepdims=True)
             for rank in range(len(KINDS)):
-                own = sides[:, self.kinds == rank].sum(1)
+                # the prior share of known negatives says nothing about the others
+                own = sides[:, (self.kinds == rank) & ~known].sum(1)
                 prior[rank] = (own[1] + 1) / (own.sum() + 2)
             if len(before) == 0 or np.abs(posterior - before).max() < 1e-6:
                 break
-        self.rates = rates
+        #: By kind, labeler, side and vote, and over all kinds.
+        self.rates_of_kind, self.rates = rates, np.average(rates, axis=0, weights=size + 1e-9)
         return posterior
 
-    def _features(self) -> np.ndarray:
-        said = [(self.votes == vote).astype(float) for vote in (NO, YES)]
-        kinds = (self.kinds[:, None] == np.arange(len(KINDS))).astype(float)
-        return np.hstack([*said, kinds])
+    #: Columns of the classifier for the kind, for each labeler's votes on each kind, and for each look.
+    WIDTHS = (len(KINDS), *[3 * len(KINDS)] * len(LABELERS), *LOOKS)
 
-    def _classifier(self, steps: int = 500, penalty: float = 1e-3) -> np.ndarray:
-        """Logistic regression of the estimated labels on votes and kinds, by gradient steps over all combinations."""
+    def _features(self) -> np.ndarray:
+        one_hot = lambda values, n: (values[:, None] == np.arange(n)).astype(float)
+        parts = [one_hot(self.kinds, len(KINDS))]
+        parts += [one_hot(self.kinds * 3 + self.votes[:, i], 3 * len(KINDS)) for i in range(len(LABELERS))]
+        parts += [one_hot(self.looks[:, i], n) for i, n in enumerate(LOOKS)]
+        return np.hstack(parts)
+
+    def _classifier(self, steps: int = 200, penalty: float = 1e-5) -> np.ndarray:
+        """Logistic regression of the estimated labels on kind, votes and looks, by Newton steps over all combinations."""
         features = self._features()
         coefficients = np.zeros(features.shape[1])
         if not len(features):
             return coefficients
-        weights = self.weights / self.weights.sum()
+        # each kind counts as much as any other, however rare it is
+        size = np.array([self.weights[self.kinds == rank].sum() for rank in range(len(KINDS))])
+        weights = self.weights / size[self.kinds] / (size > 0).sum()
         for _ in range(steps):
-            predicted = 1 / (1 + np.exp(-features @ coefficients))
+            predicted = 1 / (1 + np.exp(-np.clip(features @ coefficients, -50, 50)))
             slope = features.T @ (weights * (predicted - self.posterior)) + penalty * coefficients
             curve = (features * (weights * predicted * (1 - predicted))[:, None]).T @ features
             step = np.linalg.solve(curve + (penalty + 1e-6) * np.eye(len(coefficients)), slope)
-            coefficients -= step
-            if np.abs(step).max() < 1e-8:
+            coefficients -= np.clip(step, -2, 2)
+            if np.abs(step).max() < 1e-6:
                 break
         return coefficients
 
@@ -230,6 +277,20 @@ class LabelModel:
         scores = 1 / (1 + np.exp(-self._features() @ self.coefficients))
         return dict(zip(self.combinations, scores.tolist()))
 
+    def score(self, rank: Column, code: Column) -> Column:
+        """The classifier's log odds of a span, as built-in functions."""
+        ends = np.cumsum(self.WIDTHS)
+        tables = [F.array(*map(F.lit, part.tolist())) for part in np.split(self.coefficients, ends[:-1])]
+        digit = lambda value, by, n: F.pmod(F.floor(value / by), F.lit(n)).cast("int")
+        total = F.get(tables[0], rank)
+        for i in range(len(LABELERS)):
+            total += F.get(tables[1 + i], rank * 3 + digit(code, 3**i, 3))
+        by = VOTES
+        for i, n in reversed(list(enumerate(LOOKS))):
+            total += F.get(tables[1 + len(LABELERS) + i], digit(code, by, n))
+            by *= n
+        return total
+
 
 SPAN = "struct<start:int,rank:int,end:int,base:boolean,code:int>"
 
@@ -253,7 +314,7 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def label_model(found: DataFrame) -> LabelModel:
-    """Fitted on the number of spans of each kind with each combination of votes: 8 times 81 rows at most."""
+    """Fitted on the number of spans of each kind with each combination of votes and looks: 8 times 81 times 96 rows at most."""
     spans = found.select(F.explode("spans").alias("s")).groupBy("s.rank", "s.code").count()
     return LabelModel({(row["rank"], row["code"]): row["count"] for row in spans.collect()})
 
@@ -266,10 +327,10 @@ def find(docs: DataFrame, add_from: float = ADD_FROM) -> DataFrame:
     results; other columns are ignored; no rows give no rows.
     """
     found = candidates(docs)
-    likely = [combination for combination, p in label_model(found).probabilities().items() if p >= add_from]
-    chosen = F.array(*(F.lit(rank * 1000 + code) for rank, code in likely)) if likely else F.array().cast("array<int>")
+    model = label_model(found)
+    odds = float(np.log(add_from / (1 - add_from)))
     base = F.filter("spans", lambda s: s["base"])
-    further = F.filter("spans", lambda s: ~s["base"] & F.array_contains(chosen, s["rank"] * 1000 + s["code"]))
+    further = F.filter("spans", lambda s: ~s["base"] & (model.score(s["rank"], s["code"]) >= F.lit(odds)))
     apart = F.filter("further", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     kinds = F.array(*(F.lit(kind) for kind in KINDS))
 

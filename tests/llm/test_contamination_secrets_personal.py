@@ -223,3 +223,29 @@ def test_labelers_are_told_apart_by_their_agreement():
         share = truth_of[combination][1] / counts[combination]
         assert (p >= 0.5) == (share >= 0.5)
     assert personal_data.LabelModel({}).probabilities() == {} and len(LONG) > 0
+
+
+def test_the_label_model_is_the_right_way_up(spark):
+    """On the given tables, valid mails, cards, phones and addresses are likely, numbers that fail their check digits are not."""
+    found = personal_data.candidates(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    model = personal_data.label_model(found)
+    spans = found.select(F.explode("spans").alias("s")).select("s.*", model.score(F.col("s.rank"), F.col("s.code")).alias("odds"))
+    likely = spans.withColumn("p", 1 / (1 + F.exp(-F.col("odds"))))
+    report = {row["rank"]: row for row in likely.where("base").groupBy("rank").agg(F.min("p").alias("p"), F.count("*").alias("n")).collect()}
+    assert all(report[rank]["p"] >= 0.9 and report[rank]["n"] > 100 for rank in range(4))
+    failed = likely.where((F.col("rank") == personal_data.KINDS.index("card")) & ~F.col("base"))
+    assert failed.count() > 100 and failed.agg(F.max("p")).first()[0] < 0.1
+    # the score of the plan is that of the model
+    odds = {(row["rank"], row["code"]): row["odds"] for row in spans.select("rank", "code", "odds").distinct().collect()}
+    assert all(abs(1 / (1 + np.exp(-odds[c])) - p) < 1e-9 for c, p in model.probabilities().items())
+
+
+def test_added_spans_are_those_of_the_classifier(spark):
+    """Local numbers, account numbers and names that no base rule knows, in texts of which most hold base spans."""
+    texts = [f"write to a{i}@b.example.com or call +1 (555) 010-{1000 + i} now" for i in range(60)]
+    texts += [f"call (555) 010-{2000 + i} today" for i in range(20)] + ["bank account DE89 3704 0044 0532 0130 00 please", "order DE12 3704 0044 0532 0130 00 no"]
+    rows = [(i, text, None, None, None) for i, text in enumerate(texts)]
+    found = {row["doc_id"]: row for row in personal_data.find(documents(spark, rows, extra=False)).collect()}
+    kinds = {i: [span["kind"] for span in row["spans"]] for i, row in found.items()}
+    assert all(kinds[i] == ["email", "phone"] for i in range(60)) and all(kinds[i] == ["local"] for i in range(60, 80))
+    assert kinds[80] == ["iban"] and kinds[81] == []

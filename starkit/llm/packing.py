@@ -101,6 +101,10 @@ class Pool:
         return chosen
 
 
+#: Share of a sequence that may stay empty before it is cut into powers of two.
+SPARE = 1 / 64
+
+
 def in_powers(pieces: list[Piece]) -> Iterator[list[Piece]]:
     """The same ids in sequences whose lengths are falling powers of two."""
     waiting = pieces[::-1]
@@ -124,8 +128,8 @@ def pack(docs: DataFrame, tokenizer: str, limits: Limits, end_id: int = 1, loss_
     Ids of a text are followed by ``end_id``. ``loss_column`` names a column with the number of last
     tokens that bear loss (instruction data: the answer); without it all tokens do. Each id is in one piece.
 
-    A task packs its own rows with a bounded pool, so nothing is shuffled. What is left at its end goes
-    into sequences whose lengths are powers of two, which need no padding. The pieces are written once, so that
+    A task packs its own rows with a bounded pool, so nothing is shuffled. What is left at its end, and a sequence that another limit than that
+    on tokens has closed, goes into sequences whose lengths are powers of two, which need no padding. The pieces are written once, so that
     a task that is run again cannot number them anew.
 
     Null text: the end id alone. Null doc_id and repeated rows: documents like others. Null loss: 0.
@@ -149,6 +153,11 @@ def pack(docs: DataFrame, tokenizer: str, limits: Limits, end_id: int = 1, loss_
                 offset += len(piece)
             sequence_id += 1
 
+        def close(chosen: list[Piece], last: bool = False) -> None:
+            spare = limits.tokens - sum(map(len, chosen))
+            for sequence in in_powers(chosen) if last or spare > limits.tokens * SPARE else [chosen]:
+                emit(sequence)
+
         def written() -> pa.RecordBatch:
             columns = list(zip(*rows)) or [[]] * 7
             names = [field.split()[0] for field in PIECES.split(", ")]
@@ -168,12 +177,10 @@ def pack(docs: DataFrame, tokenizer: str, limits: Limits, end_id: int = 1, loss_
                         continue
                     pool.add(front)
                     if len(pool) >= POOL:
-                        emit(pool.sequence())
+                        close(pool.sequence())
             yield written()
         while len(pool):
-            chosen = pool.sequence()
-            for sequence in [chosen] if len(pool) else in_powers(chosen):
-                emit(sequence)
+            close(pool.sequence(), last=not len(pool))
         yield written()
 
     loss = F.lit(None).cast("long") if loss_column is None else F.coalesce(F.col(loss_column).cast("long"), F.lit(0))

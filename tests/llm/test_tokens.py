@@ -153,3 +153,43 @@ def test_token_counts(spark, table):
     assert Counter(tuples(found, "doc_id", "n_bytes", "n_tokens", "over_limit")) == wanted
     assert token_counts.count(documents(spark, []), PIECE, 100, table).count() == 0
     assert len(LONG) > 100_000
+
+
+@pytest.mark.parametrize("words", [1, 6])
+def test_short_texts_are_packed_without_padding(spark, words):
+    """Thousands of documents of a few ids: the limit on segments closes sequences, which then end at powers of two."""
+    rows = [(i, " ".join(["a"] * (i % words + 1)), None, None, None) for i in range(6000)]
+    limits = packing.Limits(tokens=2048, segments=128, loss_tokens=2048)
+    pieces = packing.pack(documents(spark, rows, extra=False).coalesce(2), BYTE, limits, end_id=1).collect()
+    lengths = defaultdict(int)
+    for piece in pieces:
+        lengths[piece["sequence_id"]] += piece["length"]
+    rooms = [n if n & (n - 1) == 0 else 2048 for n in lengths.values()]
+    assert sum(lengths.values()) == sum(len(ids_of(row[1])) + 1 for row in rows)
+    assert sum(rooms) - sum(lengths.values()) <= 0.02 * sum(rooms)
+    assert max(Counter(piece["sequence_id"] for piece in pieces).values()) <= 128
+
+
+def test_loss_demands_place_examples_as_first_fit_cannot(spark):
+    """Examples with long questions and long answers: a sequence is filled under both limits at once."""
+    chosen = random.Random(4)
+    answers = [chosen.choice([10, 250]) for _ in range(1500)]
+    rows = [(i, " ".join(["a"] * 300), None, None, n) for i, n in enumerate(answers)]
+    limits = packing.Limits(tokens=2048, segments=64, loss_tokens=1024)
+    pieces = packing.pack(documents(spark, rows, extra=False).coalesce(1), BYTE, limits, end_id=1, loss_column="n_chars").collect()
+    loss, used = defaultdict(int), defaultdict(int)
+    for piece in pieces:
+        used[piece["sequence_id"]] += piece["length"]
+        quiet = piece["doc_tokens"] - min(answers[piece["doc_id"]], piece["doc_tokens"])
+        loss[piece["sequence_id"]] += max(0, piece["start"] + piece["length"] - max(piece["start"], quiet))
+    assert max(loss.values()) <= 1024 and max(used.values()) <= 2048
+    first_fit, sizes = [], [len(ids_of(rows[0][1])) + 1] * len(rows)
+    for size, answer in zip(sizes, answers):
+        for bin_ in first_fit:
+            if bin_[0] + size <= 2048 and bin_[1] + answer <= 1024:
+                bin_[0], bin_[1] = bin_[0] + size, bin_[1] + answer
+                break
+        else:
+            first_fit.append([size, answer])
+    room = lambda lengths: sum(n if n & (n - 1) == 0 else 2048 for n in lengths)
+    assert room(used.values()) < room([n for n, _ in first_fit])

@@ -83,11 +83,28 @@ WITH doc AS (
   SELECT k, count(DISTINCT pos) AS n_hit, count(DISTINCT item_id) AS n_items,
          string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS items
   FROM (SELECT k, item_id, unnest(generate_series(i, i + n - 1)) AS pos FROM hit) GROUP BY k
+), item_text AS (
+  SELECT row_number() OVER (ORDER BY item_id, w) AS tid, item_id, w FROM (SELECT DISTINCT item_id, w FROM item WHERE item_id IS NOT NULL AND len(w) > 0)
+), occurrence AS (
+  SELECT k, word, pos FROM (SELECT k, unnest(w) AS word, unnest(generate_series(1, len(w))) AS pos FROM doc)
+  WHERE word IN (SELECT unnest(w) FROM item_text)
+), rare AS (
+  SELECT tid, item_id, word, row_number() OVER (PARTITION BY tid ORDER BY coalesce(n, 0), word) AS i
+  FROM (SELECT DISTINCT tid, item_id, unnest(w) AS word FROM item_text) LEFT JOIN (SELECT word, count(*) AS n FROM occurrence GROUP BY word) USING (word)
+  QUALIFY i <= 4
+), close_by AS (
+  SELECT a.tid, a.item_id, o.k, o.pos, count(DISTINCT b.word) AS n
+  FROM rare a JOIN occurrence o ON a.i = 1 AND a.word = o.word
+  JOIN rare b ON a.tid = b.tid JOIN occurrence p ON p.k = o.k AND p.word = b.word AND abs(p.pos - o.pos) <= 20
+  GROUP BY ALL
+), near AS (
+  SELECT k, count(DISTINCT item_id) AS n_near
+  FROM close_by JOIN (SELECT tid, count(*) AS terms FROM rare GROUP BY tid) USING (tid) WHERE n = terms GROUP BY k
 )
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
-FROM doc LEFT JOIN summed USING (k)
+FROM doc LEFT JOIN summed USING (k) LEFT JOIN near USING (k)
 """
 
 
@@ -96,7 +113,8 @@ def op4_positional_index_decontamination(spark: SparkSession, sf_dir: str) -> Da
     found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("items", ","), 256)
     return found.select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), "contaminated"
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), "contaminated",
+        F.size("near").cast("long").alias("n_near"),
     )
 
 

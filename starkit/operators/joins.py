@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starkit.functions.keys import any_null
@@ -22,13 +23,58 @@ def equal_on(left: DataFrame, right: DataFrame, on: Mapping[str, str], null_safe
     return condition
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: str = "inner") -> DataFrame:
-    """Equi-join in which null matches null. Spark plans it as an equi-join, with no cross product.
+#: Pairs that a key may make in one task.
+GROUP_PAIRS = 50_000_000
 
-    Rows with a null key meet each other m x n, as any other repeated key does;
-    ``null_fan_out`` says how many rows that gives.
+
+def null_safe_join(
+    left: DataFrame, right: DataFrame, on: Mapping[str, str], how: str = "inner", group_pairs: int = GROUP_PAIRS
+) -> DataFrame:
+    """Equi-join in which null matches null: inner, left, right or full. Spark plans it as an equi-join, with no cross product.
+
+    Rows with a null key meet each other m x n, as any other repeated key does (``null_fan_out`` says how many rows nulls give). Keys, null or not, that make more than
+    ``group_pairs`` pairs are counted before anything is joined, and are split: the rows of the side that has more of them are
+    dealt over as many parts as the pairs need, the other side's rows go to each part. As such keys are on both sides, none of their rows
+    is without a partner, whatever the kind of join.
     """
-    return left.join(right, equal_on(left, right, on, null_safe=True), how)
+    hot = _hot_pairs(left, right, on, group_pairs)
+    found = hot.agg(F.count(F.lit(1)), F.max("_parts")).first()
+    if not found[0]:
+        return left.join(right, equal_on(left, right, on, null_safe=True), how)
+    sides = []
+    for df, columns in ((left, list(on)), (right, list(on.values()))):
+        named = hot.select(*[F.col(f"_k{i}").alias(f"_h{i}") for i in range(len(on))], "_parts", "_split_left")
+        # at most all pairs / group_pairs keys
+        marked = df.join(F.broadcast(named), equal_on(df, named, {c: f"_h{i}" for i, c in enumerate(columns)}, null_safe=True), "left")
+        sides.append(marked.drop(*[f"_h{i}" for i in range(len(on))]))
+    cold_left, cold_right = (side.where(F.col("_parts").isNull()).select(*df.columns) for side, df in zip(sides, (left, right)))
+    cold = cold_left.join(cold_right, equal_on(cold_left, cold_right, on, null_safe=True), how)
+    parts = []
+    for side, df, splits in zip(sides, (left, right), (F.col("_split_left"), ~F.col("_split_left"))):
+        dealt = F.array(F.pmod(F.monotonically_increasing_id(), F.col("_parts")))
+        every = F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)
+        held = side.where(F.col("_parts").isNotNull()).withColumn("_dealt", F.when(splits, dealt).otherwise(every))
+        parts.append(held.select(*df.columns, F.explode("_dealt").alias("_part")))
+    parts[1] = parts[1].withColumnRenamed("_part", "_part_of")
+    met = parts[0].join(parts[1], equal_on(*parts, on, null_safe=True) & (F.col("_part") == F.col("_part_of")))
+    kept = [parts[0][c] for c in left.columns] + [parts[1][c] for c in right.columns]
+    return cold.unionAll(met.select(*kept))
+
+
+def _hot_pairs(left: DataFrame, right: DataFrame, on: Mapping[str, str], group_pairs: int) -> DataFrame:
+    """Keys with more than ``group_pairs`` pairs, into how many parts they go, and which side is split. Counts are combined before they are shuffled."""
+    names = [f"_k{i}" for i in range(len(on))]
+    counts = []
+    for df, columns, n in ((left, on, "_left"), (right, on.values(), "_right")):
+        keys = df.select(*[F.col(c).alias(name) for c, name in zip(columns, names)])
+        counts.append(keys.groupBy(*names).agg(F.count(F.lit(1)).alias(n)))
+    both = counts[0].join(counts[1], equal_on(*counts, {name: name for name in names}, null_safe=True))
+    pairs = F.col("_left").cast("double") * F.col("_right")
+    found = both.where(pairs > group_pairs).select(
+        *[counts[0][name] for name in names], (F.col("_left") >= F.col("_right")).alias("_split_left"),
+        F.least(F.ceil(pairs / group_pairs), F.greatest("_left", "_right")).alias("_parts"),
+    )
+    return stage(found, "hot-pairs")
 
 
 def null_fan_out(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> DataFrame:
@@ -43,6 +89,67 @@ def null_fan_out(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> Da
     return counts.withColumn("null_pairs", F.col("left_nulls") * F.col("right_nulls"))
 
 
+#: Bits of a member filter for each member, and words of 64 bits that it has at least.
+FILTER_BITS, LEAST_WORDS = 16, 64
+_WORD_BYTES = 64  # of a word with its number in a broadcast
+
+
+def filter_words(members: int) -> int:
+    """Words of a filter for so many members: a power of two."""
+    return max(LEAST_WORDS, 1 << (max(members, 1) * FILTER_BITS // 64).bit_length())
+
+
+def _filter_place(keys: Sequence[str], words: int) -> tuple[Column, Column]:
+    """The word of a key and its four bits in it."""
+    bits = F.xxhash64(F.lit(1), *keys)
+    one = F.lit(1).cast("bigint")
+    places = [F.shiftright(bits, 6 * i).bitwiseAND(F.lit(63).cast("bigint")).cast("int") for i in range(4)]
+    mask = reduce(lambda a, b: a.bitwiseOR(b), [F.call_function("shiftleft", one, place) for place in places])
+    return F.pmod(F.xxhash64(F.lit(0), *keys), F.lit(words)), mask
+
+
+def member_filter(dim: DataFrame, keys: Sequence[str], limit: int = BROADCAST_BYTES) -> tuple[DataFrame, int] | None:
+    """A Bloom filter over the members of ``dim``, sized by their measured number, as rows (_word, _bits), and its words.
+
+    None if a filter for them would not fit ``limit`` bytes.
+    """
+    members = dim.select(*keys).dropna()
+    words = filter_words(members.count())
+    if words * _WORD_BYTES > limit:
+        return None
+    word, mask = _filter_place(keys, words)
+    return stage(members.groupBy(word.alias("_word")).agg(F.bit_or(mask).alias("_bits")), "member-filter"), words
+
+
+def join_members(
+    fact: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Sequence[str], how: str = "left", limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Facts with what is taken from a dimension that is too large to be broadcast; facts without a member are not shuffled.
+
+    A filter of the members tells most of those facts apart in the input tasks, and facts with a null key all; they stay where they are. The
+    others, with the few that the filter lets through, meet the members by a join, which decides. ``on`` must be unique in ``dim``. The
+    fact is read twice, so it should be a table rather than a plan that is dear. If no filter fits ``limit`` it is a plain join.
+    """
+    ours = list(on)
+    named = dim.select(*[F.col(theirs).alias(f"_on{i}") for i, theirs in enumerate(on.values())], *[F.col(c).alias(f"_t_{c}") for c in take])
+    matched = {c: f"_on{i}" for i, c in enumerate(ours)}
+    shown = [*[F.col(c) for c in fact.columns], *[F.col(f"_t_{c}").alias(c) for c in take]]
+    found = member_filter(named, list(matched.values()), limit)
+    if found is None:
+        return fact.join(named, equal_on(fact, named, matched), how).select(*shown)
+    bits, words = found
+    word, mask = _filter_place(ours, words)
+    looked = fact.withColumns({"_at": word, "_mask": mask}).join(F.broadcast(bits), F.col("_at") == F.col("_word"), "left")
+    maybe = F.coalesce(F.col("_bits").bitwiseAND(F.col("_mask")) == F.col("_mask"), F.lit(False)) & ~any_null([F.col(c) for c in ours])
+    looked = looked.withColumn("_maybe", maybe)
+    near = looked.where("_maybe").select(*fact.columns)
+    joined = near.join(named, equal_on(near, named, matched), how).select(*shown)
+    if how == "inner":
+        return joined
+    nothing = [F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in take]
+    return joined.unionByName(looked.where("NOT _maybe").select(*fact.columns, *nothing))
+
+
 @dataclass(frozen=True)
 class Side:
     """A dimension to join: its unique columns (``fact column -> dimension column``) and what to take."""

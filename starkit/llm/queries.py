@@ -146,10 +146,11 @@ WITH doc AS (
      OR (regexp_matches(value, '[0-9]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]')
          AND NOT EXISTS (SELECT 1 FROM held o WHERE o.k = h.k AND o.kind <> 'key' AND o.a < h.b AND h.a < o.b))
 ), known AS (
-  SELECT value, count(DISTINCT owner) AS owners FROM found GROUP BY value
+  SELECT value, count(DISTINCT found.owner) >= {secret_scan.EXAMPLE_OWNERS}
+                OR count(DISTINCT coalesce(CAST(doc_id AS VARCHAR), '')) >= {secret_scan.EXAMPLE_REPOSITORIES} AS example
+  FROM found JOIN doc USING (k) GROUP BY value
 ), judged AS (
-  SELECT found.*, owners >= {secret_scan.EXAMPLE_OWNERS} AS example,
-         owners < {secret_scan.EXAMPLE_OWNERS} AND regexp_matches(value, '[0-9]')
+  SELECT found.*, example, NOT example AND regexp_matches(value, '[0-9]')
            AND len(list_distinct(regexp_extract_all(value, '.'))) >= {secret_scan.LIVE_CHARS} AS live
   FROM found JOIN known USING (value)
 ), summed AS (

@@ -1,8 +1,8 @@
 """Secrets in whole texts, told apart by who owns the text they stand in.
 
 Built-in functions only. Candidates are cut out of each text once and written; their hashes are counted by distinct repositories and
-owners over the corpus. A value that several owners have is an example that was copied; a random-looking value
-of one owner is taken for live. Candidates of the base kinds always count; further ones, of no base kind, count where they look live.
+owners over the corpus. A value that several owners have, or that an owner has in many repositories, is an example that was copied; a
+random-looking value of one owner and few repositories is taken for live. Candidates of the base kinds always count; further ones, of no base kind, count where they look live.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starkit.operators.joins import Side, to_dimensions
 from starkit.session import stage
 
 #: The base kinds in order, then the further one.
@@ -30,29 +31,61 @@ BASE = ("assign", "access", "hex")
 #: What a text must hold for a kind to be there at all: cheap to look for.
 HINTS = {"assign": "[:=]", "access": "AKIA"}
 LEAST = {"assign": 8, "access": 16, "hex": 32, "key": 24}
-#: A value of so many owners is an example.
-EXAMPLE_OWNERS = 3
+#: A value of so many owners, or in so many repositories whoever owns them, is an example.
+EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES = 3, 20
 #: Different characters that a live-looking value has at least.
 LIVE_CHARS = 8
 
 
+#: Elements that a running total is made over at a time.
+CHUNK = 256
+
+
+def running_totals(numbers: Column) -> Column:
+    """For each of an array of numbers the sum up to it. Totals are made within chunks, then over chunks, so no long array is copied for each element."""
+
+    def totals(values: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        add = lambda s, x: F.struct((s["at"] + x).alias("at"), F.array_append(s["out"], s["at"] + x).alias("out"))
+        return F.aggregate(values, start, add, lambda s: s["out"])
+
+    def chunked(values: Column) -> Column:
+        places = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / CHUNK).cast("int"))
+        within = F.transform(places, lambda i: totals(F.slice(values, i * CHUNK + 1, F.lit(CHUNK))))
+        return F.when(F.size(values) > 0, _let(within, joined)).otherwise(F.array().cast("array<int>"))
+
+    def joined(parts: Column) -> Column:
+        return _let(totals(F.transform(parts, lambda part: F.element_at(part, -1))), lambda before: shifted(parts, before))
+
+    def shifted(parts: Column, before: Column) -> Column:
+        return F.flatten(F.transform(parts, lambda part, i: F.transform(part, lambda x: x + F.when(i > 0, F.get(before, i - 1)).otherwise(0))))
+
+    return _let(numbers, chunked)
+
+
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _spans(text: Column, kind: str, rank: int) -> Column:
     """start, rank, end, kind, value of all matches, failing ones dropped: positions add up lengths of matches and of what is between."""
-    pattern = F.lit(PATTERNS[kind])
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    pairs = F.slice(F.arrays_zip(F.split(text, PATTERNS[kind], -1).alias("gap"), found.alias("match")), F.lit(1), F.size(found))
+    found = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
     empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,value:string>>")
 
-    def add(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["match"])
+    def placed(matches: Column) -> Column:
+        pairs = F.slice(F.arrays_zip(F.split(text, PATTERNS[kind], -1).alias("gap"), matches.alias("match")), F.lit(1), F.size(matches))
+        ends = running_totals(F.transform(pairs, lambda p: F.length(p["gap"]) + F.length(p["match"])))
+        return F.transform(F.arrays_zip(matches.alias("match"), ends.alias("end")), span)
+
+    def span(pair: Column) -> Column:
         value = F.regexp_extract(pair["match"], PATTERNS[kind], 2) if kind == "assign" else pair["match"]
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), value.alias("value"))
-        held = F.when(F.length(value) >= LEAST[kind], F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct(end.alias("at"), held.alias("spans"))
+        return F.struct(
+            (pair["end"] - F.length(pair["match"])).alias("start"), F.lit(rank).alias("rank"), pair["end"].alias("end"),
+            F.lit(kind).alias("kind"), value.alias("value"),
+        )
 
-    start = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
-    cut = F.aggregate(pairs, start, add, lambda state: state["spans"])
+    cut = F.filter(_let(found, placed), lambda s: F.length(s["value"]) >= LEAST[kind])
     there = text.rlike(PATTERNS[kind])
     return F.when((text.rlike(HINTS[kind]) & there) if kind in HINTS else there, cut).otherwise(empty)
 
@@ -82,7 +115,13 @@ def ownership(found: DataFrame) -> DataFrame:
     return owners.join(places, "hash")
 
 
-def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+def scan(
+    docs: DataFrame,
+    owner: str = "source",
+    repository: str = "doc_id",
+    example_owners: int = EXAMPLE_OWNERS,
+    example_repositories: int = EXAMPLE_REPOSITORIES,
+) -> DataFrame:
     """For each row of ``docs`` (doc_id, text, owner, repository): row, doc_id, text_hash, base, spans, n_live, n_example.
 
     base: the spans of the base kinds (start, rank, end, kind, value); spans: those and the further ones that look live, in order. n_live and
@@ -93,10 +132,14 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", exa
     found = candidates(docs, owner, repository)
     known = ownership(found)
     each = found.select("row", F.explode(F.concat("base", "further")).alias("span")).withColumn("hash", F.sha2("span.value", 256))
-    example = F.col("owners") >= example_owners
+    copied = (F.col("owners") >= example_owners) | (F.col("repositories") >= example_repositories)
+    verdicts = stage(known.select("hash", copied.alias("example")), "secret-verdicts")
+    example = F.col("example")
     different = F.size(F.array_distinct(F.regexp_extract_all("span.value", F.lit("."), F.lit(0))))
     live = ~example & (different >= LIVE_CHARS) & F.col("span.value").rlike("[0-9]")
-    judged = each.join(known, "hash").select("row", "span", example.alias("example"), live.alias("live"))
+    # the verdicts are broadcast if they are measured to fit; else rows of hashes that are copied very often do not meet in one task
+    met = to_dimensions(each, [Side(verdicts, {"hash": "hash"}, ["example"])], "inner")
+    judged = met.select("row", "span", "example", live.alias("live"))
     by_row = judged.groupBy("row").agg(
         F.collect_list(F.when(F.col("live") & (F.col("span.rank") >= len(BASE)), F.col("span"))).alias("added"),
         F.sum(F.col("live").cast("long")).alias("n_live"), F.sum(F.col("example").cast("long")).alias("n_example"),

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -154,6 +155,32 @@ def test_owner_specific_values_are_added_and_copied_ones_are_not(spark):
     assert found[20]["spans"] == [] and [s["kind"] for s in found[21]["spans"]] == ["assign"]
 
 
+def test_values_in_many_repositories_of_one_owner_are_examples(spark):
+    many = secret_scan.EXAMPLE_REPOSITORIES
+    rows = [(i, f"see {KEY} here", None, "one", None) for i in range(many)]
+    rows += [(100 + i, f"see {KEY[::-1]} here", None, "one", None) for i in range(many - 1)] + [(100, f"see {KEY[::-1]} here", None, "one", None)] * 3
+    found = secret_scan.scan(documents(spark, rows, extra=False)).collect()
+    for row in found:
+        copied = row["doc_id"] < 100
+        assert (row["n_example"], row["n_live"], len(row["spans"])) == ((1, 0, 0) if copied else (0, 1, 1))
+
+
+def test_texts_with_very_many_secrets(spark):
+    n = 30_000
+    text = " ".join(f"token=abcdef{i:06d}" for i in range(n))
+    started = time.perf_counter()
+    row = secret_scan.candidates(documents(spark, [(1, text, None, "one", None)], extra=False), "source", "doc_id").select("base").first()
+    assert time.perf_counter() - started < 60
+    assert [(s["start"], s["end"]) for s in row["base"]] == [(19 * i, 19 * i + 18) for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 700])
+def test_running_totals(spark, n):
+    numbers = [i % 7 for i in range(n)]
+    df = spark.createDataFrame([(numbers,)], "a array<int>")
+    assert df.select(secret_scan.running_totals(F.col("a"))).first()[0] == np.cumsum(numbers).tolist()
+
+
 def test_masking(spark):
     df = documents(spark, [(1, "é token=abcdef123456 x 😀password: 12345678", None, "a", None), (2, "none", None, "a", None), (3, None, None, None, None)], extra=False)
     found = secret_scan.scan(df).withColumnRenamed("doc_id", "id").join(df, F.col("id") == F.col("doc_id"))

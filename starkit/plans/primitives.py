@@ -14,7 +14,7 @@ from starkit.operators.windows import previous_and_running, top_n
 from starkit.plans.flat import sales, table
 from starkit.plans.registry import over_sales, query
 from starkit.session import fresh_path, stage
-from starkit.sources import VersionedTables, Warehouse, read_csv, read_table, rejected_dates, rejected_rows, rows
+from starkit.sources import VersionedTables, Warehouse, quarantine, read_by_header, read_csv, read_table, rejected_dates, rejected_rows, rows
 
 # --- sources and sinks ---------------------------------------------------------------------------
 
@@ -61,6 +61,39 @@ def csv_bad_numbers(spark, sf):
     return rejected_rows(read_csv(spark, path, "o_orderkey bigint, price double", keep_corrupt=True))
 
 
+_ORDER_TEXTS = """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+    CASE WHEN o_orderkey % 11 = 0 THEN 'n/a' WHEN o_orderkey % 13 <> 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS price,
+    CASE WHEN o_orderkey % 17 = 0 THEN '31.31.2020' ELSE strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') END AS day FROM orders"""
+
+
+@query(
+    "src_quarantine",
+    f"""SELECT reason, count(*) AS rejected_rows FROM (
+          SELECT unnest(list_filter([CASE WHEN price IS NOT NULL AND TRY_CAST(price AS DOUBLE) IS NULL THEN 'not a double: price' END,
+                                     CASE WHEN price IS NULL THEN 'missing price' END,
+                                     CASE WHEN TRY_CAST(day AS DATE) IS NULL THEN 'not a date: day' END,
+                                     CASE WHEN TRY_CAST(price AS DOUBLE) > 300000 THEN 'too dear' END], lambda x: x IS NOT NULL)) AS reason
+          FROM ({_ORDER_TEXTS})) GROUP BY reason
+        UNION ALL SELECT 'good', count(*) FROM ({_ORDER_TEXTS})
+        WHERE TRY_CAST(price AS DOUBLE) <= 300000 AND TRY_CAST(day AS DATE) IS NOT NULL""",
+)
+def quarantined(spark, sf):
+    """Orders as texts from two files with different column orders; some hold a price or a day that is none."""
+    key = F.col("o_orderkey")
+    orders = table(spark, sf, "orders").select(
+        key.cast("string").alias("o_orderkey"),
+        F.when(key % 11 == 0, "n/a").when(key % 13 != 0, F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("price"),
+        F.when(key % 17 == 0, "31.31.2020").otherwise(F.col("o_orderdate").cast("date").cast("string")).alias("day"), "o_custkey",
+    )
+    paths = [fresh_path(spark, "orders-csv") for _ in range(2)]
+    orders.where(key % 2 == 0).select("o_orderkey", "price", "day").write.option("header", True).csv(paths[0])
+    orders.where(key % 2 == 1).select("day", "o_custkey", "o_orderkey", "price").write.option("header", True).csv(paths[1])
+    raw = read_by_header(spark, paths, ["o_orderkey", "price", "day"])
+    found = quarantine(raw, "o_orderkey bigint not null, price double not null, day date", {"too dear": F.col("price") > 300000}, {"day": "yyyy-MM-dd"})
+    good = found.good.agg(F.lit("good").alias("reason"), F.count(F.lit(1)).alias("rejected_rows"))
+    return found.counts().unionByName(good)
+
+
 @query("src_parquet_scan", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
 def parquet_scan(spark, sf):
     return spark.read.parquet(f"{sf}/part.parquet")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starkit.functions.keys import SCALE, exact, is_fractional
+from starkit.functions.keys import exact, is_fractional
 
 #: Bits of a piece. A sum of pieces fits a long for 2**43 values of one magnitude in one group; beyond that ANSI arithmetic fails the query.
 DIGIT_BITS = 20
@@ -157,17 +157,28 @@ def with_special(special: Column, finite: Column, kind: str) -> Column:
     )
 
 
+#: A double that holds a decimal of so many digits, at most PLACES of them after the point, is that decimal: no other one has the same double.
+DIGITS, PLACES = 15, 9
+WRITTEN = T.DecimalType(38, PLACES)
+
+
 def as_written(value: Column, kind: T.DataType) -> Column:
-    """A binary fraction as a decimal with SCALE places; a float as it is written, not as the double that it widens to."""
-    return (value.cast("string") if isinstance(kind, T.FloatType) else value).try_cast(T.DecimalType(38, SCALE))
+    """A binary fraction as the decimal of up to DIGITS digits that it was written as; null for any other value, such as 1/3."""
+    # a float is the decimal that it is written as, not that of the double that it widens to
+    text = value.cast("string") if isinstance(kind, T.FloatType) else value
+    found = F.lit(None).cast(WRITTEN)
+    for places in range(0, PLACES + 1, 3):  # with more places first, there are fewer digits before the point
+        decimal = text.try_cast(T.DecimalType(DIGITS, places))
+        found = F.when(decimal.cast(kind) == value, decimal.cast(WRITTEN)).otherwise(found)
+    return found
 
 
 class Sums:
     """Sums of measures ``output -> column`` as states that may be combined any number of times before they are finished.
 
     - A measure that is no binary fraction, or whose decimal places ``scales`` states by output, is summed as ``exact`` has it.
-    - Any other double or float: a group of values that are all written with up to SCALE decimal places sums them as written, as decimals; every other
-      group has the double that is nearest to the true sum of its values. Neither depends on the order of rows.
+    - Any other double or float: a group of values that all hold decimals of up to DIGITS digits sums them as decimals (see ``as_written``); every
+      other group has the double that is nearest to the true sum of its values. Neither depends on the order of rows.
 
     Null values are left out; a group without values has a null sum. NaN, or infinities of both signs, give NaN, an infinity of one sign
     that infinity, a sum beyond the largest double an infinity. Zeros sum to 0.0.
@@ -198,10 +209,9 @@ class Sums:
             raw, value = F.col(f"_v{i}"), F.col(f"_v{i}").cast("double")
             columns |= {f"_p{i}_{j}": piece for j, piece in enumerate(pieces(finite(value), F.col(f"_b{i}")))}
             kind = self.schema[self.measures[out]].dataType
-            written = as_written(raw, kind)
-            fits = F.coalesce(written.cast(kind) == raw, F.lit(False))
-            columns |= {f"_s{i}": special(value), f"_d{i}": F.when(fits, written), f"_u{i}": raw.isNotNull() & ~fits}
-        return df.withColumns(columns).drop(*[f"_v{i}" for i in self.free])
+            columns |= {f"_s{i}": special(value), f"_d{i}": as_written(raw, kind)}
+        df = df.withColumns(columns)
+        return df.withColumns({f"_u{i}": F.col(f"_v{i}").isNotNull() & F.col(f"_d{i}").isNull() for i in self.free}).drop(*[f"_v{i}" for i in self.free])
 
     def combine(self, states: DataFrame, keys: Sequence[str]) -> DataFrame:
         """States by ``keys`` and magnitude."""
@@ -214,7 +224,7 @@ class Sums:
                 total = F.try_sum(f"_d{i}")
                 lost = total.isNull() & (F.count(f"_d{i}") > 0)
                 sums[-1] = (F.bool_or(f"_u{i}") | lost).alias(f"_u{i}")
-                sums.append(F.coalesce(total, F.lit(0)).cast(T.DecimalType(38, SCALE)).alias(f"_d{i}"))
+                sums.append(F.coalesce(total, F.lit(0)).cast(WRITTEN).alias(f"_d{i}"))
             else:
                 sums.append(F.sum(f"_d{i}").alias(f"_d{i}"))
         return states.groupBy(*keys, *self.bins).agg(*sums)
@@ -261,7 +271,7 @@ class Sums:
         if name.startswith("_u"):
             return F.bool_or(name) | (F.try_sum(f"_d{name[2:]}").isNull() & (F.count(f"_d{name[2:]}") > 0))
         if name.startswith("_d") and int(name[2:]) in self.free:
-            return F.coalesce(F.try_sum(name), F.lit(0)).cast(T.DecimalType(38, SCALE))
+            return F.coalesce(F.try_sum(name), F.lit(0)).cast(WRITTEN)
         return function(name)
 
     def _shown(self, whole: DataFrame, keys: Sequence[str], text: str | None) -> DataFrame:

@@ -92,6 +92,15 @@ def net_revenue(units: str, price: str, discount: str) -> Column:
     return decimal(units, *UNITS) * decimal(price, *PRICE) * share
 
 
+def net_revenue_of_doubles(units: str, price: str, discount: str) -> Column:
+    """units x price x (1 - discount percent / 100) of any numbers, as a double: each operation rounds once, in this order.
+
+    A row's value depends on the row alone; ``Sums`` adds such values up exactly, so totals do not depend on the order of rows either.
+    """
+    number = lambda name: F.col(name).cast("double")
+    return number(units) * number(price) * (F.lit(1.0) - number(discount) / F.lit(100.0))
+
+
 def key_by_hash(
     fact: DataFrame, specs: Sequence[AttributeDim | CompositeDim], dates: Mapping[str, str] | None = None
 ) -> DataFrame:

@@ -49,7 +49,7 @@ def previous_and_running(
     """Add the value of the row before (``default`` in the first row) and the total so far.
 
     Totals of binary fractions are given as the type of the values: with ``scale`` they are summed as decimals with so many places; without it a total of
-    values that are all written with up to SCALE places is summed as written, and any other one is the double nearest to the true sum of the values so far
+    values that all hold short decimals is summed as written, and any other one is the double nearest to the true sum of the values so far
     (see ``Sums``). Totals of decimals keep all places in 38 digits, those of whole numbers are bigint, however large a group is.
 
     Rows are dealt by ranges of (keys, order), once: a range holds whole groups, but for its first and its last one, which may go on in
@@ -105,7 +105,7 @@ class _Running:
         self.value, self.kind = F.col(value), df.schema[value].dataType
         self.free = is_fractional(self.kind) and scale is None
         if self.free:
-            self.addend, self.type = sums.as_written(self.value, self.kind), T.DecimalType(38, SCALE)
+            self.addend, self.type = F.col("_written"), sums.WRITTEN
         else:
             self.addend, self.type = exact(self.value, self.kind, scale), _sum_type(self.kind, scale)
         self.bins: range = range(0)
@@ -113,7 +113,7 @@ class _Running:
 
     @property
     def _unfit(self) -> Column:
-        return self.value.isNotNull() & ~F.coalesce(self.addend.cast(self.kind) == self.value, F.lit(False))
+        return self.value.isNotNull() & self.addend.isNull()
 
     def split(self) -> dict[str, Column]:
         """Pieces of the values, which are written with the rows, as there may be many bins to choose them for."""
@@ -122,20 +122,20 @@ class _Running:
         number = sums.finite(self.value.cast("double"))
         top = sums.top_bin(number)
         found = {f"_piece{j}": F.coalesce(piece, F.lit(0).cast("bigint")) for j, piece in enumerate(sums.pieces(number, top))}
-        return {"_top": top, "_s": sums.special(self.value.cast("double")), **found}
+        return {"_written": sums.as_written(self.value, self.kind), "_top": top, "_s": sums.special(self.value.cast("double")), **found}
 
     def measures(self) -> list[Column]:
         """What a range tells about its values: the bins that they touch, and whether sums of decimals would do."""
         if not self.free:
             return []
         bin_ = F.col("_top")
-        size = F.try_sum(F.abs(F.when(~self._unfit, self.addend))).cast(self.type)
+        size = F.try_sum(F.abs(self.addend)).cast(self.type)
         return [F.min(bin_).alias("_low"), F.max(bin_).alias("_high"), F.bool_or(self._unfit).alias("_unfit"), size.alias("_size")]
 
     def measured(self, ends: DataFrame) -> None:
         if self.free:
             # sizes that decimals cannot add up are null; a range without values has no size, and its values are not unfit
-            too_large = F.bool_or(F.col("_unfit").isNotNull() & F.col("_size").isNull()) | F.try_sum("_size").isNull()
+            too_large = F.bool_or(~F.col("_unfit") & F.col("_size").isNull()) | F.try_sum("_size").isNull()
             low, high, binary = ends.agg(F.min("_low"), F.max("_high"), F.bool_or("_unfit") | too_large).first()
             self.binary = bool(binary) and low is not None
             self.bins = range(low - sums.PIECES + 1, high + 1) if self.binary else range(0)
@@ -143,7 +143,7 @@ class _Running:
     def states(self) -> dict[str, Column]:
         if not self.binary:
             return {"_x": self.addend}
-        states = {"_x": F.when(~self._unfit, self.addend), "_u": self._unfit}
+        states = {"_x": self.addend, "_u": self._unfit}
         top, zero = F.col("_top"), F.lit(0).cast("bigint")
         for b in self.bins:
             found = zero

@@ -281,6 +281,17 @@ def measures(spark, sf):
     return extract.select("OrderKey", "LineNumber", net.alias("NetRevenue"))
 
 
+@query(
+    "fact_measures_any_double",
+    """SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) * (l_extendedprice / 7) * (1.0 - (l_discount * 100) / 100.0) AS "NetRevenue" FROM lineitem""",
+)
+def measures_any_double(spark, sf):
+    """Net revenue of prices that no decimal holds."""
+    price, percent = F.col("l_extendedprice") / 7, F.col("l_discount") * 100
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", price.alias("price"), percent.alias("percent"))
+    return lines.select("l_orderkey", "l_linenumber", facts.net_revenue_of_doubles("l_quantity", "price", "percent").alias("NetRevenue"))
+
+
 # --- checks --------------------------------------------------------------------------------------
 
 

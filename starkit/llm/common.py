@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
+import gc
 import json
 import pathlib
 import tempfile
@@ -29,8 +32,9 @@ CACHED_CHARS = 64
 CHUNK_CHARS = 2_000_000
 
 
-BATCH_ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
-BATCH_ROWS = 1000
+BATCH_BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of a batch that a task gets, besides one more row.
+BATCH_BYTES = 4 << 20
 
 _shipped: set[str] = set()
 
@@ -38,10 +42,10 @@ _shipped: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Send this library to the executors of an application, once, so that tasks can import it wherever they run.
 
-    Batches of rows are made smaller where the session has Spark's default for them, as a row here is a whole text.
+    Batches are made smaller where the session has Spark's default of 64 MB for them, as a task holds several copies of one in both processes.
     """
-    if spark.conf.get(BATCH_ROWS_SETTING) == "10000":
-        spark.conf.set(BATCH_ROWS_SETTING, BATCH_ROWS)
+    if spark.conf.get(BATCH_BYTES_SETTING).lower() in ("64mb", "67108864b", "67108864"):
+        spark.conf.set(BATCH_BYTES_SETTING, str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
@@ -54,10 +58,29 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def give_back() -> None:
+    """Return memory that this process has freed to the system: a worker waits for other tasks with all that it once held."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every system's library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop shuffles and broadcasts of steps that are done: it does so only once the driver has collected its garbage, which a
+    driver that runs many small steps may put off for long."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` with this library at hand in the tasks."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 #: Words of 64 bits of a membership filter: 1 MB whatever it holds. Beyond some millions of keys it lets everything through.

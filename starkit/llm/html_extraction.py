@@ -264,8 +264,12 @@ def content_of(blocks: list[Block], paths: Paths) -> list[Block]:
     inside = [False] * len(held)
     for path in range(len(held)):
         inside[path] = path == within or (path > 0 and inside[paths.parent[path]])
-    # what the paths chose stays, also outside that element, which only adds blocks
-    kept = {i for i, b in enumerate(blocks) if b.path in chosen or inside[b.path] and b.path not in lists}
+    # what the paths chose stays, also outside that element, which only adds blocks: of an article all, else those between chosen ones, as
+    # other elements may have its path
+    places = [i for i, b in enumerate(blocks) if b.path in chosen]
+    first, last = (places[0], places[-1]) if places else (0, -1)
+    added = (i for i, b in enumerate(blocks) if inside[b.path] and b.path not in lists and (b.article or first <= i <= last))
+    kept = {*places, *added}
     for first in sorted(kept):  # the headings right before the content belong to it
         while first and HEADING.match(paths.name[blocks[first - 1].path]) and blocks[first - 1].path not in lists:
             first -= 1

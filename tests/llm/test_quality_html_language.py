@@ -5,7 +5,9 @@ import re
 import time
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
 
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -140,6 +142,40 @@ def test_words_of_attributes_decide_only_where_they_name_a_part(inside, text):
     assert html_extraction.main_text(f"<article title='the hidden story'>{inside}{PROSE}</article>") == f"{text} {READ}".strip()
 
 
+class ArticleReader(HTMLParser):
+    """Another way to the main text of pages whose article holds nothing but headings and paragraphs."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.within, self.blocks = False, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.within |= tag == "article"
+        if tag in ("p", "h1"):
+            self.blocks.append("")
+        if tag == "br":
+            self.blocks[-1] += " "
+
+    def handle_endtag(self, tag):
+        self.within &= tag != "article"
+        if tag in ("p", "h1"):
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.within:
+            self.blocks[-1] += data
+
+
+def test_given_pages_against_another_parser():
+    rows = duckdb.connect().execute("SELECT html FROM '/root/testdata/sf0.1/pages.parquet'").fetchall()
+    for (page,) in rows:
+        reader = ArticleReader()
+        reader.feed(page)
+        reader.close()
+        assert html_extraction.main_text(page) == " ".join(" ".join(block.split()) for block in reader.blocks if block.strip())
+    assert len(rows) == 2500
+
+
 def test_paths_decide_where_no_element_does():
     """Without an article and without names, long punctuated text tells content from captions."""
     captions = "".join(f"<table><tr><td>Item {i}</td><td>{i}</td></tr></table>" for i in range(12))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starkit.llm.common import batch_of, map_arrow, membership, with_membership
+from starkit.llm.common import batch_of, map_arrow, membership, release, with_membership
 from starkit.llm.graph import components
 from starkit.session import stage
 
@@ -250,7 +250,7 @@ def links(docs: DataFrame, classes: DataFrame, bounds: Bounds) -> DataFrame:
     sets = full_sets(docs, classes, near)
     wide = sets.select("node", "n", F.slice("full", 1, WIDE).alias("sketch"))
     open_lists = inverted_lists(wide, WIDE, bounds.wide, bounds.percent)
-    edges = None
+    roots = None
     open_lists = open_lists.withColumn("root", F.col("node"))
     for _ in range(STAR_ROUNDS):
         heads = open_lists.groupBy("value").agg(F.max(F.struct("centre", "node", "root", "n", "place")).alias("head"))
@@ -258,9 +258,7 @@ def links(docs: DataFrame, classes: DataFrame, bounds: Bounds) -> DataFrame:
         pairs = open_lists.join(heads, "value").where((F.col("root") != F.col("head.root")) & fits).select(
             F.least("node", "head.node").alias("a"), F.greatest("node", "head.node").alias("b")
         )
-        found = stage(similar(pairs, sets, bounds), "links")
-        edges = found if edges is None else edges.unionByName(found)
-        roots = components(edges)
+        roots = _joined(roots, stage(similar(pairs, sets, bounds), "links"))
         # a head has met all others of its list, so it is left out of the next round
         rest = open_lists.join(heads.select("value", F.col("head.node").alias("node")), ["value", "node"], "left_anti")
         open_lists = stage(_unsettled(_with_roots(rest.drop("root"), roots)), "lists")
@@ -270,7 +268,15 @@ def links(docs: DataFrame, classes: DataFrame, bounds: Bounds) -> DataFrame:
     fits = _possible(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"), bounds)
     met = side("a").join(side("b"), "value").where((F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & fits)
     pairs = met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    return components(edges.unionByName(stage(similar(pairs, sets, bounds), "links")))
+    return _joined(roots, stage(similar(pairs, sets, bounds), "links"))
+
+
+def _joined(roots: DataFrame | None, found: DataFrame) -> DataFrame:
+    """Roots of the components that ``roots`` and new links make: a node and its root stand for all links that made them."""
+    release(found.sparkSession)
+    if roots is None:
+        return components(found)
+    return roots if found.isEmpty() else components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
 
 def group(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -24,8 +24,8 @@ from starkit.operators.joins import Side, to_dimensions
 from starkit.session import stage
 
 #: Split points of a node, and entries up to which a child is a list.
-DEGREE = 8
-LEAF = 8
+DEGREE = 16
+LEAF = 32
 #: Vectors that a task searches at a time.
 STEP = 4096
 

@@ -168,8 +168,9 @@ def as_written(value: Column, kind: T.DataType) -> Column:
     text = value.cast("string") if isinstance(kind, T.FloatType) else value
     found = F.lit(None).cast(WRITTEN)
     for places in range(0, PLACES + 1, 3):  # with more places first, there are fewer digits before the point
-        decimal = text.try_cast(T.DecimalType(DIGITS, places))
-        found = F.when(decimal.cast(kind) == value, decimal.cast(WRITTEN)).otherwise(found)
+        # whole numbers are exact up to 2**53, which has a digit more
+        decimal = text.try_cast(T.DecimalType(DIGITS if places else DIGITS + 1, places))
+        found = F.when((decimal.cast(kind) == value) & (F.abs(value) <= F.lit(2.0**53)), decimal.cast(WRITTEN)).otherwise(found)
     return found
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starkit.functions.keys import exact, is_fractional
+from starkit.functions.keys import counted_in, exact, is_fractional, unit_of
 
 #: Bits of a piece. A sum of pieces fits a long for 2**43 values of one magnitude in one group; beyond that ANSI arithmetic fails the query.
 DIGIT_BITS = 20
@@ -46,13 +46,12 @@ def _power(exponent: Column) -> Column:
 
 
 def top_bin(value: Column) -> Column:
-    """The bin that holds the highest bit of a finite value; 0 for zero. The logarithm is only a first guess."""
-    size = F.abs(value)
-    guess = F.floor(F.log2(size) / DIGIT_BITS).cast("int")
-    # halves of an exponent, as the power of the whole one may be out of range
-    scaled = lambda b: size * _power(b * (-DIGIT_BITS // 2)) * _power(b * (-DIGIT_BITS // 2))
-    bin_ = F.when(scaled(guess) < 1, guess - 1).when(scaled(guess) >= _BASE, guess + 1).otherwise(guess)
-    return F.when(size > 0, bin_).otherwise(F.lit(0))
+    """The bin of the highest bit of a finite value; 0 for zero, which has no logarithm.
+
+    Where a logarithm is rounded to a whole number of bins it may be the next bin: then the first piece has one bit more, or none and
+    the others hold all 53.
+    """
+    return F.coalesce(F.floor(F.log2(F.abs(value)) / DIGIT_BITS).cast("int"), F.lit(0))
 
 
 def pieces(value: Column, bin_: Column) -> list[Column]:
@@ -67,7 +66,7 @@ def pieces(value: Column, bin_: Column) -> list[Column]:
 
 
 def finite(value: Column) -> Column:
-    return F.when(value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf")), value)
+    return F.when(F.abs(value) < float("inf"), value)  # NaN is larger
 
 
 def special(value: Column) -> Column:
@@ -164,14 +163,19 @@ WRITTEN = T.DecimalType(38, PLACES)
 
 def as_written(value: Column, kind: T.DataType) -> Column:
     """A binary fraction as the decimal of up to DIGITS digits that it was written as; null for any other value, such as 1/3."""
-    # a float is the decimal that it is written as, not that of the double that it widens to
-    text = value.cast("string") if isinstance(kind, T.FloatType) else value
-    found = F.lit(None).cast(WRITTEN)
-    for places in range(0, PLACES + 1, 3):  # with more places first, there are fewer digits before the point
-        # whole numbers are exact up to 2**53, which has a digit more
-        decimal = text.try_cast(T.DecimalType(DIGITS if places else DIGITS + 1, places))
-        found = F.when((decimal.cast(kind) == value) & (F.abs(value) <= F.lit(2.0**53)), decimal.cast(WRITTEN)).otherwise(found)
-    return found
+    if isinstance(kind, T.FloatType):
+        found = F.lit(None).cast(WRITTEN)
+        # a float is the decimal that it is written as, not that of the double that it widens to
+        for places in range(0, PLACES + 1, 3):  # with more places first, there are fewer digits before the point
+            # whole numbers are exact up to 2**53, which has a digit more
+            decimal = value.cast("string").try_cast(T.DecimalType(DIGITS if places else DIGITS + 1, places))
+            found = F.when((decimal.cast(kind) == value) & (F.abs(value) <= F.lit(2.0**53)), decimal.cast(WRITTEN)).otherwise(found)
+        return found
+    # one cast with the fewest places that hold it, as four would make a stage too long for the JVM to compile
+    held = {places: counted_in(value, places, 10.0**DIGITS if places else 2.0**53 + 2)[1] for places in range(0, PLACES + 1, 3)}
+    first = lambda shown: F.coalesce(*[F.when(whole, shown(places)) for places, whole in held.items()])
+    count = F.rint(value * first(lambda places: F.lit(10.0**places))).cast("bigint")
+    return (count.cast("decimal(16,0)") * first(lambda places: unit_of(places).cast(T.DecimalType(PLACES + 1, PLACES)))).cast(WRITTEN)
 
 
 class Sums:

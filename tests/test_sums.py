@@ -8,7 +8,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from starkit.functions.sums import exact_sums
+from starkit.functions.sums import Sums, exact_sums
 from starkit.operators import checks, reports
 from starkit.operators.reports import Attribute
 from starkit.operators.windows import previous_and_running
@@ -138,3 +138,27 @@ def test_a_running_total_is_dealt_once(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("g"), "id", (F.col("id") / 7).alias("v"))
     plan = plan_of(previous_and_running(df, ["g"], ["id"], "v"))
     assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan and "Window" in plan
+
+
+def test_totals_with_a_revenue_are_short_enough_for_the_jvm_to_compile(spark, capsys):
+    """A method of more than 8000 bytes of code is interpreted, at several times the time."""
+    from starkit.operators.facts import net_revenue
+
+    df = spark.range(100).select((F.col("id") % 3).alias("g"), *[F.col("id").cast("double").alias(c) for c in ("units", "price", "discount")])
+    sold = df.withColumn("net", net_revenue("units", "price", "discount"))
+    measured = Sums(sold.schema, {"units": "units", "net": "net"})
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        measured.combine(measured.states(sold, {"g": F.col("g")}), ["g"]).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(line.split("maxMethodCodeSize:")[1].split(";")[0]) for line in capsys.readouterr().out.splitlines() if "maxMethodCodeSize:" in line]
+    assert sizes and max(sizes) < 8000
+
+
+def test_values_at_the_edges_of_bins_and_of_decimals(spark):
+    edges = [s * math.nextafter(2.0 ** (20 * k), to) for k in (-53, -2, 0, 1, 2, 3, 51) for to in (0.0, 1e308) for s in (1, -1)]
+    edges += [2.0 ** (20 * k) for k in (-53, -1, 0, 2, 51)] + [0.1, 2.0**53, 999999999999.999, 123456.789012345, -0.0, 1 / 3]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(edges)] + [(-1, v) for v in edges[:28]], "g long, v double")
+    found = {r["g"]: r["v"] for r in exact_sums(df, ["g"], {"v": "v"}).collect()}
+    assert found == {-1: math.fsum(edges[:28]), **dict(enumerate(edges))}

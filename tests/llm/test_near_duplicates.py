@@ -126,3 +126,16 @@ def test_components_of_chains_and_stars(spark):
     wanted = {(i, 0) for i in range(1, 61)} | {(500 + i, 500) for i in range(1, 40)} | {(901, 900)}
     assert set(tuples(found, "node", "root")) == wanted and found.count() == len(wanted)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_links_that_are_stars_already_take_no_further_step(spark, monkeypatch):
+    from starkit.llm import graph
+
+    written = []
+    monkeypatch.setattr(graph, "stage", lambda df, label: written.append(label) or df.localCheckpoint())
+    pairs = spark.createDataFrame([(i, 1000 + i) for i in range(50)] + [(7, 2000), (7, 2001)], "a long, b long")
+    assert {(r["node"], r["root"]) for r in components(pairs).collect()} == {(b, a) for a, b in pairs.collect()}
+    assert len(written) == 1
+    path = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 99), (99, 98)], "a long, b long")
+    assert {(r["node"], r["root"]) for r in components(path).collect()} == {(i, 0) for i in range(1, 41)} | {(99, 98), (100, 98)}
+    assert components(path.where("a < 0")).isEmpty()

@@ -108,12 +108,6 @@ def _join_tables(spark: SparkSession, sf_dir: str, lines: DataFrame, columns: Se
             orders = orders.join(
                 table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey"), "o_custkey", "left"
             )
-        if "nation" in tables:
-            nation = table(spark, sf_dir, "nation")
-            if "region" in tables:
-                regions = table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
-                nation = nation.join(regions, "n_regionkey", "left")
-            orders = orders.join(nation.withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey", "left")
         lines = lines.join(orders.withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey", "left")
     if "part" in tables:
         lines = lines.join(table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey"), "l_partkey", "left")
@@ -125,4 +119,11 @@ def _join_tables(spark: SparkSession, sf_dir: str, lines: DataFrame, columns: Se
             )
             suppliers = suppliers.join(nations, "s_nationkey", "left")
         lines = lines.join(suppliers.withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey", "left")
+    if "nation" in tables:
+        # last, so that what is shuffled and sorted before holds a number in place of two names
+        nation = table(spark, sf_dir, "nation")
+        if "region" in tables:
+            regions = table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
+            nation = nation.join(regions, "n_regionkey", "left")
+        lines = lines.join(nation.withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey", "left")
     return lines

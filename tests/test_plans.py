@@ -65,3 +65,17 @@ def test_a_report_reads_line_items_once(spark, name, monkeypatch):
     monkeypatch.setattr(star, "sales", lambda *args: reads.append(args) or joined(*args))
     plan = plan_of(catalog.queries()[name](spark, SF))
     assert len(reads) == 1 and "lineitem.parquet" not in plan
+
+
+def test_the_extract_moves_a_number_in_place_of_the_names_of_a_place(spark):
+    """Nations and regions meet the lines after orders do."""
+    from starkit.plans.flat import sales
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sales(spark, "/root/testdata/sf0.001", ["OrderKey", "StoreName", "Region"])._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert "c_nationkey" in joins[0]
+    assert next(line for line in joins if "l_orderkey" in line) not in joins[:1]

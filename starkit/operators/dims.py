@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,6 +91,15 @@ def attribute_dimension(extract: DataFrame, spec: AttributeDim) -> DataFrame:
     return _dimension(_least_spelling(values, text, spec.trim), spec, extract.schema[spec.source].dataType)
 
 
+def dimension_values(extract: DataFrame, groups: Sequence[Sequence[str]]) -> DataFrame:
+    """The distinct combinations of each group of columns, one group below the other, with nulls in the columns of other groups.
+
+    Dimensions whose columns are all in one group are the same from these rows as from the extract, as nulls are no members. Each group
+    is made distinct within the input tasks.
+    """
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [extract.select(*group).distinct() for group in groups])
+
+
 def star_dimensions(
     extract: DataFrame, specs: Sequence[AttributeDim], date_column: str | None = None, date_key_name: str = "DateKey"
 ) -> dict[str, DataFrame]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -105,12 +105,18 @@ def save_star(
     bucket_key: str | None = None,
     buckets: int | None = None,
     group_rows: int = GROUP_ROWS,
+    stored: bool = False,
+    key_alone: Callable[[str], DataFrame] | None = None,
 ) -> SavedStar:
     """Writes the fact and its dimensions (``fact key -> (dimension, its key)``) and reads them back.
 
     The fact is bucketed by the key of the dimension with the most members, or ``bucket_key``. Facts of keys with more than ``group_rows`` rows, of the unknown
     member and of no key are written apart, as their bucket would be one task's. Every other table is written as it is. What was written is
     listed in a table STAR at the end, so a reader has the tables of one writing, the old or the new ones.
+
+    The fact is staged first, as it is read three times: its bucket key, and the rows of either table. ``stored`` says that it is a plan over stored tables which
+    gives the same rows each time, so it need not be; then the rows of the other table are left out before they are keyed, where the bucket key comes without a
+    lookup. ``key_alone`` gives the column of a key, a row for each fact, by a shorter plan than the fact's.
     """
     spark = fact.sparkSession
     if bucket_key is None:
@@ -124,13 +130,17 @@ def save_star(
             versions[key] = tables.save(dim.repartition(buckets, dim_key), key, bucket=(dim_key, buckets))
         else:
             versions[key] = tables.save(dim, key)
-    frequent = stage(hot_groups(fact.select(bucket_key), [bucket_key], group_rows).select(F.col(bucket_key).alias("_hot")), "hot-keys")
-    # at most rows / group_rows keys
-    marked = fact.join(F.broadcast(frequent), equal_on(fact, frequent, {bucket_key: "_hot"}), "left")
-    apart = F.col("_hot").isNotNull() | F.col(bucket_key).isNull() | (F.col(bucket_key) == UNKNOWN_KEY)
-    marked = stage(marked.withColumn("_apart", apart).drop("_hot"), "facts")
-    versions[HOT] = tables.save(marked.where("_apart").drop("_apart"), HOT)
-    placed = marked.where("NOT _apart").drop("_apart").repartition(buckets, bucket_key)
+    if not stored:
+        fact = stage(fact, "facts")
+    alone = key_alone(bucket_key) if key_alone else fact.select(bucket_key)
+    frequent = hot_groups(alone, [bucket_key], group_rows).select(F.col(bucket_key).alias("_hot"))
+    kind = fact.schema[bucket_key].dataType
+    others = spark.range(0, 1, 1, 1).select(F.explode(F.array(F.lit(UNKNOWN_KEY).cast(kind), F.lit(None).cast(kind))).alias("_hot"))
+    # at most rows / group_rows keys, and two
+    apart = F.broadcast(stage(frequent.unionAll(others), "hot-keys"))
+    is_apart = equal_on(fact, apart, {bucket_key: "_hot"}, null_safe=True)
+    versions[HOT] = tables.save(fact.join(apart, is_apart, "left_semi"), HOT)
+    placed = fact.join(apart, is_apart, "left_anti").repartition(buckets, bucket_key)
     versions[FACT] = tables.save(placed, FACT, bucket=(bucket_key, buckets))
     rows = [(name, version, dims[name][1] if name in dims else None, name == bucket_key) for name, version in versions.items()]
     number = tables.save(spark.createDataFrame(rows, "name string, version long, dim_key string, is_bucket_key boolean").coalesce(1), STAR)

@@ -146,16 +146,23 @@ def build_saved_star(spark: SparkSession, sf: str, tables: VersionedTables) -> S
     measures = ["UnitsSold", "UnitPrice", "Discount"]
     columns = dict.fromkeys(["OrderKey", "LineNumber", *ALL_ATTRIBUTES, *[c for spec in COMPOSITES for c in spec.columns], *measures, "Revenue"])
     extract = staged_sales(spark, sf, list(columns))
-    dim_of = {spec.key: (dim, spec.key) for spec, dim in zip(ATTRIBUTES, map(all_dims(extract).get, [s.key for s in ATTRIBUTES]))}
-    dim_of["SalesDateKey"] = (dims.date_dimension(extract, "SalesDate"), "DateKey")
-    dim_of |= {spec.key: (stage(dims.composite_dimension(extract, spec), "dimension"), spec.key) for spec in COMPOSITES}
+    groups = [list(spec.columns) for spec in COMPOSITES]
+    groups.append([c for c in ALL_ATTRIBUTES if all(c not in group for group in groups)])
+    values = stage(dims.dimension_values(extract, groups), "dimension-values")
+    dim_of = {spec.key: (dim, spec.key) for spec, dim in zip(ATTRIBUTES, map(all_dims(values).get, [s.key for s in ATTRIBUTES]))}
+    dim_of["SalesDateKey"] = (dims.date_dimension(values, "SalesDate"), "DateKey")
+    dim_of |= {spec.key: (stage(dims.composite_dimension(values, spec), "dimension"), spec.key) for spec in COMPOSITES}
     cleaned = facts.clean(extract.withColumn("SoldUnits", F.col("UnitsSold")), CLEANING)
     measured = cleaned.withColumn("NetRevenue", facts.net_revenue(*measures))
-    lookups = [facts.composite_lookup(spec, dim_of[spec.key][0]) for spec in COMPOSITES]
-    keyed = facts.key_by_lookup(measured, lookups, check_unique=False, drop_attributes=False)
-    fact = facts.key_by_hash(keyed, ATTRIBUTES, DATES)
+
+    def keyed(specs: Sequence[CompositeDim]) -> DataFrame:
+        lookups = [facts.composite_lookup(spec, dim_of[spec.key][0]) for spec in specs]
+        found = facts.key_by_lookup(measured, lookups, check_unique=False, drop_attributes=False)
+        return facts.key_by_hash(found, ATTRIBUTES, DATES)
+
     kept = ["OrderKey", "LineNumber", *dim_of, "SoldUnits", *measures, "Revenue", "NetRevenue"]
-    return save_star(tables, fact.select(*kept), dim_of)
+    key_alone = lambda key: keyed([spec for spec in COMPOSITES if spec.key == key]).select(key)
+    return save_star(tables, keyed(COMPOSITES).select(*kept), dim_of, stored=True, key_alone=key_alone)
 
 
 def saved_star(spark: SparkSession, sf: str) -> SavedStar:

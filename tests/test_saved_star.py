@@ -12,7 +12,7 @@ from starkit.operators.dims import AttributeDim, CompositeDim
 from starkit.operators.reports import Attribute
 from starkit.operators.saved import open_star, save_star
 from starkit.plans import star as sales_star
-from starkit.session import fresh_path
+from starkit.session import fresh_path, stage
 from starkit.sources import VersionedTables
 
 SF = "/root/testdata/sf0.001"
@@ -112,3 +112,48 @@ def test_dimension_of_several_columns_is_saved_too(spark):
     fact = facts.key_by_lookup(df, [facts.composite_lookup(spec, dim)])
     star = save_star(VersionedTables(spark, fresh_path(spark, "saved")), fact, {"PairKey": (dim, "PairKey")}, buckets=2)
     assert bag(star.detail({"A": ("PairKey", "A")}, ["id"], 0)) == bag(df.select("id", F.col("a").alias("A")))
+
+
+@pytest.mark.parametrize("bucket_key", ["ItemKey", "RegionKey"])
+def test_stored_facts_are_not_written_once_more(spark, built, bucket_key, monkeypatch):
+    """Rows of null, unknown and frequent keys, and repeated rows, are in one of the two tables as often as in the fact."""
+    from starkit.operators import saved as module
+
+    fact, made = built
+    fact = fact.withColumn("ItemKey", F.when(F.col("id") % 11 > 0, F.col("ItemKey")))
+    fact = fact.unionAll(fact.where("id % 4 = 0"))
+    written, counted = [], []
+    monkeypatch.setattr(module, "stage", lambda df, label: written.append(label) or stage(df, label))
+    alone = lambda key: counted.append(key) or fact.select(key)
+    stars = [
+        save_star(VersionedTables(spark, fresh_path(spark, "saved")), fact, made, bucket_key, 4, 500, **given)
+        for given in ({}, {"stored": True, "key_alone": alone})
+    ]
+    assert written == ["facts", "hot-keys", "hot-keys"] and counted == [bucket_key]
+    frequent = fact.groupBy(bucket_key).count().where("count > 500").select(bucket_key)
+    apart = fact.join(frequent, bucket_key, "left_semi").select(*fact.columns).unionAll(fact.where(F.col(bucket_key).isNull() | (F.col(bucket_key) == -1)))
+    for star in stars:
+        assert bag(star.facts) == bag(fact) and bag(star.hot.distinct()) == bag(apart.distinct()) and star.fact.count() + star.hot.count() == fact.count()
+
+
+def test_the_build_writes_facts_once_and_counts_them_without_lookups(spark, monkeypatch):
+    from starkit.operators import saved as module
+
+    plans = {}
+    monkeypatch.setattr(module, "stage", lambda df, label: plans.setdefault(label, plan_of(df)) and stage(df, label))
+    star = sales_star.build_saved_star(spark, SF, VersionedTables(spark, fresh_path(spark, "saved")))
+    assert list(plans) == ["hot-keys"] and "Join" not in plans["hot-keys"]
+    assert bag(star.facts) == bag(sales_star.saved_star(spark, SF).facts)
+
+
+def test_dimensions_are_the_same_from_combinations_of_their_columns(spark):
+    rows = [("a", "x", 1), ("A", "x", None), (None, "y", 2), ("b", None, 2), (None, None, None), ("b", "z", 1), ("b", "z", 1)]
+    df = spark.createDataFrame(rows, "t string, u string, v int").withColumn("d", F.make_date(F.lit(2000) + F.col("v"), F.lit(3), F.lit(1)))
+    values = dims.dimension_values(df, [["t", "u"], ["d"], ["v"]])
+    pair = CompositeDim("PairKey", {"t": "T", "u": "U"})
+    assert values.columns == ["t", "u", "d", "v"] and values.count() == 6 + 3 + 3
+    assert bag(dims.composite_dimension(values, pair)) == bag(dims.composite_dimension(df, pair))
+    assert bag(dims.date_dimension(values, "d")) == bag(dims.date_dimension(df, "d"))
+    specs = [AttributeDim("t", "T", "TKey"), AttributeDim("u", "U", "UKey")]
+    ours, theirs = dims.star_dimensions(values, specs, "d"), dims.star_dimensions(df, specs, "d")
+    assert list(ours) == list(theirs) and all(bag(ours[key]) == bag(theirs[key]) for key in ours)
